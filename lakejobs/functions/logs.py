@@ -8,7 +8,7 @@ FIELDS = ("ip", "time", "method", "path", "protocol", "status", "bytes", "refere
 # One group per field of FIELDS. The path is taken without its leading slash.
 LOG_PATTERN = (
     r'^(\S+) \S+ \S+ \[(\d{2}/\w{3}/\d{4}:\d{2}:\d{2}:\d{2} [+-]\d{4})\] '
-    r'"(\S+) /(\S*?)(?:\s+(\S+))?\s*" (\d{3}) (\S+) (\S+) (.*)$'
+    r'"(\S+) /(\S*)(?: +(\S+))? *" (\d{3}) (\S+) (\S+) (.*)$'
 )
 
 # Fixed value: the bracketed time, once read without its brackets.
@@ -19,15 +19,25 @@ LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 _SEP = "\x01"
 
 
+def is_log_line(line: Column) -> Column:
+    """Whether the line has the format; NULL has not."""
+    return F.coalesce(~has_separator(line) & line.rlike(LOG_PATTERN), F.lit(False))
+
+
 def log_fields(line: Column) -> Column:
-    """The captured fields as an array, or NULL where the line is not a log line.
+    """An array of the line's fields in one array, or an empty array for another line.
 
-    ``regexp_extract`` would run the pattern once per field; replacing the whole line
-    by its groups and splitting runs it once.
+    ``regexp_extract`` would run the pattern once per field. Replacing the whole line by
+    its groups and splitting runs it once, and exploding the result keeps the optimizer
+    from repeating it for every field that is read.
     """
     groups = _SEP.join(f"${i}" for i in range(1, len(FIELDS) + 1))
     parts = F.split(F.regexp_replace(line, LOG_PATTERN, groups), _SEP, -1)
-    return F.when(~F.contains(line, F.lit(_SEP)) & (F.size(parts) == len(FIELDS)), parts)
+    return F.filter(F.array(parts), lambda p: F.size(p) == len(FIELDS))
+
+
+def has_separator(line: Column) -> Column:
+    return F.contains(line, F.lit(_SEP))
 
 
 def category(path: Column) -> Column:

@@ -5,7 +5,8 @@ a hot key is cut into chunks by time, windows run per (key, chunk), and each chu
 given copies of the ``k`` rows that precede it, so the result is the same as over the
 whole key. A cold key is one chunk.
 
-    chunked = assign_chunks(rows, "card_id", "ts", "txn_id")
+    hot = hot_timelines(rows, "card_id", "ts", "txn_id")
+    chunked = assign_chunks(rows, "card_id", "ts", "txn_id", hot=hot)
     ready = with_preceding(chunked, "card_id", ("ts", "txn_id"), k=5, carry=("amount",))
     w = timeline("card_id", ("ts", "txn_id")).rowsBetween(-5, -1)
     out = drop_preceding(ready.withColumn("m", F.avg("amount").over(w)))
@@ -32,9 +33,11 @@ def _micros(ts: str) -> Column:
 
 
 def hot_timelines(
-    rows: DataFrame, key: str, ts: str, tie: str, skew: Skew = skewed.DEFAULT
-) -> DataFrame:
+    rows: DataFrame, key: str, ts: str, tie: str, skew: Skew | None = skewed.DEFAULT
+) -> DataFrame | None:
     """Hot keys with ``_lo`` (where their time starts), ``_width`` and ``_chunks``."""
+    if skew is None:
+        return None
     timed = rows.where(F.col(ts).isNotNull())
     bounds = (F.min(_micros(ts)).alias("_lo"), F.max(_micros(ts)).alias("_hi"))
     hot = skewed.hot_keys(timed, key, (ts, tie), skew, *bounds)
@@ -49,15 +52,18 @@ def assign_chunks(
     ts: str,
     tie: str,
     prefix: str = "",
-    skew: Skew = skewed.DEFAULT,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``{prefix}_chunk`` (0 for a cold key) and ``{prefix}_hot``.
 
-    Rows without a key or a time have no timeline; they are spread by ``tie`` so they
-    cannot pile up in one task either.
+    ``hot`` is from ``hot_timelines``; with None there are no hot keys. Rows without a
+    key or a time have no timeline; they are spread by ``tie`` so they cannot pile up in
+    one task either.
     """
-    hot = hot_timelines(rows, key, ts, tie, skew) if hot is None else hot
+    if hot is None:
+        return rows.withColumns(
+            {f"{prefix}_chunk": F.lit(0).cast("long"), f"{prefix}_hot": F.lit(False)}
+        )
     # The bounds come from a sample: what lies outside them belongs to the end chunks.
     step = F.floor((_micros(ts) - F.col("_lo")) / F.col("_width")).cast("long")
     chunk = (
@@ -90,12 +96,17 @@ def with_preceding(
     carry: Sequence[str],
     prefix: str = "",
     source: DataFrame | None = None,
+    cut: bool = True,
 ) -> DataFrame:
     """Add to each chunk of a hot key copies of the ``k`` rows before it.
 
     Copies hold ``key``, ``order`` and ``carry`` (other columns NULL) and ``_copy`` true.
-    ``source`` may name a cheaper frame than ``rows`` to take them from.
+    ``source`` may name a cheaper frame than ``rows`` to take them from; ``cut=False``
+    says that no key was cut.
     """
+    own = rows.withColumn("_copy", F.lit(False))
+    if not cut:
+        return own
     chunk, hot = f"{prefix}_chunk", f"{prefix}_hot"
     named = list(dict.fromkeys([*order, *carry]))
     newest_first = Window.partitionBy(key, chunk).orderBy(*[F.col(c).desc() for c in order])
@@ -117,7 +128,7 @@ def with_preceding(
         .select(key, chunk, *[F.col(f"_row.{c}").alias(c) for c in named])
         .withColumn("_copy", F.lit(True))
     )
-    return rows.withColumn("_copy", F.lit(False)).unionByName(copies, allowMissingColumns=True)
+    return own.unionByName(copies, allowMissingColumns=True)
 
 
 def drop_preceding(rows: DataFrame, prefix: str = "") -> DataFrame:

@@ -61,7 +61,7 @@ def enrich_from_lookup(
     key: str,
     target: str,
     spread: Sequence[str],
-    skew: Skew = DEFAULT,
+    skew: Skew | None = DEFAULT,
     source: DataFrame | None = None,
 ) -> DataFrame:
     """Fill ``target`` where it is missing with the lookup's value for ``key``.

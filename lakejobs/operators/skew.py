@@ -27,6 +27,14 @@ class Skew:
 
 DEFAULT = Skew()
 
+# Less input than this fits one task whatever its keys are.
+ONE_TASK_BYTES = 256 * 1024 * 1024
+
+
+def for_input(n_bytes: int) -> Skew | None:
+    """How to treat an input of this size: nothing can be hot in a small one."""
+    return DEFAULT if n_bytes > ONE_TASK_BYTES else None
+
 
 def hot_keys(
     rows: DataFrame, key: str, spread: Sequence[str], skew: Skew = DEFAULT, *extra: Column
@@ -55,7 +63,7 @@ def join_lookup(
     lookup: DataFrame,
     key: str,
     spread: Sequence[str],
-    skew: Skew = DEFAULT,
+    skew: Skew | None = DEFAULT,
     source: DataFrame | None = None,
 ) -> DataFrame:
     """Left join with a lookup of one row per key, of any size.
@@ -63,8 +71,11 @@ def join_lookup(
     Rows of a hot key are dealt over its pieces and its lookup row is repeated once per
     piece. (AQE's own skew join does not act here: it needs a shuffle directly under
     both sides, and a lookup that was reduced by key has an aggregate there.)
-    ``source`` may name a cheaper frame with the same rows to count the keys of.
+    ``source`` may name a cheaper frame with the same rows to count the keys of; with
+    ``skew=None`` no key is cut.
     """
+    if skew is None:
+        return rows.join(lookup, key, "left")
     counted = rows if source is None else source
     hot = F.broadcast(hot_keys(counted, key, spread, skew).select(key, "_pieces"))
     pieces = F.coalesce("_pieces", F.lit(1))

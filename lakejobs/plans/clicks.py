@@ -18,20 +18,24 @@ OK_STATUS = 200
 
 def parse_log(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
     """Access-log lines as typed columns, and the lines that are not log lines."""
-    tagged = lines.select(F.col(column).alias("line"), logs.log_fields(F.col(column)).alias("_f"))
+    line = F.col(column)
     field = {name: F.col("_f")[i] for i, name in enumerate(logs.FIELDS)}
-    parsed = tagged.where(F.col("_f").isNotNull()).select(
-        field["ip"].alias("ip"),
-        F.try_to_timestamp(field["time"], F.lit(logs.LOG_TIME_FORMAT)).alias("ts"),
-        field["method"].alias("method"),
-        field["path"].alias("path"),
-        field["status"].cast("int").alias("status"),
-        field["bytes"].try_cast("long").alias("bytes"),
-        field["referer"].alias("referer"),
-        field["agent"].alias("agent"),
+    parsed = (
+        lines.where(~logs.has_separator(line))
+        .select(F.explode(logs.log_fields(line)).alias("_f"))
+        .select(
+            field["ip"].alias("ip"),
+            F.try_to_timestamp(field["time"], F.lit(logs.LOG_TIME_FORMAT)).alias("ts"),
+            field["method"].alias("method"),
+            field["path"].alias("path"),
+            field["status"].cast("int").alias("status"),
+            field["bytes"].try_cast("long").alias("bytes"),
+            field["referer"].alias("referer"),
+            field["agent"].alias("agent"),
+        )
     )
-    rejected = tagged.where(F.col("_f").isNull()).select(
-        F.col("line").alias("record"), F.lit("malformed").alias("reject_reason")
+    rejected = lines.where(~logs.is_log_line(line)).select(
+        line.alias("record"), F.lit("malformed").alias("reject_reason")
     )
     return parsed, rejected
 

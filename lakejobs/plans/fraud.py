@@ -48,16 +48,18 @@ def place_per_merchant(geo: DataFrame) -> DataFrame:
 
 
 def locate(
-    txns: DataFrame, geo: DataFrame, skew: Skew = DEFAULT, source: DataFrame | None = None
+    txns: DataFrame, geo: DataFrame, skew: Skew | None = DEFAULT, source: DataFrame | None = None
 ) -> DataFrame:
     """Add the merchant's coordinates (NULL if unknown)."""
     places = place_per_merchant(geo)
     return join_lookup(txns, places, "merchant_id", ("txn_id",), skew, source)
 
 
-def _located_by_card(txns: DataFrame, geo: DataFrame, skew: Skew, source: DataFrame) -> DataFrame:
+def _located_by_card(
+    txns: DataFrame, geo: DataFrame, skew: Skew | None, source: DataFrame
+) -> DataFrame:
     hot = ordered.hot_timelines(source, "card_id", *ORDER, skew)
-    return locate(ordered.assign_chunks(txns, "card_id", *ORDER, CARD, hot=hot), geo, skew, source)
+    return locate(ordered.assign_chunks(txns, "card_id", *ORDER, CARD, hot), geo, skew, source)
 
 
 def _last(columns: Sequence[str]) -> dict[str, Column]:
@@ -65,9 +67,10 @@ def _last(columns: Sequence[str]) -> dict[str, Column]:
     return {f"last_{c}": ordered.known("card_id", ORDER, F.lag(c).over(w)) for c in columns}
 
 
-def _with_last(located: DataFrame, carry: Sequence[str]) -> DataFrame:
+def _with_last(located: DataFrame, carry: Sequence[str], skew: Skew | None) -> DataFrame:
     """Add ``last_<column>`` of the same card's previous transaction."""
-    ready = ordered.with_preceding(located, "card_id", ORDER, 1, carry, CARD)
+    cut = skew is not None
+    ready = ordered.with_preceding(located, "card_id", ORDER, 1, carry, CARD, cut=cut)
     return ordered.drop_preceding(ready.withColumns(_last((*ORDER, *carry))), CARD)
 
 
@@ -82,22 +85,22 @@ def _with_travel(df: DataFrame) -> DataFrame:
 
 
 def last_transaction(
-    txns: DataFrame, geo: DataFrame, skew: Skew = DEFAULT
+    txns: DataFrame, geo: DataFrame, skew: Skew | None = DEFAULT
 ) -> DataFrame:
     """Every transaction with the one before it on the same card, and both places."""
     located = _located_by_card(txns, geo, skew, txns)
-    return _with_last(located, ("merchant_id", "latitude", "longitude")).select(
+    return _with_last(located, ("merchant_id", "latitude", "longitude"), skew).select(
         "txn_id", "card_id", "ts", "merchant_id", "latitude", "longitude",
         "last_txn_id", "last_ts", "last_merchant_id", "last_latitude", "last_longitude",
     )
 
 
 def distance_over_time(
-    txns: DataFrame, geo: DataFrame, skew: Skew = DEFAULT
+    txns: DataFrame, geo: DataFrame, skew: Skew | None = DEFAULT
 ) -> DataFrame:
     """Distance, elapsed minutes and speed since the card's previous transaction."""
     located = _located_by_card(txns, geo, skew, txns)
-    return _with_travel(_with_last(located, ("latitude", "longitude"))).select(
+    return _with_travel(_with_last(located, ("latitude", "longitude"), skew)).select(
         "txn_id", "card_id", "ts", "distance", "minutes", "speed"
     )
 
@@ -122,11 +125,13 @@ def amount_limits(
     n: int = RECENT,
     k_utl: int = K_UTL,
     k_ctl: int = K_CTL,
-    skew: Skew = DEFAULT,
+    skew: Skew | None = DEFAULT,
 ) -> DataFrame:
     """Each transaction's amount against the limits set by the user's last ``n``."""
-    chunked = ordered.assign_chunks(txns, "user_id", *ORDER, USER, skew)
-    ready = ordered.with_preceding(chunked, "user_id", ORDER, n, ("amount",), USER)
+    hot = ordered.hot_timelines(txns, "user_id", *ORDER, skew)
+    chunked = ordered.assign_chunks(txns, "user_id", *ORDER, USER, hot)
+    cut = skew is not None
+    ready = ordered.with_preceding(chunked, "user_id", ORDER, n, ("amount",), USER, cut=cut)
     limited = ready.withColumns(_limits("user_id", USER, n, k_utl, k_ctl))
     return ordered.drop_preceding(limited, USER).select("txn_id", "user_id", "amount", "utl", "ctl")
 
@@ -168,13 +173,15 @@ def verdict(too_fast: Column, low: Column, amount: Column, utl: Column, ctl: Col
     )
 
 
-def _per_chunk(scores: DataFrame, hot: DataFrame, key: str, chunk: str) -> DataFrame:
+def _per_chunk(scores: DataFrame, hot: DataFrame | None, key: str, chunk: str) -> DataFrame:
     """The lowest score of every key, once for each chunk the key is cut into.
 
     Joined on (key, chunk) it needs no move of the rows: they are there already, for
     the window before it.
     """
     lowest = scores.groupBy(key).agg(F.min("credit_score").alias("credit_score"))
+    if hot is None:
+        return lowest.withColumn(chunk, F.lit(0).cast("long"))
     chunks = F.coalesce("_chunks", F.lit(1))
     return lowest.join(F.broadcast(hot), key, "left").select(
         key, "credit_score", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias(chunk)
@@ -200,7 +207,7 @@ def decide(
     n: int = RECENT,
     k_utl: int = K_UTL,
     k_ctl: int = K_CTL,
-    skew: Skew = DEFAULT,
+    skew: Skew | None = DEFAULT,
 ) -> DataFrame:
     """Add speed, credit_score, utl, ctl and ``status`` to every transaction.
 
@@ -208,10 +215,10 @@ def decide(
     for the recent amounts and the score.
     """
     hot = ordered.hot_timelines(txns, "user_id", *ORDER, skew)
-    by_user = ordered.assign_chunks(txns, "user_id", *ORDER, USER, hot=hot)
+    by_user = ordered.assign_chunks(txns, "user_id", *ORDER, USER, hot)
     located = _located_by_card(by_user, geo, skew, txns)
-    travelled = _with_travel(_with_last(located, ("latitude", "longitude")))
-    ready = ordered.with_preceding(travelled, "user_id", ORDER, n, ("amount",), USER, by_user)
+    travelled = _with_travel(_with_last(located, ("latitude", "longitude"), skew))
+    ready = ordered.with_preceding(travelled, "user_id", ORDER, n, ("amount",), USER, by_user, skew is not None)
     limited = ready.withColumns(_limits("user_id", USER, n, k_utl, k_ctl)).where(~F.col("_copy"))
     chunk = f"{USER}_chunk"
     scores = _per_chunk(bureau, hot, "user_id", chunk)
@@ -227,7 +234,7 @@ def decide_by_card(
     n: int = RECENT,
     k_utl: int = K_UTL,
     k_ctl: int = K_CTL,
-    skew: Skew = DEFAULT,
+    skew: Skew | None = DEFAULT,
 ) -> DataFrame:
     """The same decision where only the card is known, and records carry their place.
 
@@ -235,9 +242,9 @@ def decide_by_card(
     ``scores`` is (card_id, credit_score).
     """
     hot = ordered.hot_timelines(records, "card_id", *ORDER, skew)
-    by_card = ordered.assign_chunks(records, "card_id", *ORDER, CARD, hot=hot)
+    by_card = ordered.assign_chunks(records, "card_id", *ORDER, CARD, hot)
     carry = ("latitude", "longitude", "amount")
-    ready = ordered.with_preceding(by_card, "card_id", ORDER, n, carry, CARD)
+    ready = ordered.with_preceding(by_card, "card_id", ORDER, n, carry, CARD, cut=skew is not None)
     seen = ready.withColumns(
         _last((*ORDER, "latitude", "longitude")) | _limits("card_id", CARD, n, k_utl, k_ctl)
     ).where(~F.col("_copy"))

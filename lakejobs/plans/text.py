@@ -11,7 +11,8 @@ from lakejobs.functions import tokens
 def word_count(lines: DataFrame, column: str = "value") -> DataFrame:
     """Occurrences of every word. Counts are combined in each task before the shuffle."""
     return (
-        lines.select(F.explode(tokens.words(F.col(column))).alias("word"))
+        lines.select(F.explode(tokens.pieces(F.col(column))).alias("word"))
+        .where(F.col("word") != "")
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -23,7 +23,7 @@ def clean_plays(
     plays: DataFrame,
     channel_geocd: DataFrame,
     video_creator: DataFrame,
-    skew: Skew = DEFAULT,
+    skew: Skew | None = DEFAULT,
 ) -> tuple[DataFrame, DataFrame]:
     """Cleaned plays, and those still without a place or a creator after lookup.
 
@@ -56,7 +56,7 @@ def popular_channels(plays: DataFrame) -> DataFrame:
 
 
 def with_user_type(
-    plays: DataFrame, subscriptions: DataFrame, skew: Skew = DEFAULT
+    plays: DataFrame, subscriptions: DataFrame, skew: Skew | None = DEFAULT
 ) -> DataFrame:
     """Add ``user_type``: unsubscribed without a subscription that lasts until the play.
 
@@ -86,7 +86,7 @@ def _total_minutes(column: str = "minutes_played"):
 
 
 def duration_by_user_type(
-    plays: DataFrame, subscriptions: DataFrame, skew: Skew = DEFAULT
+    plays: DataFrame, subscriptions: DataFrame, skew: Skew | None = DEFAULT
 ) -> DataFrame:
     """Total minutes played by each type of user."""
     return with_user_type(plays, subscriptions, skew).groupBy("user_type").agg(_total_minutes())
@@ -136,7 +136,7 @@ def creator_royalty(plays: DataFrame, mode: str = "or") -> DataFrame:
 
 
 def longest_unsubscribed(
-    plays: DataFrame, subscriptions: DataFrame, n: int | None = 10, skew: Skew = DEFAULT
+    plays: DataFrame, subscriptions: DataFrame, n: int | None = 10, skew: Skew | None = DEFAULT
 ) -> DataFrame:
     """Users with the most minutes watched while unsubscribed."""
     watched = (

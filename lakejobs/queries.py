@@ -10,8 +10,9 @@ from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from lakejobs import frames
 from lakejobs.operators import quality, sets
+from lakejobs.operators.skew import Skew, for_input
 from lakejobs.plans import clicks, fraud, text, transit, video
-from lakejobs.session import tune, work_dir
+from lakejobs.session import input_bytes, tune, work_dir
 from lakejobs.sinks.batches import latest
 from lakejobs.streaming import clicks as click_streams
 from lakejobs.streaming import fraud as fraud_streams
@@ -35,6 +36,10 @@ def query(job: Query) -> Query:
     return run
 
 
+def _skew(spark: SparkSession, d: str, table: str) -> Skew | None:
+    return for_input(input_bytes(spark, f"{d}/{table}.parquet"))
+
+
 def _naive(df: DataFrame, *columns: str) -> DataFrame:
     """Times without a zone, as the tables hold them."""
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
@@ -83,7 +88,10 @@ FLAGS = {"liked": 0, "disliked": 0, "shared": 0}
 
 def _clean(spark, d):
     return video.clean_plays(
-        frames.raw_plays(spark, d), frames.channel_geocd(spark, d), frames.video_creator(spark, d)
+        frames.raw_plays(spark, d),
+        frames.channel_geocd(spark, d),
+        frames.video_creator(spark, d),
+        _skew(spark, d, "events"),
     )
 
 
@@ -184,7 +192,9 @@ def video_popular_channels(spark, d):
 
 @query
 def video_duration_by_user_type(spark, d):
-    return video.duration_by_user_type(frames.plays(spark, d), _subscriptions(spark, d))
+    return video.duration_by_user_type(
+        frames.plays(spark, d), _subscriptions(spark, d), _skew(spark, d, "events")
+    )
 
 
 @query
@@ -209,7 +219,9 @@ def video_creator_royalty(spark, d):
 
 @query
 def video_longest_unsubscribed(spark, d):
-    return video.longest_unsubscribed(frames.plays(spark, d), _subscriptions(spark, d))
+    return video.longest_unsubscribed(
+        frames.plays(spark, d), _subscriptions(spark, d), skew=_skew(spark, d, "events")
+    )
 
 
 # --- fraud -----------------------------------------------------------------------------
@@ -221,7 +233,7 @@ def _geo(spark, d):
 
 def _decided(spark, d):
     txns, bureau = frames.transactions(spark, d), frames.bureau(spark, d)
-    return fraud.decide(txns, _geo(spark, d), bureau)
+    return fraud.decide(txns, _geo(spark, d), bureau, skew=_skew(spark, d, "orders"))
 
 
 @query
@@ -231,13 +243,15 @@ def fraud_merchant_geo(spark, d):
 
 @query
 def fraud_last_transaction(spark, d):
-    last = fraud.last_transaction(frames.transactions(spark, d), _geo(spark, d))
+    txns, skew = frames.transactions(spark, d), _skew(spark, d, "orders")
+    last = fraud.last_transaction(txns, _geo(spark, d), skew)
     return _naive(last, "ts", "last_ts")
 
 
 @query
 def fraud_distance_over_time(spark, d):
-    dot = fraud.distance_over_time(frames.transactions(spark, d), _geo(spark, d))
+    txns, skew = frames.transactions(spark, d), _skew(spark, d, "orders")
+    dot = fraud.distance_over_time(txns, _geo(spark, d), skew)
     return _naive(_rounded(dot, 3, "distance", "minutes", "speed"), "ts")
 
 
@@ -248,7 +262,8 @@ def fraud_low_score(spark, d):
 
 @query
 def fraud_amount_limits(spark, d):
-    return _rounded(fraud.amount_limits(frames.transactions(spark, d)), 4, "utl", "ctl")
+    limits = fraud.amount_limits(frames.transactions(spark, d), skew=_skew(spark, d, "orders"))
+    return _rounded(limits, 4, "utl", "ctl")
 
 
 @query
@@ -406,10 +421,9 @@ def stream_fraud_decision(spark, d):
     scores = frames.bureau(spark, d).select(
         F.col("user_id").cast("string").alias("card_id"), "credit_score"
     )
-    started = fraud_streams.decide_stream(
-        _pos_stream(spark, d), scores, out, f"{out}/checkpoint"
-    )
-    started.awaitTermination()
+    fraud_streams.decide_stream(
+        _pos_stream(spark, d), scores, out, f"{out}/checkpoint", skew=_skew(spark, d, "orders")
+    ).awaitTermination()
     decided = spark.read.parquet(f"{out}/decided")
     return _rounded(decided, 3, "speed").select(
         F.col("txn_id").cast("long"), F.col("card_id").cast("long"), "amount", "speed", "status"
@@ -423,7 +437,7 @@ def stream_pos_strikes(spark, d):
         F.col("user_id").cast("string").alias("card_id"), "credit_score"
     )
     fraud_streams.decide_stream(
-        _pos_stream(spark, d), scores, out, f"{out}/checkpoint"
+        _pos_stream(spark, d), scores, out, f"{out}/checkpoint", skew=_skew(spark, d, "orders")
     ).awaitTermination()
     path = f"{out}/decided"
     decided = file_stream(spark, path, spark.read.parquet(path).schema)

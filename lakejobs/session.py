@@ -33,17 +33,31 @@ def build_session(app: str = "lakejobs", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
+
+
 def input_bytes(spark: SparkSession, *paths: str) -> int:
     """Bytes under ``paths``, asked of the file system (no data is read)."""
     total = 0
     for path in paths:
-        hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs, hpath = _file_system(spark, path)
         if fs.exists(hpath):
             total += fs.getContentSummary(hpath).getLength()
     return total
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _file_system(spark, path)
+    return fs.exists(hpath) and fs.getFileStatus(hpath).isFile()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, hpath = _file_system(spark, path)
+    fs.delete(hpath, True)
+
+
 def tune(spark: SparkSession, *paths: str) -> SparkSession:
     """Apply SETTINGS to a running session and size its shuffles for ``paths``.
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakejobs.operators.skew import DEFAULT, Skew, join_lookup
 from lakejobs.plans import fraud
+from lakejobs.session import delete
 from lakejobs.sinks.batches import batch_path, write_batch
 from lakejobs.streaming import jobs
 
@@ -47,7 +48,7 @@ def blacklist_query(
 
 
 def split_late(
-    records: DataFrame, memory: DataFrame, skew: Skew = DEFAULT
+    records: DataFrame, memory: DataFrame, skew: Skew | None = DEFAULT
 ) -> tuple[DataFrame, DataFrame]:
     """Records after, and records before, the last one already decided on their card."""
     last = memory.groupBy("card_id").agg(F.max(F.struct(*fraud.ORDER)).alias("_last"))
@@ -68,11 +69,6 @@ def remember(records: DataFrame, n: int = fraud.RECENT) -> DataFrame:
     )
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
-
-
 def decide_stream(
     lines: DataFrame,
     scores: DataFrame,
@@ -80,7 +76,7 @@ def decide_stream(
     checkpoint: str,
     interval: str | None = None,
     n: int = fraud.RECENT,
-    skew: Skew = DEFAULT,
+    skew: Skew | None = DEFAULT,
     **rules,
 ) -> StreamingQuery:
     """Decide every record; each micro-batch goes on where the one before it stopped.
@@ -113,7 +109,7 @@ def decide_stream(
         write_batch(late, batch_id, f"{path}/late")
         write_batch(remember(timeline, n), batch_id, f"{path}/memory")
         if batch_id > 1:
-            _delete(spark, batch_path(f"{path}/memory", batch_id - 2))
+            delete(spark, batch_path(f"{path}/memory", batch_id - 2))
         batch.unpersist()
 
     return jobs.start(records, decide, checkpoint, interval)

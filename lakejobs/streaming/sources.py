@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from lakejobs.session import is_file
 from lakejobs.sources.topics import kafka_stream
 
 
@@ -13,15 +14,16 @@ def file_stream(
 ) -> DataFrame:
     """Files of a folder, or one file, as a stream.
 
-    The last part of the path is written as a glob, because the file source takes a
-    plain path to be a folder. ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound a
-    micro-batch.
+    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound a micro-batch.
     """
-    parent, _, name = path.rstrip("/").rpartition("/")
     reader = spark.readStream.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(f"{parent}/{{{name}}}")
+    if is_file(spark, path):
+        # The file source takes a plain path to be a folder, but a glob may name a file.
+        parent, _, name = path.rpartition("/")
+        path = f"{parent}/{{{name}}}"
+    return reader.load(path)
 
 
 def stream_source(spark: SparkSession, kind: str, **options) -> DataFrame:
