@@ -41,9 +41,9 @@ def hot_timelines(
     timed = rows.where(F.col(ts).isNotNull())
     bounds = (F.min(_micros(ts)).alias("_lo"), F.max(_micros(ts)).alias("_hi"))
     hot = skewed.hot_keys(timed, key, (ts, tie), skew, *bounds)
-    chunks = F.col("_pieces") * OVERSPLIT
+    chunks = skewed.pieces_of(skew) * OVERSPLIT
     width = F.ceil((F.col("_hi") - F.col("_lo") + 1) / chunks).cast("long")
-    return hot.select(key, "_lo", width.alias("_width"), chunks.cast("long").alias("_chunks"))
+    return hot.select(key, "_lo", width.alias("_width"), chunks.alias("_chunks"))
 
 
 def assign_chunks(
@@ -60,21 +60,21 @@ def assign_chunks(
     key or a time have no timeline; they are spread by ``tie`` so they cannot pile up in
     one task either.
     """
+    no_timeline = F.col(key).isNull() | F.col(ts).isNull()
+    apart = F.when(no_timeline, F.xxhash64(tie))
     if hot is None:
         return rows.withColumns(
-            {f"{prefix}_chunk": F.lit(0).cast("long"), f"{prefix}_hot": F.lit(False)}
+            {f"{prefix}_chunk": apart.otherwise(0).cast("long"), f"{prefix}_hot": F.lit(False)}
         )
     # The bounds come from a sample: what lies outside them belongs to the end chunks.
     step = F.floor((_micros(ts) - F.col("_lo")) / F.col("_width")).cast("long")
-    chunk = (
-        F.when(F.col(key).isNull() | F.col(ts).isNull(), F.xxhash64(tie))
-        .when(F.col("_lo").isNull(), F.lit(0).cast("long"))
-        .otherwise(F.greatest(F.lit(0).cast("long"), F.least(step, F.col("_chunks") - 1)))
+    chunk = apart.when(F.col("_lo").isNull(), F.lit(0).cast("long")).otherwise(
+        F.greatest(F.lit(0).cast("long"), F.least(step, F.col("_chunks") - 1))
     )
     return (
         rows.join(F.broadcast(hot), key, "left")
         .withColumn(f"{prefix}_chunk", chunk)
-        .withColumn(f"{prefix}_hot", F.col("_lo").isNotNull() & F.col(ts).isNotNull())
+        .withColumn(f"{prefix}_hot", F.col("_lo").isNotNull() & ~no_timeline)
         .drop("_lo", "_width", "_chunks")
     )
 

@@ -39,7 +39,7 @@ def for_input(n_bytes: int) -> Skew | None:
 def hot_keys(
     rows: DataFrame, key: str, spread: Sequence[str], skew: Skew = DEFAULT, *extra: Column
 ) -> DataFrame:
-    """Hot keys, with ``_pieces`` to cut each into, and ``extra`` aggregates of the sample.
+    """Hot keys with ``_n``, their estimated rows, and ``extra`` aggregates of the sample.
 
     ``spread`` names columns that differ between the rows of a key. The sample is taken
     by their hash, so it is the same one in every branch and every retry of a plan.
@@ -53,11 +53,14 @@ def hot_keys(
         .where(F.col("_n") > skew.target_rows)
         .orderBy(F.col("_n").desc(), key)
         .limit(skew.max_keys)
-        .withColumn("_pieces", F.ceil(F.col("_n") / skew.target_rows).cast("int"))
-        .drop("_n")
     )
 
 
+def pieces_of(skew: Skew) -> Column:
+    """Into how many pieces a hot key is cut."""
+    return F.ceil(F.col("_n") / skew.target_rows).cast("long")
+
+
 def join_lookup(
     rows: DataFrame,
     lookup: DataFrame,
@@ -77,8 +80,9 @@ def join_lookup(
     if skew is None:
         return rows.join(lookup, key, "left")
     counted = rows if source is None else source
-    hot = F.broadcast(hot_keys(counted, key, spread, skew).select(key, "_pieces"))
-    pieces = F.coalesce("_pieces", F.lit(1))
+    found = hot_keys(counted, key, spread, skew)
+    hot = F.broadcast(found.select(key, pieces_of(skew).alias("_pieces")))
+    pieces = F.coalesce("_pieces", F.lit(1).cast("long"))
     # Rows without a key match nothing; a piece of their own keeps them apart.
     piece = F.when(F.col(key).isNull(), F.xxhash64(*spread)).otherwise(
         F.pmod(F.xxhash64(*spread), pieces)

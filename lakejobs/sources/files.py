@@ -108,16 +108,21 @@ def read_csv_positional(
 
 
 def list_files(spark: SparkSession, path: str, name_pattern: str | None = None) -> DataFrame:
-    """Name, size, emptiness and name check of every file under ``path``; reads no content."""
+    """Name, size, emptiness and name check of every file under ``path``; reads no content.
+
+    A scan passes over empty files, so the names come from the scan's own file index
+    (which the driver holds in any case) and the sizes are joined to them.
+    """
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    # One lists "file:///x", the other "file:/x".
+    uri = F.regexp_replace("path", "^([a-z0-9]+:)/+", "$1/").alias("path")
+    names = spark.createDataFrame([(f,) for f in scan.inputFiles()], "path string").select(uri)
+    sizes = scan.select(uri, "length")
     name = F.element_at(F.split("path", "/"), -1)
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(
-            name.alias("file_name"),
-            F.col("length").alias("n_bytes"),
-            (F.col("length") == 0).alias("is_empty"),
-            (name.rlike(name_pattern) if name_pattern else F.lit(True)).alias("name_ok"),
-        )
+    n_bytes = F.coalesce("length", F.lit(0))
+    return names.join(sizes, "path", "left").select(
+        name.alias("file_name"),
+        n_bytes.alias("n_bytes"),
+        (n_bytes == 0).alias("is_empty"),
+        (name.rlike(name_pattern) if name_pattern else F.lit(True)).alias("name_ok"),
     )

@@ -1,0 +1,28 @@
+"""Every registered query against its SQL."""
+
+import pytest
+from conftest import SF
+from oracle_check import compare, connect
+
+import __spark_entry__ as entry
+
+QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(SF)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_sql(spark, duck, name):
+    assert compare(spark, duck, name, QUERIES[name], ORACLES[name], SF) == ""
+
+
+def test_entry_gives_every_transaction_one_status(spark):
+    counts = {r["status"]: r["count"] for r in entry.entry(spark).groupBy("status").count().collect()}
+    assert counts == {"Approved": 1314, "Approval Pending": 17, "Suspicious": 169}
