@@ -7,9 +7,13 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def except_rows(left: DataFrame, right: DataFrame, keep_repeats: bool = False) -> DataFrame:
-    """Rows of ``left`` not in ``right``: distinct rows, or all with ``keep_repeats``."""
-    return left.exceptAll(right) if keep_repeats else left.subtract(right)
+def except_rows(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The different rows of ``left`` that are not in ``right``.
+
+    Spark removes repeats only after the anti-join; doing it on both sides before keeps
+    many copies of one row out of the join's shuffle.
+    """
+    return left.distinct().subtract(right.distinct())
 
 
 def union_rows(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -92,16 +92,18 @@ def duration_by_user_type(
     return with_user_type(plays, subscriptions, skew).groupBy("user_type").agg(_total_minutes())
 
 
-def connected_creators(plays: DataFrame, user_creator: DataFrame) -> DataFrame:
+def connected_creators(
+    plays: DataFrame, user_creator: DataFrame, skew: Skew | None = DEFAULT
+) -> DataFrame:
     """Creators by number of different followers who watched something.
 
     Plays are reduced to different users before the join: a heavy viewer joins once.
     """
-    watchers = plays.select("user_id").distinct()
+    watchers = plays.select("user_id").distinct().withColumn("_watched", F.lit(True))
+    follows = user_creator.select("user_id", "creator_id").distinct()
     return (
-        user_creator.select("user_id", "creator_id")
-        .distinct()
-        .join(watchers, "user_id")
+        join_lookup(follows, watchers, "user_id", ("creator_id",), skew, user_creator)
+        .where("_watched")
         .groupBy("creator_id")
         .agg(F.count("user_id").alias("count_user"))
         .orderBy(F.col("count_user").desc(), "creator_id")

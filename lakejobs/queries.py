@@ -199,7 +199,9 @@ def video_duration_by_user_type(spark, d):
 
 @query
 def video_connected_creators(spark, d):
-    return video.connected_creators(frames.plays(spark, d), frames.user_creator(spark, d))
+    return video.connected_creators(
+        frames.plays(spark, d), frames.user_creator(spark, d), _skew(spark, d, "customer")
+    )
 
 
 @query

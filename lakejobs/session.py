@@ -20,8 +20,14 @@ SETTINGS = {
     ),
 }
 
-PARTITION_BYTES = 128 * 1024 * 1024
-MAX_PARTITIONS = 100_000
+MB = 1024 * 1024
+PARTITION_BYTES = 128 * MB
+# Map tasks times shuffle partitions is the number of blocks a shuffle keeps track of:
+# 100 TB is read by 200,000 tasks, so more partitions than this would cost more than the
+# larger ones do.
+MAX_PARTITIONS = 20_000
+MAX_SCAN_TASKS = 200_000
+MAX_SCAN_BYTES = 512 * MB
 
 
 def build_session(app: str = "lakejobs", master: str | None = None, **conf: str) -> SparkSession:
@@ -59,17 +65,20 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def tune(spark: SparkSession, *paths: str) -> SparkSession:
-    """Apply SETTINGS to a running session and size its shuffles for ``paths``.
+    """Apply SETTINGS to a running session and size scans and shuffles for ``paths``.
 
-    Only the number AQE starts from is raised; AQE merges small partitions again.
+    Shuffles only start from the larger number; AQE merges small partitions again.
     """
-    for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+    settings = dict(SETTINGS)
     if paths:
-        wanted = input_bytes(spark, *paths) // PARTITION_BYTES
+        n_bytes = input_bytes(spark, *paths)
         base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        initial = min(max(base, wanted), MAX_PARTITIONS)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial))
+        initial = min(max(base, n_bytes // PARTITION_BYTES), MAX_PARTITIONS)
+        scan = min(max(PARTITION_BYTES, n_bytes // MAX_SCAN_TASKS), MAX_SCAN_BYTES)
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial)
+        settings["spark.sql.files.maxPartitionBytes"] = str(scan)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     return spark
 
 

@@ -33,16 +33,14 @@ def blacklist_query(
     records, _ = fraud.parse_stream(lines)
 
     def match(batch: DataFrame, batch_id: int) -> None:
-        # Both lists are matched against the batch: keep it, not to fetch it twice.
-        batch.persist()
-        hits = [
-            fraud.blacklist_hits(batch, blacklist, on)
-            .select(batch.columns)
-            .withColumn("matched_on", F.lit(on))
-            for blacklist, on in ((read_cards(), "card_id"), (read_merchants(), "merchant_id"))
-        ]
-        write(hits[0].unionByName(hits[1]), batch_id)
-        batch.unpersist()
+        with jobs.kept(batch):
+            hits = [
+                fraud.blacklist_hits(batch, blacklist, on)
+                .select(batch.columns)
+                .withColumn("matched_on", F.lit(on))
+                for blacklist, on in ((read_cards(), "card_id"), (read_merchants(), "merchant_id"))
+            ]
+            write(hits[0].unionByName(hits[1]), batch_id)
 
     return jobs.start(records, match, checkpoint, interval)
 
@@ -90,27 +88,23 @@ def decide_stream(
     records, _ = fraud.parse_stream(lines)
 
     def decide(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # Cut points, decisions and memory each read the batch: fetch it once.
-        batch.persist()
-        fresh = batch
-        late = batch.limit(0)
-        seen = batch.limit(0).select(*MEMORY)
-        if batch_id > 0:
-            seen = spark.read.schema(seen.schema).parquet(
-                batch_path(f"{path}/memory", batch_id - 1)
+        with jobs.kept(batch):
+            spark = batch.sparkSession
+            fresh, late = batch, batch.limit(0)
+            seen = batch.limit(0).select(*MEMORY)
+            if batch_id > 0:
+                memory = batch_path(f"{path}/memory", batch_id - 1)
+                seen = spark.read.schema(seen.schema).parquet(memory)
+                fresh, late = split_late(batch, seen, skew)
+            timeline = fresh.withColumn("_seen", F.lit(False)).unionByName(
+                seen.withColumn("_seen", F.lit(True)), allowMissingColumns=True
             )
-            fresh, late = split_late(batch, seen, skew)
-        timeline = fresh.withColumn("_seen", F.lit(False)).unionByName(
-            seen.withColumn("_seen", F.lit(True)), allowMissingColumns=True
-        )
-        decided = fraud.decide_by_card(timeline, scores, n=n, skew=skew, **rules)
-        write_batch(decided.where(~F.col("_seen")).drop("_seen"), batch_id, f"{path}/decided")
-        write_batch(late, batch_id, f"{path}/late")
-        write_batch(remember(timeline, n), batch_id, f"{path}/memory")
-        if batch_id > 1:
-            delete(spark, batch_path(f"{path}/memory", batch_id - 2))
-        batch.unpersist()
+            decided = fraud.decide_by_card(timeline, scores, n=n, skew=skew, **rules)
+            write_batch(decided.where(~F.col("_seen")).drop("_seen"), batch_id, f"{path}/decided")
+            write_batch(late, batch_id, f"{path}/late")
+            write_batch(remember(timeline, n), batch_id, f"{path}/memory")
+            if batch_id > 1:
+                delete(spark, batch_path(f"{path}/memory", batch_id - 2))
 
     return jobs.start(records, decide, checkpoint, interval)
 

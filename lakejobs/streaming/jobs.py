@@ -15,10 +15,15 @@ BatchWriter = Callable[[DataFrame, int], None]
 
 @contextmanager
 def _state_partitions(spark: SparkSession, n: int | None):
-    """A stateful query keeps the shuffle partitions it first starts with for good."""
+    """A stateful query keeps the shuffle partitions it first starts with for good.
+
+    By default one per core, and on a cluster no fewer than the session has.
+    """
     name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(n or spark.sparkContext.defaultParallelism))
+    before, cores = spark.conf.get(name), spark.sparkContext.defaultParallelism
+    if not spark.sparkContext.master.startswith("local"):
+        cores = max(cores, int(before))
+    spark.conf.set(name, str(n or cores))
     try:
         yield
     finally:
@@ -51,6 +56,20 @@ def into_batches(path: str, fmt: str = "parquet") -> BatchWriter:
     return lambda df, batch_id: write_batch(df, batch_id, path, fmt)
 
 
+@contextmanager
+def kept(batch: DataFrame):
+    """Keep a micro-batch that is read more than once, so as to fetch it once.
+
+    It is bounded by the source's per-trigger options, and read again from the source
+    where an executor holding a part of it is lost.
+    """
+    batch.persist()
+    try:
+        yield batch
+    finally:
+        batch.unpersist()
+
+
 def land_raw(
     lines: DataFrame,
     path: str,

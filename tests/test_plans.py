@@ -7,7 +7,7 @@ from lakejobs import frames
 from lakejobs.operators.skew import DEFAULT
 from lakejobs.plans import fraud, text, transit, video
 from lakejobs.queries import QUERIES
-from lakejobs.session import MAX_PARTITIONS, input_bytes, tune, work_dir
+from lakejobs.session import MAX_PARTITIONS, input_bytes, tune, work_dir, work_root
 
 BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
 
@@ -63,13 +63,38 @@ def test_large_sides_are_not_broadcast_and_scores_join_in_place(spark, conf):
     assert len(exchanges_of(p, "user_chunk")) == 3
 
 
-def test_initial_partitions_follow_the_input(spark, conf, monkeypatch):
-    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    conf(**{name.replace(".", "__"): "8"})
-    for n_bytes, want in ((1, "8"), (10**12, "7450"), (10**15, str(MAX_PARTITIONS))):
+def test_scans_and_shuffles_follow_the_input(spark, conf, monkeypatch):
+    shuffle = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    scan = "spark.sql.files.maxPartitionBytes"
+    conf(**{name.replace(".", "__"): spark.conf.get(name, "8") for name in (shuffle, scan)})
+    for n_bytes, partitions, megabytes in ((1, 8, 128), (10**12, 7450, 128), (10**14, MAX_PARTITIONS, 476)):
         monkeypatch.setattr("lakejobs.session.input_bytes", lambda *_: n_bytes)
         tune(spark, "x")
-        assert spark.conf.get(name) == want
+        assert int(spark.conf.get(shuffle)) == partitions
+        assert int(spark.conf.get(scan)) // 2**20 == megabytes
+
+
+class Elsewhere:
+    """A session on a cluster, with or without a shared folder."""
+
+    def __init__(self, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = type("Context", (), {"master": "spark://m:7077"})()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_root(Elsewhere())
+    assert work_root(Elsewhere("s3a://shared/cp/")) == "s3a://shared/cp"
+
+
+def test_without_hot_keys_nothing_is_cut(spark):
+    txns = frames.transactions(spark, SF)
+    limits = fraud.amount_limits(txns, skew=DEFAULT)
+    limits.collect()
+    final = plan(limits).split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in final
+    assert "Union" not in final and final.count("FileScan") == 1
 
 
 def test_input_bytes_are_those_of_the_files(spark, tmp_path):
