@@ -111,13 +111,17 @@ def low_score(txns: DataFrame, bureau: DataFrame, limit: int = MIN_SCORE) -> Dat
     return txns.join(poor, "user_id").select("txn_id", "user_id", "credit_score")
 
 
-def _limits(key: str, prefix: str, n: int, k_utl: int, k_ctl: int) -> dict[str, Column]:
-    """``utl`` and ``ctl`` from the key's ``n`` amounts before; NULL until there are 2."""
+def _usual(key: str, prefix: str, n: int) -> Column:
+    """Deviation plus mean of the key's ``n`` amounts before; NULL until there are 2."""
     over = ordered.timeline(key, ORDER, prefix).rowsBetween(-n, -1)
     usual = F.stddev_samp("amount").over(over) + F.avg("amount").over(over)
-    return {
-        name: ordered.known(key, ORDER, k * usual) for name, k in (("utl", k_utl), ("ctl", k_ctl))
-    }
+    return ordered.known(key, ORDER, usual)
+
+
+def _with_limits(df: DataFrame, k_utl: int, k_ctl: int) -> DataFrame:
+    """Turn ``_usual`` into the limits ``utl`` and ``ctl``."""
+    usual = F.col("_usual")
+    return df.withColumns({"utl": k_utl * usual, "ctl": k_ctl * usual}).drop("_usual")
 
 
 def amount_limits(
@@ -132,7 +136,7 @@ def amount_limits(
     chunked = ordered.assign_chunks(txns, "user_id", *ORDER, USER, hot)
     cut = skew is not None
     ready = ordered.with_preceding(chunked, "user_id", ORDER, n, ("amount",), USER, cut=cut)
-    limited = ready.withColumns(_limits("user_id", USER, n, k_utl, k_ctl))
+    limited = _with_limits(ready.withColumn("_usual", _usual("user_id", USER, n)), k_utl, k_ctl)
     return ordered.drop_preceding(limited, USER).select("txn_id", "user_id", "amount", "utl", "ctl")
 
 
@@ -219,7 +223,8 @@ def decide(
     located = _located_by_card(by_user, geo, skew, txns)
     travelled = _with_travel(_with_last(located, ("latitude", "longitude"), skew))
     ready = ordered.with_preceding(travelled, "user_id", ORDER, n, ("amount",), USER, by_user, skew is not None)
-    limited = ready.withColumns(_limits("user_id", USER, n, k_utl, k_ctl)).where(~F.col("_copy"))
+    seen = ready.withColumn("_usual", _usual("user_id", USER, n)).where(~F.col("_copy"))
+    limited = _with_limits(seen, k_utl, k_ctl)
     chunk = f"{USER}_chunk"
     scores = _per_chunk(bureau, hot, "user_id", chunk)
     decided = limited.join(scores, ["user_id", chunk], "left")
@@ -245,11 +250,11 @@ def decide_by_card(
     by_card = ordered.assign_chunks(records, "card_id", *ORDER, CARD, hot)
     carry = ("latitude", "longitude", "amount")
     ready = ordered.with_preceding(by_card, "card_id", ORDER, n, carry, CARD, cut=skew is not None)
-    seen = ready.withColumns(
-        _last((*ORDER, "latitude", "longitude")) | _limits("card_id", CARD, n, k_utl, k_ctl)
-    ).where(~F.col("_copy"))
+    looks_back = _last((*ORDER, "latitude", "longitude")) | {"_usual": _usual("card_id", CARD, n)}
+    seen = ready.withColumns(looks_back).where(~F.col("_copy"))
     chunk = f"{CARD}_chunk"
-    scored = seen.join(_per_chunk(scores, hot, "card_id", chunk), ["card_id", chunk], "left")
+    limited = _with_limits(seen, k_utl, k_ctl)
+    scored = limited.join(_per_chunk(scores, hot, "card_id", chunk), ["card_id", chunk], "left")
     return ordered.drop_preceding(_with_travel(scored), CARD).withColumn(
         "status", _status(dot, min_score)
     )
