@@ -6,12 +6,13 @@ tables are DataFrames, from ``sources.jdbc.read_table`` or anywhere else.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakejobs import schemas
-from lakejobs.operators.quality import require_non_empty
+from lakejobs.operators.quality import require_non_empty, split_malformed, split_tagged
 from lakejobs.operators.skew import for_input
 from lakejobs.plans import fraud, text, transit, video
 from lakejobs.session import input_bytes, tune
@@ -25,10 +26,20 @@ def _write_all(tables: Mapping[str, DataFrame], out: str, fmt: str) -> None:
         write_table(df, f"{out}/{name}", fmt, **options)
 
 
+def _stored(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write a table that is read more than once, and read it back."""
+    write_table(df, path, partition_by=partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def transit_job(spark: SparkSession, stops_path: str, out: str, fmt: str = "parquet") -> None:
-    """Landed stop searches -> ``top_stops``, ``max_boardings``, ``rejected``."""
+    """Landed stop searches -> ``top_stops``, ``max_boardings``, ``rejected``.
+
+    The landed files are parsed once, into ``ingested``.
+    """
     tune(spark, stops_path)
-    stops, rejected = files.read_csv_checked(spark, stops_path, schemas.STOPS)
+    ingested = _stored(files.read_csv_raw(spark, stops_path, schemas.STOPS), f"{out}/ingested")
+    stops, rejected = split_malformed(ingested, stored=True)
     require_non_empty(stops, "stops")
     top = transit.top_stops(stops)
     boardings = transit.max_boardings(stops, top)
@@ -43,39 +54,32 @@ def video_job(
     out: str,
     fmt: str = "parquet",
 ) -> None:
-    """Plays in CSV and XML -> ``processed`` plays, five reports, and both kinds of reject.
+    """Plays in CSV and XML -> ``malformed``, ``cleaned`` (by ``valid``) and six reports.
 
     ``lookups`` holds ``user_subscn``, ``user_creator``, ``channel_geocd`` and
-    ``video_creator``. The reports read the processed plays back, not the raw files again.
+    ``video_creator``. The raw files are parsed once, into ``ingested``; cleaned plays are
+    computed once, and the reports read the valid ones back.
     """
     tune(spark, csv_path, xml_path)
     skew = for_input(input_bytes(spark, csv_path, xml_path))
-    from_csv, bad_csv = files.read_csv_checked(
-        spark, csv_path, schemas.VIDEO_PLAYS, ts_format=schemas.TS_FORMAT
-    )
-    from_xml, bad_xml = files.read_xml_checked(
-        spark, xml_path, "record", schemas.VIDEO_PLAYS, schemas.TS_FORMAT
-    )
-    require_non_empty(from_csv, "CSV plays")
-    require_non_empty(from_xml, "XML plays")
-    valid, invalid = video.clean_plays(
-        video.combine_sources(from_csv, from_xml),
-        lookups["channel_geocd"],
-        lookups["video_creator"],
-        skew,
-    )
-    malformed = bad_csv.unionByName(bad_xml)
-    _write_all({"malformed": malformed, "invalid": invalid}, out, fmt)
-    write_table(valid, f"{out}/processed")
-    plays = spark.read.schema(valid.schema).parquet(f"{out}/processed")
+    plays, pattern = schemas.VIDEO_PLAYS, schemas.TS_FORMAT
+    from_csv = files.read_csv_raw(spark, csv_path, plays, ts_format=pattern)
+    from_xml = files.read_xml_raw(spark, xml_path, "record", plays, pattern)
+    ingested = _stored(video.combine_sources(from_csv, from_xml), f"{out}/ingested")
+    good, malformed = split_malformed(ingested, stored=True)
+    for source in ("csv", "xml"):
+        require_non_empty(good.where(F.col("source") == source), f"{source} plays")
+    tagged = video.tag_plays(good, lookups["channel_geocd"], lookups["video_creator"], skew)
+    valid, _ = split_tagged(_stored(tagged, f"{out}/cleaned", ["valid"]))
     subscriptions = video.subscription_times(lookups["user_subscn"])
     reports = {
-        "popular_channels": video.popular_channels(plays),
-        "duration_by_user_type": video.duration_by_user_type(plays, subscriptions, skew),
-        "connected_creators": video.connected_creators(plays, lookups["user_creator"], skew),
-        "royalty": video.royalty(plays),
-        "creator_royalty": video.creator_royalty(plays),
-        "longest_unsubscribed": video.longest_unsubscribed(plays, subscriptions, skew=skew),
+        "malformed": malformed,
+        "popular_channels": video.popular_channels(valid),
+        "duration_by_user_type": video.duration_by_user_type(valid, subscriptions, skew),
+        "connected_creators": video.connected_creators(valid, lookups["user_creator"], skew),
+        "royalty": video.royalty(valid),
+        "creator_royalty": video.creator_royalty(valid),
+        "longest_unsubscribed": video.longest_unsubscribed(valid, subscriptions, skew=skew),
     }
     _write_all(reports, out, fmt)
 
@@ -110,8 +114,7 @@ def fraud_job(
     txns = transactions.drop("status").withColumnRenamed("timestamp", "ts")
     skew = for_input(n_bytes) if n_bytes is not None else fraud.DEFAULT
     decided = fraud.decide(txns, fraud.merchant_geo(zips, merchants), bureau, skew=skew)
-    write_table(decided, f"{out}/decided")
-    written = spark.read.schema(decided.schema).parquet(f"{out}/decided")
+    written = _stored(decided, f"{out}/decided")
     rejected = bad_merchants.unionByName(bad_zips).unionByName(bad_bureau)
     lists = {
         "pos_blacklist": fraud.pos_blacklist(written),

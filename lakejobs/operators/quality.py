@@ -15,17 +15,20 @@ CORRUPT = "_corrupt_record"
 REASON = "reject_reason"
 
 
-def split_malformed(raw: DataFrame, corrupt: str = CORRUPT) -> tuple[DataFrame, DataFrame]:
+def split_malformed(
+    raw: DataFrame, corrupt: str = CORRUPT, stored: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Split a PERMISSIVE read into parsed rows and rejected records.
 
     Which records count as malformed depends on the columns the reader is asked for, so
     a later ``select`` or ``count`` could move rows from one side to the other. Every
-    column is therefore mentioned in the filter, in a test that is always true.
+    column is therefore mentioned in the filter, in a test that is always true. A
+    ``stored`` read, written to a table with its corrupt-record column, needs none.
     """
     fields = [c for c in raw.columns if c != corrupt]
-    all_parsed = F.hash(*fields) >= F.lit(-(2**31))
-    good = raw.where(all_parsed & F.col(corrupt).isNull()).drop(corrupt)
-    rejected = raw.where(all_parsed & F.col(corrupt).isNotNull()).select(
+    parsed = F.lit(True) if stored else F.hash(*fields) >= F.lit(-(2**31))
+    good = raw.where(parsed & F.col(corrupt).isNull()).drop(corrupt)
+    rejected = raw.where(parsed & F.col(corrupt).isNotNull()).select(
         F.col(corrupt).alias("record"), F.lit("malformed").alias(REASON)
     )
     return good, rejected
@@ -75,12 +78,22 @@ def enrich_from_lookup(
     return found.withColumn(target, F.coalesce(present, "_found")).drop("_found")
 
 
+def tag_valid(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Add ``reject_reason`` (empty on a good row) and ``valid``."""
+    tagged = df.withColumn(REASON, missing_reason(required))
+    return tagged.withColumn("valid", F.col(REASON) == "")
+
+
+def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return (
+        tagged.where(F.col("valid")).drop("valid", REASON),
+        tagged.where(~F.col("valid")).drop("valid"),
+    )
+
+
 def split_valid(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with every required column, and the others with the missing ones named."""
-    reason = missing_reason(required)
-    tagged = df.withColumn(REASON, reason)
-    valid = tagged.where(F.col(REASON) == "").drop(REASON)
-    return valid, tagged.where(F.col(REASON) != "")
+    return split_tagged(tag_valid(df, required))
 
 
 def missing_reason(required: Sequence[str]) -> Column:

@@ -19,26 +19,37 @@ def combine_sources(csv_plays: DataFrame, xml_plays: DataFrame) -> DataFrame:
     )
 
 
-def clean_plays(
+def tag_plays(
     plays: DataFrame,
     channel_geocd: DataFrame,
     video_creator: DataFrame,
     skew: Skew | None = DEFAULT,
-) -> tuple[DataFrame, DataFrame]:
-    """Cleaned plays, and those still without a place or a creator after lookup.
+) -> DataFrame:
+    """Cleaned plays with ``valid`` and ``reject_reason``.
 
     Missing likes and dislikes count as 0; a missing place is looked up by channel and a
-    missing creator by video.
+    missing creator by video. A play still without one of them is not valid.
     """
     filled = quality.fill_default(quality.empty_to_null(plays), {"liked": 0, "disliked": 0})
-    flags = filled.withColumns({c: clean.to_flag(F.col(c)) for c in ("liked", "disliked")})
+    clean_flags = {c: clean.to_flag(F.col(c)) for c in ("liked", "disliked")}
+    found = filled.withColumns(clean_flags)
     by = ("user_id", "timestamp")
     for lookup, key, target in (
         (channel_geocd, "channel_id", "geo_cd"),
         (video_creator, "video_id", "creator_id"),
     ):
-        flags = quality.enrich_from_lookup(flags, lookup, key, target, by, skew, plays)
-    return quality.split_valid(flags, ["geo_cd", "creator_id"])
+        found = quality.enrich_from_lookup(found, lookup, key, target, by, skew, plays)
+    return quality.tag_valid(found, ["geo_cd", "creator_id"])
+
+
+def clean_plays(
+    plays: DataFrame,
+    channel_geocd: DataFrame,
+    video_creator: DataFrame,
+    skew: Skew | None = DEFAULT,
+) -> tuple[DataFrame, DataFrame]:
+    """The valid plays, and the others with their reason."""
+    return quality.split_tagged(tag_plays(plays, channel_geocd, video_creator, skew))
 
 
 def popular_channels(plays: DataFrame) -> DataFrame:

@@ -19,6 +19,10 @@ def _with_corrupt(schema: StructType) -> StructType:
     return StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
 
 
+def _without_corrupt(schema: StructType) -> StructType:
+    return StructType([f for f in schema.fields if f.name != CORRUPT])
+
+
 def csv_options(
     sep: str = ",", header: bool = True, ts_format: str | None = None, encoding: str = "UTF-8"
 ) -> dict[str, str]:
@@ -37,7 +41,7 @@ def csv_options(
     return options
 
 
-def read_csv_checked(
+def read_csv_raw(
     spark: SparkSession,
     path: str | list[str],
     schema: StructType | None = None,
@@ -46,8 +50,8 @@ def read_csv_checked(
     ts_format: str | None = None,
     encoding: str = "UTF-8",
     sampling: float = 1.0,
-) -> tuple[DataFrame, DataFrame]:
-    """Read CSV or TSV files, a folder or a glob into ``(good, rejected)``.
+) -> DataFrame:
+    """CSV or TSV files, a folder or a glob, with malformed records in one more column.
 
     With no schema it is inferred, which costs one more pass (over a ``sampling``
     share of the lines); declare it for large inputs.
@@ -55,26 +59,43 @@ def read_csv_checked(
     options = csv_options(sep, header, ts_format, encoding)
     if schema is None:
         inferred = spark.read.options(**options, inferSchema="true", samplingRatio=str(sampling))
-        schema = inferred.csv(path).schema
-        schema = StructType([f for f in schema.fields if f.name != CORRUPT])
-    return split_malformed(spark.read.schema(_with_corrupt(schema)).options(**options).csv(path))
+        schema = _without_corrupt(inferred.csv(path).schema)
+    return spark.read.schema(_with_corrupt(schema)).options(**options).csv(path)
 
 
-def read_xml_checked(
+def read_csv_checked(
+    spark: SparkSession, path: str | list[str], *args, **options
+) -> tuple[DataFrame, DataFrame]:
+    """``read_csv_raw`` as ``(good, rejected)``.
+
+    Using both parses the files twice; to parse large ones once, write ``read_csv_raw``
+    to a table and split that (``split_malformed(…, stored=True)``).
+    """
+    return split_malformed(read_csv_raw(spark, path, *args, **options))
+
+
+def read_xml_raw(
     spark: SparkSession,
     path: str | list[str],
     row_tag: str = "record",
     schema: StructType | None = None,
     ts_format: str | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Read the ``row_tag`` elements of XML files into ``(good, rejected)``."""
+) -> DataFrame:
+    """The ``row_tag`` elements of XML files, with malformed ones in one more column."""
     options = {"rowTag": row_tag, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     if ts_format:
         options["timestampFormat"] = ts_format
     if schema is None:
-        schema = spark.read.options(**options, inferSchema="true").xml(path).schema
-        schema = StructType([f for f in schema.fields if f.name != CORRUPT])
-    return split_malformed(spark.read.schema(_with_corrupt(schema)).options(**options).xml(path))
+        inferred = spark.read.options(**options, inferSchema="true")
+        schema = _without_corrupt(inferred.xml(path).schema)
+    return spark.read.schema(_with_corrupt(schema)).options(**options).xml(path)
+
+
+def read_xml_checked(
+    spark: SparkSession, path: str | list[str], *args, **options
+) -> tuple[DataFrame, DataFrame]:
+    """``read_xml_raw`` as ``(good, rejected)``."""
+    return split_malformed(read_xml_raw(spark, path, *args, **options))
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -63,13 +63,14 @@ def test_video(spark, tmp_path):
     def read(name):
         return spark.read.parquet(f"{out}/{name}")
 
-    processed = read("processed").select("user_id", "video_id", "geo_cd", "creator_id", "liked", "disliked", "source")
+    processed = read("cleaned").where("valid = 'true'").select("user_id", "video_id", "geo_cd", "creator_id", "liked", "disliked", "source")
     assert rows(processed, "user_id", "video_id") == [
         ("u1", "v1", "G1", "k1", True, False, "csv"),
         ("u2", "v1", "G1", "k1", False, False, "csv"),
         ("u2", "v2", "G1", "k2", False, False, "xml"),
     ]
-    assert rows(read("invalid").select("user_id", "reject_reason")) == [("u3", "missing geo_cd,missing creator_id")]
+    invalid = read("cleaned").where("valid = 'false'").select("user_id", "reject_reason")
+    assert rows(invalid) == [("u3", "missing geo_cd,missing creator_id")]
     assert read("malformed").count() == 1
     assert rows(read("popular_channels")) == [("c1", 2, 1, 20)]
     assert rows(read("duration_by_user_type"), "user_type") == [("subscribed", 10.0), ("unsubscribed", 25.0)]
