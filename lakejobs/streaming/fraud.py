@@ -83,7 +83,8 @@ def decide_stream(
     Memory is the last ``n`` records of each card. A micro-batch reads the memory of the
     one before and replaces its own folders, so a repeated one gives the same result.
     It is decided with the batch job's windows: a card with a third of the records is
-    cut over tasks, which state held per key could not be.
+    cut over tasks, which state held per key could not be. Only the cards of the
+    micro-batch take part; the memory of the others is passed on as it is.
     """
     records, _ = fraud.parse_stream(lines)
 
@@ -91,18 +92,22 @@ def decide_stream(
         with jobs.kept(batch):
             spark = batch.sparkSession
             fresh, late = batch, batch.limit(0)
-            seen = batch.limit(0).select(*MEMORY)
+            recalled = others = batch.limit(0).select(*MEMORY)
             if batch_id > 0:
-                memory = batch_path(f"{path}/memory", batch_id - 1)
-                seen = spark.read.schema(seen.schema).parquet(memory)
-                fresh, late = split_late(batch, seen, skew)
+                folder = batch_path(f"{path}/memory", batch_id - 1)
+                memory = spark.read.schema(others.schema).parquet(folder)
+                cards = batch.select("card_id").distinct()
+                recalled = memory.join(cards, "card_id", "left_semi")
+                others = memory.join(cards, "card_id", "left_anti")
+                fresh, late = split_late(batch, recalled, skew)
             timeline = fresh.withColumn("_seen", F.lit(False)).unionByName(
-                seen.withColumn("_seen", F.lit(True)), allowMissingColumns=True
+                recalled.withColumn("_seen", F.lit(True)), allowMissingColumns=True
             )
             decided = fraud.decide_by_card(timeline, scores, n=n, skew=skew, **rules)
             write_batch(decided.where(~F.col("_seen")).drop("_seen"), batch_id, f"{path}/decided")
             write_batch(late, batch_id, f"{path}/late")
-            write_batch(remember(timeline, n), batch_id, f"{path}/memory")
+            kept = remember(timeline, n).unionByName(others)
+            write_batch(kept, batch_id, f"{path}/memory")
             if batch_id > 1:
                 delete(spark, batch_path(f"{path}/memory", batch_id - 2))
 
