@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakejobs.functions import clean
@@ -52,14 +52,21 @@ def clean_plays(
     return quality.split_tagged(tag_plays(plays, channel_geocd, video_creator, skew))
 
 
-def popular_channels(plays: DataFrame) -> DataFrame:
-    """Channels by number of different videos played, then by users who liked one."""
-    liker = F.when(F.col("liked"), F.col("user_id"))
+def popular_channels(plays: DataFrame, approx: float | None = None) -> DataFrame:
+    """Channels by number of different videos played, then by users who liked one.
+
+    Counts are exact; ``approx`` is the relative error to allow where estimates will do,
+    which shuffles a sketch per channel in place of every different user.
+    """
+
+    def different(column: Column) -> Column:
+        return F.approx_count_distinct(column, approx) if approx else F.countDistinct(column)
+
     return (
         plays.groupBy("channel_id")
         .agg(
-            F.countDistinct("video_id").alias("count_video"),
-            F.countDistinct(liker).alias("unique_likers"),
+            different(F.col("video_id")).alias("count_video"),
+            different(F.when(F.col("liked"), F.col("user_id"))).alias("unique_likers"),
             F.max("minutes_played").alias("max_video_played"),
         )
         .orderBy(F.col("count_video").desc(), F.col("unique_likers").desc(), "channel_id")
@@ -91,7 +98,7 @@ def subscription_times(subscriptions: DataFrame) -> DataFrame:
     )
 
 
-def _total_minutes(column: str = "minutes_played"):
+def _total_minutes(column: str = "minutes_played") -> Column:
     """Exact sum: doubles added in another order give another last digit."""
     return F.sum(F.col(column).cast("decimal(18,2)")).cast("double").alias("duration")
 
@@ -121,42 +128,32 @@ def connected_creators(
     )
 
 
+def _earning(plays: DataFrame, mode: str) -> DataFrame:
+    liked, finished = F.col("liked"), F.col("video_end_type") == 1
+    return plays.where(liked & finished if mode == "and" else liked | finished)
+
+
+def _minutes_by(plays: DataFrame, key: str) -> DataFrame:
+    return plays.groupBy(key).agg(_total_minutes()).orderBy(F.col("duration").desc(), key)
+
+
 def royalty(plays: DataFrame, mode: str = "or") -> DataFrame:
     """Minutes per video over plays that were liked, finished, or both (``mode="or"``).
 
     ``mode="and"`` keeps only plays that were both.
     """
-    liked, finished = F.col("liked"), F.col("video_end_type") == 1
-    earns = liked & finished if mode == "and" else liked | finished
-    return (
-        plays.where(earns)
-        .groupBy("video_id")
-        .agg(_total_minutes())
-        .orderBy(F.col("duration").desc(), "video_id")
-    )
+    return _minutes_by(_earning(plays, mode), "video_id")
 
 
 def creator_royalty(plays: DataFrame, mode: str = "or") -> DataFrame:
     """The same minutes per creator."""
-    liked, finished = F.col("liked"), F.col("video_end_type") == 1
-    earns = liked & finished if mode == "and" else liked | finished
-    return (
-        plays.where(earns)
-        .groupBy("creator_id")
-        .agg(_total_minutes())
-        .orderBy(F.col("duration").desc(), "creator_id")
-    )
+    return _minutes_by(_earning(plays, mode), "creator_id")
 
 
 def longest_unsubscribed(
     plays: DataFrame, subscriptions: DataFrame, n: int | None = 10, skew: Skew | None = DEFAULT
 ) -> DataFrame:
     """Users with the most minutes watched while unsubscribed."""
-    watched = (
-        with_user_type(plays, subscriptions, skew)
-        .where(F.col("user_type") == UNSUBSCRIBED)
-        .groupBy("user_id")
-        .agg(_total_minutes())
-        .orderBy(F.col("duration").desc(), "user_id")
-    )
+    typed = with_user_type(plays, subscriptions, skew)
+    watched = _minutes_by(typed.where(F.col("user_type") == UNSUBSCRIBED), "user_id")
     return watched if n is None else watched.limit(n)

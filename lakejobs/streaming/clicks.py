@@ -63,3 +63,24 @@ def rate_alerts(
     counts = clicks.request_rate(parsed, window, by, lateness)
     found = clicks.alerts(counts, "n_requests", limit)
     return jobs.start(found, jobs.into_batches(path), checkpoint, interval, "update")
+
+
+def monitor(
+    lines: DataFrame, root: str, for_good: bool = False, lateness: str = LATENESS
+) -> list[StreamingQuery]:
+    """Rate alerts, failure alerts and status windows side by side.
+
+    Each is a query of its own, with its own checkpoint and folder under ``root``.
+    ``for_good`` keeps them running; otherwise they take what there is and stop.
+    """
+    rate = jobs.RATE_INTERVAL if for_good else None
+    status = jobs.STATUS_INTERVAL if for_good else None
+
+    def folders(name: str) -> tuple[str, str]:
+        return f"{root}/{name}", f"{root}/checkpoints/{name}"
+
+    return [
+        rate_alerts(lines, *folders("rate_alerts"), lateness=lateness, interval=rate),
+        failure_alerts(lines, *folders("failure_alerts"), lateness=lateness, interval=status),
+        status_windows(lines, *folders("status_windows"), lateness=lateness, interval=status),
+    ]

@@ -10,6 +10,12 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from lakejobs.sinks.batches import write_batch
 
+# How often each kind of stream runs when it runs for good.
+LANDING_INTERVAL = "10 seconds"
+TRANSACTIONS_INTERVAL = "1 second"
+RATE_INTERVAL = "1 second"
+STATUS_INTERVAL = "300 seconds"
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 

@@ -69,6 +69,7 @@ def plays(spark, *some):
 def test_popular_channels(spark):
     df = plays(spark, (1, 1, 5.0, True, 0), (2, 1, 9.0, True, 0), (2, 2, 1.0, False, 0), (3, 11, 2.0, True, 1))
     assert rows(video.popular_channels(df)) == [(0, 2, 2, 9.0), (1, 1, 1, 2.0)]
+    assert rows(video.popular_channels(df, approx=0.01)) == [(0, 2, 2, 9.0), (1, 1, 1, 2.0)]
 
 
 def test_user_types_at_the_boundary(spark):

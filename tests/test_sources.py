@@ -195,10 +195,10 @@ def test_topic_dump_reads_from_the_start_to_now():
 
 def test_topic_stream_reads_new_records():
     spark = Recorder()
-    topics.kafka_stream(spark, "b:9092", "webDataIngest", maxOffsetsPerTrigger="1000")
+    topics.kafka_stream(spark, "b:9092", "web", maxOffsetsPerTrigger="1000")
     assert spark.seen == {
         "kafka.bootstrap.servers": "b:9092",
-        "subscribe": "webDataIngest",
+        "subscribe": "web",
         "startingOffsets": "latest",
         "maxOffsetsPerTrigger": "1000",
     }

@@ -128,6 +128,30 @@ def test_failure_alerts(spark, tmp_path):
     assert rows(found.select("failures", "alert")) == [(501, "failures > 500")]
 
 
+def test_the_monitor_runs_every_query(spark, tmp_path):
+    write_lines(tmp_path / "in", "0.txt", hit(0, 101) + hit(7, 501, 503))
+    root = str(tmp_path / "out")
+    for query in click_streams.monitor(lines_of(spark, tmp_path / "in"), root):
+        run(query)
+    assert rows(spark.read.parquet(f"{root}/rate_alerts").select("observed"), "observed") == [(101,), (501,)]
+    assert rows(spark.read.parquet(f"{root}/failure_alerts").select("observed")) == [(501,)]
+    assert rows(spark.read.parquet(f"{root}/status_windows").select("successes")) == [(101,)]
+
+
+def test_a_stream_runs_at_an_interval_until_stopped(spark, tmp_path):
+    write_lines(tmp_path / "in", "0.txt", ["a"])
+    out = tmp_path / "out"
+    query = jobs.land_raw(lines_of(spark, tmp_path / "in"), str(out), str(tmp_path / "cp"), "1 second")
+    try:
+        query.processAllAvailable()
+        write_lines(tmp_path / "in", "1.txt", ["b"])
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    assert sorted(r.value for r in spark.read.text(str(out)).collect()) == ["a", "b"]
+
+
 def scores(spark):
     return frames.bureau(spark, SF).select(
         F.col("user_id").cast("string").alias("card_id"), "credit_score"
