@@ -183,3 +183,29 @@ def test_cleaning_is_the_same_with_and_without_cutting(spark, sf):
 def test_small_inputs_are_not_searched_for_hot_keys():
     assert skew.for_input(1) is None
     assert skew.for_input(10**13) == skew.DEFAULT
+
+
+@pytest.mark.parametrize("job", ["low_score", "blacklist_hits"])
+def test_joins_of_two_sources_are_split_by_adaptive_execution(spark, conf, job):
+    conf(
+        **{
+            "spark__sql__autoBroadcastJoinThreshold": "-1",
+            "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+            "spark__sql__adaptive__advisoryPartitionSizeInBytes": "20000",
+            "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20000",
+            "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
+        }
+    )
+    n = F.col("id")
+    many = spark.range(0, 120_000, 1, 8).select(
+        n.alias("txn_id"), F.when(n % 3 == 0, 7).otherwise(n % 5000).alias("user_id"), n.alias("amount")
+    )
+    few = spark.range(5000).select(n.alias("user_id"), (n % 300).alias("credit_score"))
+    if job == "low_score":
+        df, want = fraud.low_score(many, few), many.where("user_id % 300 < 250").count()
+    else:
+        df, want = fraud.blacklist_hits(many, few.where("user_id % 2 = 1"), "user_id"), 80_000
+    grouped = df.groupBy("user_id").count()
+    total = sum(r["count"] for r in grouped.collect())
+    assert total == want
+    assert "skew=true" in grouped._jdf.queryExecution().executedPlan().toString()
