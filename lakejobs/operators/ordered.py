@@ -3,10 +3,11 @@
 ``Window.partitionBy(key)`` sends every row of a key to one task. Here the timeline of
 a hot key is cut into chunks by time, windows run per (key, chunk), and each chunk is
 given copies of the ``k`` rows that precede it, so the result is the same as over the
-whole key. A cold key is one chunk.
+whole key. A cold key is one chunk. A chunk that is still too full (a burst, or an odd
+date that stretches the timeline) is cut once more between its own first and last time.
 
-    hot = hot_timelines(rows, "card_id", "ts", "txn_id")
-    chunked = assign_chunks(rows, "card_id", "ts", "txn_id", hot=hot)
+    cuts = find_cuts(rows, "card_id", "ts", "txn_id")
+    chunked = assign_chunks(rows, "card_id", "ts", "txn_id", cuts=cuts)
     ready = with_preceding(chunked, "card_id", ("ts", "txn_id"), k=5, carry=("amount",))
     w = timeline("card_id", ("ts", "txn_id")).rowsBetween(-5, -1)
     out = drop_preceding(ready.withColumn("m", F.avg("amount").over(w)))
@@ -17,6 +18,7 @@ Rows of one key with the very same time are not parted.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -26,56 +28,95 @@ from lakejobs.operators.skew import Skew
 
 # Chunks are equally long in time, not equally full; cutting finer evens them out.
 OVERSPLIT = 8
+# Numbers kept free between two chunks for the parts of the first.
+PARTS = 1 << 24
+
+_CUT = ("_lo", "_width", "_chunks")
+
+
+@dataclass(frozen=True)
+class Cuts:
+    """Where to cut: ``keys`` by time, and their too full chunks (``_coarse``) once more.
+
+    Both have ``_lo`` (where the time starts), ``_width`` and ``_chunks``, and at most
+    ``Skew.max_keys`` rows.
+    """
+
+    keys: DataFrame
+    chunks: DataFrame
 
 
 def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def hot_timelines(
-    rows: DataFrame, key: str, ts: str, tie: str, skew: Skew | None = skewed.DEFAULT
-) -> DataFrame | None:
-    """Hot keys with ``_lo`` (where their time starts), ``_width`` and ``_chunks``."""
-    if skew is None:
-        return None
-    timed = rows.where(F.col(ts).isNotNull())
+def _step(ts: str) -> Column:
+    """Which of the ``_chunks`` a row is in. The bounds come from a sample: what lies
+    outside them belongs to the chunks at the ends."""
+    step = F.floor((_micros(ts) - F.col("_lo")) / F.col("_width")).cast("long")
+    return F.greatest(F.lit(0).cast("long"), F.least(step, F.col("_chunks") - 1))
+
+
+def _cut(rows: DataFrame, by: Sequence[str], ts: str, tie: str, skew: Skew) -> DataFrame:
     bounds = (F.min(_micros(ts)).alias("_lo"), F.max(_micros(ts)).alias("_hi"))
-    hot = skewed.hot_keys(timed, key, (ts, tie), skew, *bounds)
+    hot = skewed.hot_keys(rows, by, (ts, tie), skew, *bounds)
     chunks = skewed.pieces_of(skew) * OVERSPLIT
     width = F.ceil((F.col("_hi") - F.col("_lo") + 1) / chunks).cast("long")
-    return hot.select(key, "_lo", width.alias("_width"), chunks.alias("_chunks"))
+    return hot.select(*by, "_lo", width.alias("_width"), chunks.alias("_chunks"))
+
+
+def find_cuts(
+    rows: DataFrame, key: str, ts: str, tie: str, skew: Skew | None = skewed.DEFAULT
+) -> Cuts | None:
+    """Hot keys of ``rows`` and how to cut them; None with ``skew=None``."""
+    if skew is None:
+        return None
+    timed = rows.where(F.col(ts).isNotNull()).select(key, ts, tie)
+    keys = _cut(timed, [key], ts, tie, skew)
+    coarse = timed.join(F.broadcast(keys), key).select(key, ts, tie, _step(ts).alias("_coarse"))
+    too_full = replace(skew, target_rows=2 * skew.target_rows)
+    return Cuts(keys, _cut(coarse, [key, "_coarse"], ts, tie, too_full))
 
 
 def assign_chunks(
-    rows: DataFrame,
-    key: str,
-    ts: str,
-    tie: str,
-    prefix: str = "",
-    hot: DataFrame | None = None,
+    rows: DataFrame, key: str, ts: str, tie: str, prefix: str = "", cuts: Cuts | None = None
 ) -> DataFrame:
     """Add ``{prefix}_chunk`` (0 for a cold key) and ``{prefix}_hot``.
 
-    ``hot`` is from ``hot_timelines``; with None there are no hot keys. Rows without a
-    key or a time have no timeline; they are spread by ``tie`` so they cannot pile up in
-    one task either.
+    Rows without a key or a time have no timeline; they are spread by ``tie`` so they
+    cannot pile up in one task either.
     """
     no_timeline = F.col(key).isNull() | F.col(ts).isNull()
     apart = F.when(no_timeline, F.xxhash64(tie))
-    if hot is None:
+    if cuts is None:
         return rows.withColumns(
             {f"{prefix}_chunk": apart.otherwise(0).cast("long"), f"{prefix}_hot": F.lit(False)}
         )
-    # The bounds come from a sample: what lies outside them belongs to the end chunks.
-    step = F.floor((_micros(ts) - F.col("_lo")) / F.col("_width")).cast("long")
-    chunk = apart.when(F.col("_lo").isNull(), F.lit(0).cast("long")).otherwise(
-        F.greatest(F.lit(0).cast("long"), F.least(step, F.col("_chunks") - 1))
+    cut = F.col("_lo").isNotNull()
+    coarse = (
+        rows.join(F.broadcast(cuts.keys), key, "left")
+        .withColumn(f"{prefix}_hot", cut & ~no_timeline)
+        .withColumn("_coarse", F.when(cut, _step(ts)).otherwise(0))
+        .drop(*_CUT)
     )
+    part = F.when(cut, _step(ts)).otherwise(0)
     return (
-        rows.join(F.broadcast(hot), key, "left")
-        .withColumn(f"{prefix}_chunk", chunk)
-        .withColumn(f"{prefix}_hot", F.col("_lo").isNotNull() & ~no_timeline)
-        .drop("_lo", "_width", "_chunks")
+        coarse.join(F.broadcast(cuts.chunks), [key, "_coarse"], "left")
+        .withColumn(f"{prefix}_chunk", apart.otherwise(F.col("_coarse") * PARTS + part))
+        .drop("_coarse", *_CUT)
+    )
+
+
+def chunk_ids(cuts: Cuts, key: str, chunk: str) -> DataFrame:
+    """Every chunk a row of a hot key may be in: (key, ``chunk``)."""
+
+    def numbers(first: int) -> Column:
+        return F.explode(F.sequence(F.lit(first).cast("long"), F.col("_chunks") - 1))
+
+    coarse = cuts.keys.select(key, numbers(0).alias("_i"))
+    parts = cuts.chunks.select(key, "_coarse", numbers(1).alias("_i"))
+    return coarse.select(key, (F.col("_i") * PARTS).alias(chunk)).unionByName(
+        parts.select(key, (F.col("_coarse") * PARTS + F.col("_i")).alias(chunk))
     )
 
 

@@ -37,21 +37,28 @@ def for_input(n_bytes: int) -> Skew | None:
 
 
 def hot_keys(
-    rows: DataFrame, key: str, spread: Sequence[str], skew: Skew = DEFAULT, *extra: Column
+    rows: DataFrame,
+    key: str | Sequence[str],
+    spread: Sequence[str],
+    skew: Skew = DEFAULT,
+    *extra: Column,
 ) -> DataFrame:
     """Hot keys with ``_n``, their estimated rows, and ``extra`` aggregates of the sample.
 
     ``spread`` names columns that differ between the rows of a key. The sample is taken
     by their hash, so it is the same one in every branch and every retry of a plan.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     in_sample = F.pmod(F.xxhash64(*spread), F.lit(skew.sample_every)) == 0
     estimate = F.count(F.lit(1)) * skew.sample_every
+    for name in keys:
+        rows = rows.where(F.col(name).isNotNull())
     return (
-        rows.where(F.col(key).isNotNull() & in_sample)
-        .groupBy(key)
+        rows.where(in_sample)
+        .groupBy(*keys)
         .agg(estimate.alias("_n"), *extra)
         .where(F.col("_n") > skew.target_rows)
-        .orderBy(F.col("_n").desc(), key)
+        .orderBy(F.col("_n").desc(), *keys)
         .limit(skew.max_keys)
     )
 

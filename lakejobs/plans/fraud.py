@@ -58,8 +58,8 @@ def locate(
 def _located_by_card(
     txns: DataFrame, geo: DataFrame, skew: Skew | None, source: DataFrame
 ) -> DataFrame:
-    hot = ordered.hot_timelines(source, "card_id", *ORDER, skew)
-    return locate(ordered.assign_chunks(txns, "card_id", *ORDER, CARD, hot), geo, skew, source)
+    cuts = ordered.find_cuts(source, "card_id", *ORDER, skew)
+    return locate(ordered.assign_chunks(txns, "card_id", *ORDER, CARD, cuts), geo, skew, source)
 
 
 def _last(columns: Sequence[str]) -> dict[str, Column]:
@@ -132,8 +132,8 @@ def amount_limits(
     skew: Skew | None = DEFAULT,
 ) -> DataFrame:
     """Each transaction's amount against the limits set by the user's last ``n``."""
-    hot = ordered.hot_timelines(txns, "user_id", *ORDER, skew)
-    chunked = ordered.assign_chunks(txns, "user_id", *ORDER, USER, hot)
+    cuts = ordered.find_cuts(txns, "user_id", *ORDER, skew)
+    chunked = ordered.assign_chunks(txns, "user_id", *ORDER, USER, cuts)
     cut = skew is not None
     ready = ordered.with_preceding(chunked, "user_id", ORDER, n, ("amount",), USER, cut=cut)
     limited = _with_limits(ready.withColumn("_usual", _usual("user_id", USER, n)), k_utl, k_ctl)
@@ -177,19 +177,20 @@ def verdict(too_fast: Column, low: Column, amount: Column, utl: Column, ctl: Col
     )
 
 
-def _per_chunk(scores: DataFrame, hot: DataFrame | None, key: str, chunk: str) -> DataFrame:
+def _per_chunk(
+    scores: DataFrame, cuts: ordered.Cuts | None, key: str, chunk: str
+) -> DataFrame:
     """The lowest score of every key, once for each chunk the key is cut into.
 
     Joined on (key, chunk) it needs no move of the rows: they are there already, for
     the window before it.
     """
     lowest = scores.groupBy(key).agg(F.min("credit_score").alias("credit_score"))
-    if hot is None:
-        return lowest.withColumn(chunk, F.lit(0).cast("long"))
-    chunks = F.coalesce("_chunks", F.lit(1))
-    return lowest.join(F.broadcast(hot), key, "left").select(
-        key, "credit_score", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias(chunk)
-    )
+    first = F.lit(0).cast("long")
+    if cuts is None:
+        return lowest.withColumn(chunk, first)
+    ids = ordered.chunk_ids(cuts, key, chunk)
+    return lowest.join(ids, key, "left").withColumn(chunk, F.coalesce(chunk, first))
 
 
 def _status(dot: float, min_score: int) -> Column:
@@ -218,15 +219,15 @@ def decide(
     Two shuffles of the transactions: one by card for the previous place, one by user
     for the recent amounts and the score.
     """
-    hot = ordered.hot_timelines(txns, "user_id", *ORDER, skew)
-    by_user = ordered.assign_chunks(txns, "user_id", *ORDER, USER, hot)
+    cuts = ordered.find_cuts(txns, "user_id", *ORDER, skew)
+    by_user = ordered.assign_chunks(txns, "user_id", *ORDER, USER, cuts)
     located = _located_by_card(by_user, geo, skew, txns)
     travelled = _with_travel(_with_last(located, ("latitude", "longitude"), skew))
     ready = ordered.with_preceding(travelled, "user_id", ORDER, n, ("amount",), USER, by_user, skew is not None)
     seen = ready.withColumn("_usual", _usual("user_id", USER, n)).where(~F.col("_copy"))
     limited = _with_limits(seen, k_utl, k_ctl)
     chunk = f"{USER}_chunk"
-    scores = _per_chunk(bureau, hot, "user_id", chunk)
+    scores = _per_chunk(bureau, cuts, "user_id", chunk)
     decided = limited.join(scores, ["user_id", chunk], "left")
     return ordered.drop_preceding(decided, USER).withColumn("status", _status(dot, min_score))
 
@@ -246,15 +247,15 @@ def decide_by_card(
     One shuffle by card serves the previous place, the recent amounts and the score.
     ``scores`` is (card_id, credit_score).
     """
-    hot = ordered.hot_timelines(records, "card_id", *ORDER, skew)
-    by_card = ordered.assign_chunks(records, "card_id", *ORDER, CARD, hot)
+    cuts = ordered.find_cuts(records, "card_id", *ORDER, skew)
+    by_card = ordered.assign_chunks(records, "card_id", *ORDER, CARD, cuts)
     carry = ("latitude", "longitude", "amount")
     ready = ordered.with_preceding(by_card, "card_id", ORDER, n, carry, CARD, cut=skew is not None)
     looks_back = _last((*ORDER, "latitude", "longitude")) | {"_usual": _usual("card_id", CARD, n)}
     seen = ready.withColumns(looks_back).where(~F.col("_copy"))
     chunk = f"{CARD}_chunk"
     limited = _with_limits(seen, k_utl, k_ctl)
-    scored = limited.join(_per_chunk(scores, hot, "card_id", chunk), ["card_id", chunk], "left")
+    scored = limited.join(_per_chunk(scores, cuts, "card_id", chunk), ["card_id", chunk], "left")
     return ordered.drop_preceding(_with_travel(scored), CARD).withColumn(
         "status", _status(dot, min_score)
     )

@@ -51,8 +51,8 @@ def test_the_largest_keys_are_kept(txns):
 
 
 def test_chunks_are_bounded_and_in_time_order(txns):
-    hot = ordered.hot_timelines(txns, "card_id", *ORDER, TINY)
-    chunked = ordered.assign_chunks(txns, "card_id", *ORDER, hot=hot)
+    cuts = ordered.find_cuts(txns, "card_id", *ORDER, TINY)
+    chunked = ordered.assign_chunks(txns, "card_id", *ORDER, cuts=cuts)
     sizes = chunked.groupBy("card_id", "_chunk").agg(
         F.count("*").alias("n"), F.min("ts").alias("lo"), F.max("ts").alias("hi")
     )
@@ -62,9 +62,47 @@ def test_chunks_are_bounded_and_in_time_order(txns):
     assert all(a[2] < b[1] for a, b in zip(bounds, bounds[1:]))
 
 
+@pytest.fixture(scope="module")
+def uneven(txns):
+    """The hot card's time stretched by odd dates, and most of it within one day."""
+    hot, n = F.col("card_id") == 7, F.col("txn_id")
+    return txns.where("ts is not null").withColumn(
+        "ts",
+        F.when(hot & (n == 0), F.timestamp_seconds(F.lit(-60_000_000_000)))
+        .when(hot & (n == 3), F.timestamp_seconds(F.lit(250_000_000_000)))
+        .when(hot & (n % 2 == 0), F.timestamp_seconds(F.lit(1_700_000_000) + n * 5))
+        .otherwise(F.col("ts")),
+    )
+
+
+def test_a_burst_on_a_stretched_timeline_is_cut_again(uneven):
+    cuts = ordered.find_cuts(uneven, "card_id", *ORDER, TINY)
+    assert not cuts.chunks.isEmpty()
+    chunked = ordered.assign_chunks(uneven, "card_id", *ORDER, cuts=cuts)
+    hot = chunked.where("card_id = 7")
+    sizes = hot.groupBy("_chunk").agg(F.count("*").alias("n"), F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+    found = rows(sizes.select("_chunk", "lo", "hi", "n"), "_chunk")
+    assert all(a[2] < b[1] for a, b in zip(found, found[1:]))
+    assert max(r[3] for r in found) <= 3 * TINY.target_rows
+    ids = ordered.chunk_ids(cuts, "card_id", "_chunk")
+    assert ids.count() == ids.distinct().count()
+    assert chunked.where("_hot").join(ids, ["card_id", "_chunk"], "left_anti").isEmpty()
+
+
+def test_decisions_on_a_stretched_timeline(spark, sf, uneven, geo):
+    bureau = frames.bureau(spark, sf)
+    uneven = uneven.withColumn("user_id", F.col("card_id"))
+
+    def decided(settings):
+        found = fraud.decide(uneven, geo, bureau, skew=settings)
+        return rows(found.select("txn_id", F.round("speed", 6), "credit_score", "status"), "txn_id")
+
+    assert decided(TINY) == decided(None)
+
+
 def test_rows_without_a_key_are_spread(txns):
-    hot = ordered.hot_timelines(txns, "card_id", *ORDER, TINY)
-    chunked = ordered.assign_chunks(txns, "card_id", *ORDER, hot=hot)
+    cuts = ordered.find_cuts(txns, "card_id", *ORDER, TINY)
+    chunked = ordered.assign_chunks(txns, "card_id", *ORDER, cuts=cuts)
     assert chunked.where("card_id is null").groupBy("_chunk").count().agg(F.max("count")).first()[0] == 1
 
 
@@ -72,8 +110,8 @@ def test_rows_without_a_key_are_spread(txns):
 @pytest.mark.parametrize("k", [1, 5])
 def test_windows_over_chunks_equal_windows_over_keys(txns, k, sample_every):
     settings = Skew(20, sample_every)
-    hot = ordered.hot_timelines(txns, "card_id", *ORDER, settings)
-    chunked = ordered.assign_chunks(txns, "card_id", *ORDER, hot=hot)
+    cuts = ordered.find_cuts(txns, "card_id", *ORDER, settings)
+    chunked = ordered.assign_chunks(txns, "card_id", *ORDER, cuts=cuts)
     ready = ordered.with_preceding(chunked, "card_id", ORDER, k, ("amount",))
 
     def measures(window):
