@@ -5,6 +5,7 @@ from conftest import SF
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry
+from lakejobs.operators.skew import Skew
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
@@ -26,3 +27,25 @@ def test_query_matches_sql(spark, duck, name):
 def test_entry_gives_every_transaction_one_status(spark):
     counts = {r["status"]: r["count"] for r in entry.entry(spark).groupBy("status").count().collect()}
     assert counts == {"Approved": 1314, "Approval Pending": 17, "Suspicious": 169}
+
+
+CUT = [
+    "dq_enrich",
+    "dq_rejects",
+    "video_duration_by_user_type",
+    "video_connected_creators",
+    "video_longest_unsubscribed",
+    "fraud_last_transaction",
+    "fraud_distance_over_time",
+    "fraud_amount_limits",
+    "fraud_decision",
+    "fraud_pos_blacklist",
+    "fraud_lost_cards",
+    "stream_fraud_decision",
+]
+
+
+@pytest.mark.parametrize("name", CUT)
+def test_query_matches_sql_with_its_keys_cut(spark, duck, monkeypatch, name):
+    monkeypatch.setattr("lakejobs.queries.for_input", lambda n_bytes: Skew(target_rows=4, sample_every=1))
+    assert compare(spark, duck, name, QUERIES[name], ORACLES[name], SF) == ""
