@@ -7,11 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakejobs.llm import language_id, token_counts, toxicity
+from lakejobs.llm import language_id, mixing, token_counts, toxicity, url_filters, warc
 from lakejobs.llm.common import held_out, table
+from lakejobs.session import work_dir
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
+RULES = (
+    url_filters.Rule(url_filters.BLOCK, "net/"),
+    url_filters.Rule(url_filters.ALLOW, "example.net/en/"),
+    url_filters.Rule(url_filters.BLOCK, "example.com/de/"),
+    url_filters.Rule(url_filters.ALLOW, "org/fr/"),
+)
+# The large source is thinned, five are raised, the rest share what is left.
+MIXTURE = mixing.Mixture(
+    {"src0": 0.15, **{f"src{i}": 0.06 for i in range(1, 6)}}, rest=0.55, seed="mix-1"
+)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -33,6 +45,36 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, lexicon).withColumn("held_out", held_out(F.col("doc_id")))
 
 
+@query
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages"), RULES)
+
+
+@query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), MIXTURE)
+
+
+ORACLES["op6_mixing"] = mixing.mixture_sql(MIXTURE)
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "warc")
+    warc.write_warc(warc.with_revisits(table(spark, sf_dir, "pages")), path)
+    return warc.archived(warc.read_warc(spark, path))
+
+
+ORACLES["op7_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest FROM p),
+w AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
+FROM w"""
+
+
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
