@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakejobs.llm import language_id, mixing, token_counts, toxicity, url_filters, warc
+from lakejobs.llm import (
+    decontamination,
+    fingerprints,
+    language_id,
+    mixing,
+    token_counts,
+    toxicity,
+    url_filters,
+    warc,
+)
 from lakejobs.llm.common import held_out, table
 from lakejobs.session import work_dir
 
@@ -50,6 +59,14 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"), RULES)
 
 
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.withColumn("contaminated", F.lit(True))
+
+
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), MIXTURE)
@@ -80,3 +97,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_id.identify(docs, language_id.train(docs))
     return found.withColumn("held_out", held_out(F.col("doc_id")))
+
+
+@query
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
