@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakejobs.llm import (
     decontamination,
     fingerprints,
+    jaccard_join,
     language_id,
     mixing,
     token_counts,
@@ -99,6 +100,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", held_out(F.col("doc_id")))
 
 
+@query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
