@@ -1,11 +1,17 @@
-"""A corpus pipeline: stages over ``documents``, each written and read again."""
+"""A corpus pipeline: stages over ``documents``, each written and read again.
+
+Every stage works on all that the one before it kept, and all but the last return the
+columns they were given.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakejobs.llm import language_id
+from lakejobs.llm import decontamination, jaccard_join, language_id, line_dedup, mixing
 from lakejobs.llm.common import kept, table
+from lakejobs.llm.queries import MIXTURE
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,14 +19,51 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return language_id.keep_identified(docs, language_id.train(docs))
 
 
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without repeated lines; a document of nothing but repeated lines goes.
+
+    ``n_chars`` follows the text.
+    """
+    out = line_dedup.dedup_lines(docs).where(~F.col("emptied"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
+def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that with the smallest id.
+
+    Rows without an id cannot be told apart and stay, as do rows repeated under one id.
+    """
+    found = jaccard_join.jaccard_components(docs).where("doc_id != component_id")
+    gone = kept(found.select("doc_id").distinct(), "near-duplicates")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that cover no benchmark item."""
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Copies of the documents in the target mixture, in shuffled order."""
+    return mixing.mix(docs, MIXTURE)
+
+
 STAGES = [
     ("language_id", identify_languages),
+    ("line_dedup", dedup_lines),
+    ("ngram_jaccard_join", dedup_documents),
+    ("benchmark_decontamination", decontaminate),
+    ("mixing_sources", mix_sources),
 ]
 
+# Language identification, edit similarity over groups and string tiling have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = kept(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakejobs.llm.common import held_out, map_texts
+from lakejobs.llm.common import held_out, map_texts, share_package
 
 UNDETERMINED = "und"
 BITS = 16
@@ -259,6 +259,7 @@ def keep_identified(
     All columns pass unchanged; NULL, empty and letterless texts are rejected, and so is
     everything if no language was learned.
     """
+    share_package(docs.sparkSession)
     handle = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.schema
 

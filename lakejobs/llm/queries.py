@@ -12,6 +12,7 @@ from lakejobs.llm import (
     fingerprints,
     jaccard_join,
     language_id,
+    line_dedup,
     mixing,
     token_counts,
     toxicity,
@@ -55,6 +56,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, lexicon).withColumn("held_out", held_out(F.col("doc_id")))
 
 
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs)
+
+
 @query
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"), RULES)
