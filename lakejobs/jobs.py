@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 
 from lakejobs import schemas
 from lakejobs.operators.quality import require_non_empty, split_malformed, split_tagged
-from lakejobs.operators.skew import for_input
 from lakejobs.plans import fraud, text, transit, video
-from lakejobs.session import input_bytes, tune
+from lakejobs.session import tune
 from lakejobs.sinks.files import write_key_value, write_table
 from lakejobs.sources import files
 
@@ -61,7 +60,6 @@ def video_job(
     computed once, and the reports read the valid ones back.
     """
     tune(spark, csv_path, xml_path)
-    skew = for_input(input_bytes(spark, csv_path, xml_path))
     plays, pattern = schemas.VIDEO_PLAYS, schemas.TS_FORMAT
     from_csv = files.read_csv_raw(spark, csv_path, plays, ts_format=pattern)
     from_xml = files.read_xml_raw(spark, xml_path, "record", plays, pattern)
@@ -69,17 +67,17 @@ def video_job(
     good, malformed = split_malformed(ingested, stored=True)
     for source in ("csv", "xml"):
         require_non_empty(good.where(F.col("source") == source), f"{source} plays")
-    tagged = video.tag_plays(good, lookups["channel_geocd"], lookups["video_creator"], skew)
+    tagged = video.tag_plays(good, lookups["channel_geocd"], lookups["video_creator"])
     valid, _ = split_tagged(_stored(tagged, f"{out}/cleaned", ["valid"]))
     subscriptions = video.subscription_times(lookups["user_subscn"])
     reports = {
         "malformed": malformed,
         "popular_channels": video.popular_channels(valid),
-        "duration_by_user_type": video.duration_by_user_type(valid, subscriptions, skew),
-        "connected_creators": video.connected_creators(valid, lookups["user_creator"], skew),
+        "duration_by_user_type": video.duration_by_user_type(valid, subscriptions),
+        "connected_creators": video.connected_creators(valid, lookups["user_creator"]),
         "royalty": video.royalty(valid),
         "creator_royalty": video.creator_royalty(valid),
-        "longest_unsubscribed": video.longest_unsubscribed(valid, subscriptions, skew=skew),
+        "longest_unsubscribed": video.longest_unsubscribed(valid, subscriptions),
     }
     _write_all(reports, out, fmt)
 
@@ -92,12 +90,11 @@ def fraud_job(
     bureau_path: str,
     out: str,
     fmt: str = "parquet",
-    n_bytes: int | None = None,
 ) -> None:
     """Transactions and three files -> ``decided``, ``pos_blacklist``, ``card_lost``.
 
     ``transactions`` has the columns of ``schemas.TRANSACTIONS`` and a ``txn_id``; its
-    ``timestamp`` is the time of the transaction. ``n_bytes`` is its size, if known. The
+    ``timestamp`` is the time of the transaction. The
     decisions are written once and read back for the two lists.
     """
     tune(spark, merchants_path, zips_path, bureau_path)
@@ -112,8 +109,7 @@ def fraud_job(
     }.items():
         require_non_empty(df, name)
     txns = transactions.drop("status").withColumnRenamed("timestamp", "ts")
-    skew = for_input(n_bytes) if n_bytes is not None else fraud.DEFAULT
-    decided = fraud.decide(txns, fraud.merchant_geo(zips, merchants), bureau, skew=skew)
+    decided = fraud.decide(txns, fraud.merchant_geo(zips, merchants), bureau)
     written = _stored(decided, f"{out}/decided")
     rejected = bad_merchants.unionByName(bad_zips).unionByName(bad_bureau)
     lists = {

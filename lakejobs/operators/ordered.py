@@ -38,44 +38,69 @@ _CUT = ("_lo", "_width", "_chunks")
 class Cuts:
     """Where to cut: ``keys`` by time, and their too full chunks (``_coarse``) once more.
 
-    Both have ``_lo`` (where the time starts), ``_width`` and ``_chunks``, and at most
-    ``Skew.max_keys`` rows.
+    Both have ``_lo`` (where the time starts), ``_width`` and ``_chunks``; ``chunks`` is
+    None if no chunk is too full. Both are stored, with their numbers of rows.
     """
 
     keys: DataFrame
-    chunks: DataFrame
-
-
-def _micros(ts: str) -> Column:
-    return F.unix_micros(F.col(ts).cast("timestamp"))
+    n_keys: int
+    chunks: DataFrame | None
+    n_chunks: int
 
 
 def _step(ts: str) -> Column:
     """Which of the ``_chunks`` a row is in. The bounds come from a sample: what lies
     outside them belongs to the chunks at the ends."""
-    step = F.floor((_micros(ts) - F.col("_lo")) / F.col("_width")).cast("long")
+    step = F.floor((skewed.micros(ts) - F.col("_lo")) / F.col("_width")).cast("long")
     return F.greatest(F.lit(0).cast("long"), F.least(step, F.col("_chunks") - 1))
 
 
-def _cut(rows: DataFrame, by: Sequence[str], ts: str, tie: str, skew: Skew) -> DataFrame:
-    bounds = (F.min(_micros(ts)).alias("_lo"), F.max(_micros(ts)).alias("_hi"))
-    hot = skewed.hot_keys(rows, by, (ts, tie), skew, *bounds)
+def _cut(found: DataFrame, by: Sequence[str], skew: Skew) -> DataFrame:
+    """``found`` (keys with ``_n``, ``_lo``, ``_hi``) as equal steps of time."""
     chunks = skewed.pieces_of(skew) * OVERSPLIT
     width = F.ceil((F.col("_hi") - F.col("_lo") + 1) / chunks).cast("long")
-    return hot.select(*by, "_lo", width.alias("_width"), chunks.alias("_chunks"))
+    return found.select(*by, "_lo", width.alias("_width"), chunks.alias("_chunks"))
 
 
 def find_cuts(
-    rows: DataFrame, key: str, ts: str, tie: str, skew: Skew | None = skewed.DEFAULT
+    rows: DataFrame,
+    key: str,
+    ts: str,
+    tie: str,
+    skew: Skew | None = skewed.DEFAULT,
+    found: dict[str, skewed.Hot | None] | None = None,
 ) -> Cuts | None:
-    """Hot keys of ``rows`` and how to cut them; None with ``skew=None``."""
+    """Hot keys of ``rows`` and how to cut them; None if there are none, or ``skew=None``.
+
+    ``found`` may hold what ``skew.search`` has found already. Only if some key is hot are
+    the rows of hot keys looked at once more, for chunks that stay too full.
+    """
     if skew is None:
         return None
-    timed = rows.where(F.col(ts).isNotNull()).select(key, ts, tie)
-    keys = _cut(timed, [key], ts, tie, skew)
-    coarse = timed.join(F.broadcast(keys), key).select(key, ts, tie, _step(ts).alias("_coarse"))
+    if found is None or key not in found:
+        found = skewed.search(rows, [key], (ts, tie), skew, ts)
+    hot = found[key]
+    if hot is None:
+        return None
+    keys = _cut(hot.frame, [key], skew)
     too_full = replace(skew, target_rows=2 * skew.target_rows)
-    return Cuts(keys, _cut(coarse, [key, "_coarse"], ts, tie, too_full))
+    at = skewed.micros(ts)
+    coarse = (
+        rows.where(F.pmod(F.xxhash64(ts, tie), F.lit(skew.sample_every)) == 0)
+        .where(F.col(ts).isNotNull())
+        .select(key, ts)
+        .join(skewed.hinted(keys, hot.n_keys), key)
+        .select(key, _step(ts).alias("_coarse"), at.alias("_at"))
+        .groupBy(key, "_coarse")
+        .agg(
+            (F.count(F.lit(1)) * skew.sample_every).alias("_n"),
+            F.min("_at").alias("_lo"),
+            F.max("_at").alias("_hi"),
+        )
+        .where(F.col("_n") > too_full.target_rows)
+    )
+    chunks, n_chunks = skewed.stored(_cut(coarse, [key, "_coarse"], too_full), "full-chunks")
+    return Cuts(keys, hot.n_keys, chunks if n_chunks else None, n_chunks)
 
 
 def assign_chunks(
@@ -94,15 +119,18 @@ def assign_chunks(
         )
     cut = F.col("_lo").isNotNull()
     coarse = (
-        rows.join(F.broadcast(cuts.keys), key, "left")
+        rows.join(skewed.hinted(cuts.keys, cuts.n_keys), key, "left")
         .withColumn(f"{prefix}_hot", cut & ~no_timeline)
         .withColumn("_coarse", F.when(cut, _step(ts)).otherwise(0))
         .drop(*_CUT)
     )
+    chunk = f"{prefix}_chunk"
+    if cuts.chunks is None:
+        return coarse.withColumn(chunk, apart.otherwise(F.col("_coarse") * PARTS)).drop("_coarse")
     part = F.when(cut, _step(ts)).otherwise(0)
     return (
-        coarse.join(F.broadcast(cuts.chunks), [key, "_coarse"], "left")
-        .withColumn(f"{prefix}_chunk", apart.otherwise(F.col("_coarse") * PARTS + part))
+        coarse.join(skewed.hinted(cuts.chunks, cuts.n_chunks), [key, "_coarse"], "left")
+        .withColumn(chunk, apart.otherwise(F.col("_coarse") * PARTS + part))
         .drop("_coarse", *_CUT)
     )
 
@@ -114,6 +142,8 @@ def chunk_ids(cuts: Cuts, key: str, chunk: str) -> DataFrame:
         return F.explode(F.sequence(F.lit(first).cast("long"), F.col("_chunks") - 1))
 
     coarse = cuts.keys.select(key, numbers(0).alias("_i"))
+    if cuts.chunks is None:
+        return coarse.select(key, (F.col("_i") * PARTS).alias(chunk))
     parts = cuts.chunks.select(key, "_coarse", numbers(1).alias("_i"))
     return coarse.select(key, (F.col("_i") * PARTS).alias(chunk)).unionByName(
         parts.select(key, (F.col("_coarse") * PARTS + F.col("_i")).alias(chunk))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lakejobs.functions.geo import distance_km, speed
 from lakejobs.operators import ordered
-from lakejobs.operators.skew import DEFAULT, Skew, join_lookup
+from lakejobs.operators.skew import DEFAULT, Hot, Skew, join_lookup, search
 from lakejobs.schemas import REALTIME
 
 # Fixed values of the rules.
@@ -47,19 +47,33 @@ def place_per_merchant(geo: DataFrame) -> DataFrame:
     )
 
 
+Found = dict[str, Hot | None]
+
+
+def _hot(txns: DataFrame, keys: Sequence[str], skew: Skew | None) -> Found:
+    """The hot keys of all these columns, from one pass."""
+    return search(txns, keys, ORDER, skew, "ts") if skew is not None else {}
+
+
 def locate(
-    txns: DataFrame, geo: DataFrame, skew: Skew | None = DEFAULT, source: DataFrame | None = None
+    txns: DataFrame,
+    geo: DataFrame,
+    skew: Skew | None = DEFAULT,
+    source: DataFrame | None = None,
+    found: Found | None = None,
 ) -> DataFrame:
     """Add the merchant's coordinates (NULL if unknown)."""
     places = place_per_merchant(geo)
-    return join_lookup(txns, places, "merchant_id", ("txn_id",), skew, source)
+    return join_lookup(txns, places, "merchant_id", ("txn_id",), skew, source, found)
 
 
 def _located_by_card(
-    txns: DataFrame, geo: DataFrame, skew: Skew | None, source: DataFrame
-) -> DataFrame:
-    cuts = ordered.find_cuts(source, "card_id", *ORDER, skew)
-    return locate(ordered.assign_chunks(txns, "card_id", *ORDER, CARD, cuts), geo, skew, source)
+    txns: DataFrame, geo: DataFrame, skew: Skew | None, source: DataFrame, found: Found
+) -> tuple[DataFrame, bool]:
+    """``txns`` with places and chunks of their cards, and whether some card is cut."""
+    cuts = ordered.find_cuts(source, "card_id", *ORDER, skew, found)
+    chunked = ordered.assign_chunks(txns, "card_id", *ORDER, CARD, cuts)
+    return locate(chunked, geo, skew, source, found), cuts is not None
 
 
 def _last(columns: Sequence[str]) -> dict[str, Column]:
@@ -67,9 +81,8 @@ def _last(columns: Sequence[str]) -> dict[str, Column]:
     return {f"last_{c}": ordered.known("card_id", ORDER, F.lag(c).over(w)) for c in columns}
 
 
-def _with_last(located: DataFrame, carry: Sequence[str], skew: Skew | None) -> DataFrame:
+def _with_last(located: DataFrame, carry: Sequence[str], cut: bool) -> DataFrame:
     """Add ``last_<column>`` of the same card's previous transaction."""
-    cut = skew is not None
     ready = ordered.with_preceding(located, "card_id", ORDER, 1, carry, CARD, cut=cut)
     return ordered.drop_preceding(ready.withColumns(_last((*ORDER, *carry))), CARD)
 
@@ -88,8 +101,9 @@ def last_transaction(
     txns: DataFrame, geo: DataFrame, skew: Skew | None = DEFAULT
 ) -> DataFrame:
     """Every transaction with the one before it on the same card, and both places."""
-    located = _located_by_card(txns, geo, skew, txns)
-    return _with_last(located, ("merchant_id", "latitude", "longitude"), skew).select(
+    found = _hot(txns, ("card_id", "merchant_id"), skew)
+    located, cut = _located_by_card(txns, geo, skew, txns, found)
+    return _with_last(located, ("merchant_id", "latitude", "longitude"), cut).select(
         "txn_id", "card_id", "ts", "merchant_id", "latitude", "longitude",
         "last_txn_id", "last_ts", "last_merchant_id", "last_latitude", "last_longitude",
     )
@@ -99,8 +113,9 @@ def distance_over_time(
     txns: DataFrame, geo: DataFrame, skew: Skew | None = DEFAULT
 ) -> DataFrame:
     """Distance, elapsed minutes and speed since the card's previous transaction."""
-    located = _located_by_card(txns, geo, skew, txns)
-    return _with_travel(_with_last(located, ("latitude", "longitude"), skew)).select(
+    found = _hot(txns, ("card_id", "merchant_id"), skew)
+    located, cut = _located_by_card(txns, geo, skew, txns, found)
+    return _with_travel(_with_last(located, ("latitude", "longitude"), cut)).select(
         "txn_id", "card_id", "ts", "distance", "minutes", "speed"
     )
 
@@ -134,7 +149,7 @@ def amount_limits(
     """Each transaction's amount against the limits set by the user's last ``n``."""
     cuts = ordered.find_cuts(txns, "user_id", *ORDER, skew)
     chunked = ordered.assign_chunks(txns, "user_id", *ORDER, USER, cuts)
-    cut = skew is not None
+    cut = cuts is not None
     ready = ordered.with_preceding(chunked, "user_id", ORDER, n, ("amount",), USER, cut=cut)
     limited = _with_limits(ready.withColumn("_usual", _usual("user_id", USER, n)), k_utl, k_ctl)
     return ordered.drop_preceding(limited, USER).select("txn_id", "user_id", "amount", "utl", "ctl")
@@ -219,11 +234,15 @@ def decide(
     Two shuffles of the transactions: one by card for the previous place, one by user
     for the recent amounts and the score.
     """
-    cuts = ordered.find_cuts(txns, "user_id", *ORDER, skew)
+    found = _hot(txns, ("user_id", "card_id", "merchant_id"), skew)
+    cuts = ordered.find_cuts(txns, "user_id", *ORDER, skew, found)
     by_user = ordered.assign_chunks(txns, "user_id", *ORDER, USER, cuts)
-    located = _located_by_card(by_user, geo, skew, txns)
-    travelled = _with_travel(_with_last(located, ("latitude", "longitude"), skew))
-    ready = ordered.with_preceding(travelled, "user_id", ORDER, n, ("amount",), USER, by_user, skew is not None)
+    located, cut = _located_by_card(by_user, geo, skew, txns, found)
+    travelled = _with_travel(_with_last(located, ("latitude", "longitude"), cut))
+    # The copies come from the transactions themselves, before any join.
+    ready = ordered.with_preceding(
+        travelled, "user_id", ORDER, n, ("amount",), USER, by_user, cuts is not None
+    )
     seen = ready.withColumn("_usual", _usual("user_id", USER, n)).where(~F.col("_copy"))
     limited = _with_limits(seen, k_utl, k_ctl)
     chunk = f"{USER}_chunk"
@@ -250,7 +269,7 @@ def decide_by_card(
     cuts = ordered.find_cuts(records, "card_id", *ORDER, skew)
     by_card = ordered.assign_chunks(records, "card_id", *ORDER, CARD, cuts)
     carry = ("latitude", "longitude", "amount")
-    ready = ordered.with_preceding(by_card, "card_id", ORDER, n, carry, CARD, cut=skew is not None)
+    ready = ordered.with_preceding(by_card, "card_id", ORDER, n, carry, CARD, cut=cuts is not None)
     looks_back = _last((*ORDER, "latitude", "longitude")) | {"_usual": _usual("card_id", CARD, n)}
     seen = ready.withColumns(looks_back).where(~F.col("_copy"))
     chunk = f"{CARD}_chunk"

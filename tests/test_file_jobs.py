@@ -109,7 +109,7 @@ def test_fraud(spark, tmp_path):
     txns, _ = files.read_csv_checked(spark, t, schemas.TRANSACTIONS, header=False)
     txns = txns.withColumn("txn_id", F.unix_seconds("timestamp"))
     out = str(tmp_path / "out")
-    jobs.fraud_job(spark, txns, merchants, zips, bureau, out, n_bytes=1)
+    jobs.fraud_job(spark, txns, merchants, zips, bureau, out)
     decided = spark.read.parquet(f"{out}/decided").orderBy("ts")
     assert [r.status for r in decided.collect()] == ["Approved"] + ["Suspicious"] * 3
     lost = spark.read.parquet(f"{out}/card_lost")

@@ -6,8 +6,9 @@ from oracle_check import compare, connect
 
 import __spark_entry__ as entry
 from lakejobs.operators.skew import Skew
+from lakejobs.queries import QUERIES
+from oracles import ORACLES
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -47,5 +49,5 @@ CUT = [
 
 @pytest.mark.parametrize("name", CUT)
 def test_query_matches_sql_with_its_keys_cut(spark, duck, monkeypatch, name):
-    monkeypatch.setattr("lakejobs.queries.for_input", lambda n_bytes: Skew(target_rows=4, sample_every=1))
+    monkeypatch.setattr("lakejobs.queries.SKEW", Skew(target_rows=4, sample_every=1))
     assert compare(spark, duck, name, QUERIES[name], ORACLES[name], SF) == ""

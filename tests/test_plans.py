@@ -4,7 +4,7 @@ import pytest
 from conftest import SF
 
 from lakejobs import frames
-from lakejobs.operators.skew import DEFAULT
+from lakejobs.operators.skew import DEFAULT, Skew
 from lakejobs.plans import fraud, text, transit, video
 from lakejobs.queries import QUERIES
 from lakejobs.session import MAX_PARTITIONS, input_bytes, tune, work_dir, work_root
@@ -54,18 +54,50 @@ def exchanges_of(p, column):
 def test_large_sides_are_not_broadcast_and_scores_join_in_place(spark, conf):
     conf(**{"spark__sql__autoBroadcastJoinThreshold": "-1"})
     geo = fraud.merchant_geo(frames.zips(spark, SF), frames.merchants(spark, SF))
-    p = plan(fraud.decide(frames.transactions(spark, SF), geo, frames.bureau(spark, SF), skew=DEFAULT))
-    # The only broadcasts left are the tables of hot keys, at most max_keys rows each.
+    txns, bureau = frames.transactions(spark, SF), frames.bureau(spark, SF)
+    p = plan(fraud.decide(txns, geo, bureau, skew=Skew(4, 1)))
+    # The only broadcasts are the stored tables of hot keys and of their too full chunks.
     lines = p.splitlines()
     broadcasts = [i for i, line in enumerate(lines) if "BroadcastExchange" in line]
     assert broadcasts
     for i in broadcasts:
-        assert "TakeOrderedAndProject(limit=100000," in lines[i + 1] + lines[i + 2]
+        below = "".join(lines[i + 1 : i + 5])
+        assert "hot-keys" in below or "full-chunks" in below
     # Transactions (with the copies for cut keys) move once per (user, chunk); the scores
     # meet them there.
     assert len(exchanges_of(p, "user_chunk")) == 3
 
 
+def rows_read_per_row(spark, table, run):
+    """Rows that all tasks read from the files of ``table``, over its rows."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    total = 0
+    for execution in list(_each(store.executionsList()))[before:]:
+        graph = store.planGraph(execution.executionId())
+        values = store.executionMetrics(execution.executionId())
+        for node in _each(graph.allNodes()):
+            if node.name().startswith("Scan parquet") and f"{table}.parquet" in node.desc():
+                for metric in _each(node.metrics()):
+                    found = values.get(metric.accumulatorId())
+                    if metric.name() == "number of output rows" and found.isDefined():
+                        total += int(found.get().replace(",", ""))
+    return total / spark.read.parquet(f"{SF}/{table}.parquet").count()
+
+
+def _each(seq):
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+@pytest.mark.parametrize("skew, passes", [(DEFAULT, 2), (Skew(4, 1), 6)])
+def test_passes_over_the_transactions(spark, monkeypatch, skew, passes):
+    monkeypatch.setattr("lakejobs.queries.SKEW", skew)
+    run = lambda: QUERIES["fraud_decision"](spark, SF).collect()
+    assert 1 < rows_read_per_row(spark, "orders", run) <= passes
+
+
 def test_scans_and_shuffles_follow_the_input(spark, conf, monkeypatch):
     shuffle = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     scan = "spark.sql.files.maxPartitionBytes"

@@ -37,17 +37,30 @@ def geo(spark):
 
 
 def test_hot_keys_are_the_large_ones(txns):
-    found = skew.hot_keys(txns, "card_id", ("txn_id",), Skew(200, 1))
-    assert rows(found.select("card_id", skew.pieces_of(Skew(200, 1)))) == [(7, 3)]
+    found = skew.search(txns, ["card_id", "user_id"], ("txn_id",), Skew(200, 1))
+    assert rows(found["card_id"].frame.select("card_id", skew.pieces_of(Skew(200, 1)))) == [(7, 3)]
+    assert found["card_id"].n_keys == 1
+    assert 9 in [r[0] for r in rows(found["user_id"].frame)]
 
 
 def test_hot_keys_from_a_sample(txns):
-    assert 7 in dict(rows(skew.hot_keys(txns, "card_id", ("txn_id",), Skew(200, 4))))
+    assert 7 in [r[0] for r in rows(skew.search(txns, ["card_id"], ("txn_id",), Skew(200, 4))["card_id"].frame)]
 
 
-def test_the_largest_keys_are_kept(txns):
-    hot = skew.hot_keys(txns, "user_id", ("txn_id",), Skew(1, 1, max_keys=1))
-    assert [r[0] for r in rows(hot)] == [9]
+def test_no_key_is_hot_below_the_target(txns):
+    assert skew.search(txns, ["card_id", "user_id"], ("txn_id",)) == {"card_id": None, "user_id": None}
+    assert ordered.find_cuts(txns, "card_id", *ORDER) is None
+
+
+def test_many_hot_keys_are_joined_without_a_hint(spark, txns, monkeypatch, conf):
+    conf(**{"spark__sql__autoBroadcastJoinThreshold": "-1"})
+    lookup = txns.groupBy("card_id").agg(F.max("amount").alias("most"))
+    hinted = skew.join_lookup(txns, lookup, "card_id", ("txn_id",), TINY)
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    plain = skew.join_lookup(txns, lookup, "card_id", ("txn_id",), TINY)
+    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
+    assert rows(plain, "txn_id") == rows(hinted, "txn_id")
 
 
 def test_chunks_are_bounded_and_in_time_order(txns):
@@ -218,11 +231,6 @@ def test_cleaning_is_the_same_with_and_without_cutting(spark, sf):
     assert cleaned(TINY) == cleaned(None)
 
 
-def test_small_inputs_are_not_searched_for_hot_keys():
-    assert skew.for_input(1) is None
-    assert skew.for_input(10**13) == skew.DEFAULT
-
-
 @pytest.mark.parametrize("job", ["low_score", "blacklist_hits"])
 def test_joins_of_two_sources_are_split_by_adaptive_execution(spark, conf, job):
     conf(
