@@ -33,7 +33,9 @@ def raw_plays_of(events: DataFrame) -> DataFrame:
         .when(_is("signup"), "false")
         .alias("liked"),
         F.when(_is("error"), "true").when(_is("purchase"), " ").alias("disliked"),
-        F.when(_is("purchase"), 1).otherwise(0).alias("video_end_type"),
+        F.when(_is("purchase") | (_is("click") & (F.col("event_id") % 3 == 0)), 1)
+        .otherwise(0)
+        .alias("video_end_type"),
         F.when(~_is("signup"), F.concat(F.lit("G"), F.floor(video / 10))).alias("geo_cd"),
         F.when(~_is("error"), F.pmod(video, F.lit(25))).alias("creator_id"),
     )
@@ -97,17 +99,22 @@ def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return searches.join(names, "StopID")
 
 
+def transaction_time():
+    """An order's day, at a minute that its key gives."""
+    minute = F.pmod(F.col("o_orderkey"), F.lit(1440)).cast("int")
+    return F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(mins=minute)
+
+
 def transactions_of(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
     """Orders as card transactions, spread over the minutes of their day."""
     merchants_known = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar()
-    minute = F.pmod(F.col("o_orderkey"), F.lit(1440)).cast("int")
     return orders.select(
         F.col("o_orderkey").alias("txn_id"),
         F.col("o_custkey").alias("card_id"),
         F.col("o_custkey").alias("user_id"),
         F.pmod(F.col("o_orderkey"), merchants_known).alias("merchant_id"),
         F.col("o_totalprice").alias("amount"),
-        (F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(mins=minute)).alias("ts"),
+        transaction_time().alias("ts"),
     )
 
 
@@ -152,18 +159,25 @@ def bureau(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weblog_of(events: DataFrame) -> DataFrame:
-    """One access-log line per event; sign-ups leave a line that is not in log format."""
+    """One access-log line per event.
+
+    Sign-ups leave a line that is not in log format, and every 17th event one with a date
+    that does not exist. Methods, statuses and referers (some quoted, with a blank) vary.
+    """
     part = (
         F.when(_is("view"), "digital-cameras")
         .when(_is("click"), "Digital-Cameras")
         .otherwise(F.col("event_type"))
     )
     stamp = F.date_format(F.col("ts").cast("timestamp"), "dd/MMM/yyyy:HH:mm:ss")
+    stamp = F.when(F.col("event_id") % 17 == 0, "31/Feb/2024:10:00:00").otherwise(stamp)
+    status = F.when(_is("error"), "500").when(F.col("event_id") % 13 == 0, "404").otherwise("200")
     line = F.concat(
-        F.lit("10.0.0."), F.col("user_id"), F.lit(" - - ["), stamp, F.lit(" +0000] "),
-        F.lit('"GET /'), part, F.lit("/item-"), F.col("event_id"), F.lit(' HTTP/1.1" '),
-        F.when(_is("error"), "500").otherwise("200"), F.lit(" "),
-        F.floor(F.col("value") * 100), F.lit(" - agent/"), F.col("props"),
+        F.lit("10.0.0."), F.col("user_id"), F.lit(" - - ["), stamp, F.lit(' +0000] "'),
+        F.when(_is("purchase"), "POST").otherwise("GET"), F.lit(" /"),
+        part, F.lit("/item-"), F.col("event_id"), F.lit(' HTTP/1.1" '), status, F.lit(" "),
+        F.floor(F.col("value") * 100), F.lit(" "),
+        F.when(_is("click"), '"http://shop/a b"').otherwise("-"), F.lit(" agent/"), F.col("props"),
     )
     broken = F.concat(F.lit("signup "), F.col("event_id"), F.lit(" "), F.col("props"))
     return events.select(F.when(_is("signup"), broken).otherwise(line).alias("value"))

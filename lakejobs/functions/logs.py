@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 
 FIELDS = ("ip", "time", "method", "path", "protocol", "status", "bytes", "referer", "agent")
 
-# One group per field of FIELDS. The path is taken without its leading slash.
+# One group per field of FIELDS. The path is taken without its leading slash, which a
+# request target must have; a quoted referer may hold blanks.
 LOG_PATTERN = (
     r'^(\S+) \S+ \S+ \[(\d{2}/\w{3}/\d{4}:\d{2}:\d{2}:\d{2} [+-]\d{4})\] '
-    r'"(\S+) /(\S*)(?: +(\S+))? *" (\d{3}) (\S+) (\S+) (.*)$'
+    r'"(\S+) /(\S*)(?: +(\S+))? *" (\d{3}) (\S+) ("[^"]*"|\S+) (.*)$'
 )
 
 # Fixed value: the bracketed time, once read without its brackets.
@@ -24,6 +25,12 @@ def is_log_line(line: Column) -> Column:
     return F.coalesce(~has_separator(line) & line.rlike(LOG_PATTERN), F.lit(False))
 
 
+def time_of(line: Column) -> Column:
+    """The time of a log line; NULL where it is no date of the calendar."""
+    stamp = F.regexp_extract(line, LOG_PATTERN, FIELDS.index("time") + 1)
+    return F.try_to_timestamp(stamp, F.lit(LOG_TIME_FORMAT))
+
+
 def log_fields(line: Column) -> Column:
     """An array of the line's fields in one array, or an empty array for another line.
 

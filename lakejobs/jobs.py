@@ -90,14 +90,16 @@ def fraud_job(
     bureau_path: str,
     out: str,
     fmt: str = "parquet",
+    transactions_path: str | Sequence[str] = (),
 ) -> None:
     """Transactions and three files -> ``decided``, ``pos_blacklist``, ``card_lost``.
 
     ``transactions`` has the columns of ``schemas.TRANSACTIONS`` and a ``txn_id``; its
-    ``timestamp`` is the time of the transaction. The
+    ``timestamp`` is the time of the transaction. ``transactions_path`` says where they are
+    read from, for sizing the shuffles. The
     decisions are written once and read back for the two lists.
     """
-    tune(spark, merchants_path, zips_path, bureau_path)
+    tune(spark, transactions_path, merchants_path, zips_path, bureau_path)
     merchants, bad_merchants = files.read_csv_checked(spark, merchants_path, schemas.MERCHANTS)
     zips, bad_zips = files.read_csv_checked(spark, zips_path, schemas.ZIPCODES, sep="\t")
     bureau, bad_bureau = files.read_csv_checked(spark, bureau_path, schemas.BUREAU)
@@ -131,7 +133,11 @@ EMPLOYEE_FIELDS = {0: ("emp", "int"), 5: ("salary", "int"), 7: ("dept", "int")}
 
 
 def salaries_job(spark: SparkSession, path: str, out: str) -> None:
-    """Employee records -> highest salary and its department per employee."""
+    """Employee records -> highest salary and its department per employee.
+
+    Records that do not parse are written beside ``out``, under its name and ``-rejected``.
+    """
     tune(spark, path)
-    records, _ = files.read_csv_positional(spark, path, EMPLOYEE_FIELDS)
+    records, rejected = files.read_csv_positional(spark, path, EMPLOYEE_FIELDS)
     write_key_value(text.max_with_carry(records, "emp", "salary", "dept"), out)
+    write_table(rejected, f"{out.rstrip('/')}-rejected")

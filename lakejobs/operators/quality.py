@@ -130,8 +130,11 @@ def check_types(
 def file_report(df: DataFrame, name_pattern: str | None = None) -> DataFrame:
     """Rows per source file of a file-backed frame, and whether its name is as expected."""
     report = (
-        df.select(F.col("_metadata.file_name").alias("file_name"))
-        .groupBy("file_name")
+        df.select(
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_name").alias("file_name"),
+        )
+        .groupBy("file_path", "file_name")
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
     return report.withColumn(

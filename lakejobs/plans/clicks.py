@@ -17,11 +17,15 @@ OK_STATUS = 200
 
 
 def parse_log(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Access-log lines as typed columns, and the lines that are not log lines."""
+    """Access-log lines as typed columns, and all other lines with the reason.
+
+    Lines that are not in the format are ``malformed``; those with a time that no calendar
+    has are rejected as ``impossible time``.
+    """
     line = F.col(column)
     field = {name: F.col("_f")[i] for i, name in enumerate(logs.FIELDS)}
     parsed = (
-        lines.where(~logs.has_separator(line))
+        lines.where(~F.coalesce(logs.has_separator(line), F.lit(True)))
         .select(F.explode(logs.log_fields(line)).alias("_f"))
         .select(
             field["ip"].alias("ip"),
@@ -33,11 +37,13 @@ def parse_log(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataF
             field["referer"].alias("referer"),
             field["agent"].alias("agent"),
         )
+        .where("ts is not null")
     )
-    rejected = lines.where(~logs.is_log_line(line)).select(
-        line.alias("record"), F.lit("malformed").alias("reject_reason")
+    reason = F.when(~logs.is_log_line(line), "malformed").when(
+        logs.time_of(line).isNull(), "impossible time"
     )
-    return parsed, rejected
+    rejected = lines.select(line.alias("record"), reason.alias("reject_reason"))
+    return parsed, rejected.where("reject_reason is not null")
 
 
 def _windowed(parsed: DataFrame, window: str, watermark: str | None, by: Sequence[str] = ()):

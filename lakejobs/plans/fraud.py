@@ -156,14 +156,22 @@ def amount_limits(
 
 
 def parse_stream(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Point-of-sale text records as typed columns, and the records that do not parse.
+    """Point-of-sale text records as typed columns, and all other records with the reason.
 
-    A record has no id of its own; its description tells those of one second apart.
+    A record has no id of its own; its description tells those of one second apart. One
+    without a card, amount, time or description cannot be decided and is ``incomplete``.
     """
     fields = "_corrupt_record STRING, " + REALTIME.simpleString()[7:-1].replace(":", " ")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = lines.select(F.from_csv(F.col(column), fields, options).alias("_r"))
-    records = parsed.where(F.col("_r._corrupt_record").isNull()).select(
+    record = F.col(column)
+    parsed = lines.select(record.alias("_record"), F.from_csv(record, fields, options).alias("_r"))
+    needed = [F.col(f"_r.{c}").isNull() for c in ("cardId", "amt", "timestamp", "transDesc")]
+    broken = F.col("_record").isNotNull() & F.col("_r._corrupt_record").isNotNull()
+    missing = F.col("_r").isNull() | needed[0] | needed[1] | needed[2] | needed[3]
+    parsed = parsed.withColumn(
+        "_reason", F.when(broken, "malformed").when(missing, "incomplete")
+    )
+    records = parsed.where(F.col("_reason").isNull()).select(
         F.col("_r.cardId").alias("card_id"),
         F.col("_r.merchantId").alias("merchant_id"),
         F.col("_r.amt").alias("amount"),
@@ -173,8 +181,8 @@ def parse_stream(lines: DataFrame, column: str = "value") -> tuple[DataFrame, Da
         F.col("_r.latitude").alias("latitude"),
         F.col("_r.longitude").alias("longitude"),
     )
-    rejected = parsed.where(F.col("_r._corrupt_record").isNotNull()).select(
-        F.col("_r._corrupt_record").alias("record"), F.lit("malformed").alias("reject_reason")
+    rejected = parsed.where(F.col("_reason").isNotNull()).select(
+        F.col("_record").alias("record"), F.col("_reason").alias("reject_reason")
     )
     return records, rejected
 

@@ -17,7 +17,7 @@ from lakejobs.sinks.batches import latest
 from lakejobs.streaming import clicks as click_streams
 from lakejobs.streaming import fraud as fraud_streams
 from lakejobs.streaming import jobs
-from lakejobs.streaming.sources import file_stream
+from lakejobs.streaming.sources import file_stream, in_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -153,8 +153,12 @@ def dq_type_rejects(spark, d):
 
 @query
 def dq_file_report(spark, d):
-    report = quality.file_report(frames.table(spark, d, "events"), r"\.parquet$")
-    return report.groupBy("name_ok").agg(F.sum("n_rows").alias("n_rows"))
+    """One folder of files per kind of event, reported file by file."""
+    out = work_dir(spark, "files")
+    frames.table(spark, d, "events").write.partitionBy("event_type").parquet(out)
+    report = quality.file_report(spark.read.parquet(out), r"\.parquet$")
+    kind = F.regexp_extract("file_path", "event_type=([^/]+)", 1).alias("event_type")
+    return report.groupBy(kind, "name_ok").agg(F.sum("n_rows").alias("n_rows"))
 
 
 def _pairs(spark, d):
@@ -282,6 +286,15 @@ def fraud_pos_blacklist(spark, d):
     return fraud.pos_blacklist(_decided(spark, d))
 
 
+@query
+def fraud_pos_blacklist_strict(spark, d):
+    """Merchants with no fewer strikes than the average one, so that some fall short."""
+    decided = _decided(spark, d)
+    struck = fraud.pos_blacklist(decided, 1)
+    average = struck.agg(F.ceil(F.avg("strikes")).alias("s")).first()["s"]
+    return fraud.pos_blacklist(decided, average or 1)
+
+
 @query
 def fraud_lost_cards(spark, d):
     return _naive(fraud.lost_cards(_decided(spark, d)), "lost_date")
@@ -355,9 +368,19 @@ def click_failure_alerts(spark, d):
 # --- streams ---------------------------------------------------------------------------
 
 
+# Files, and so micro-batches, that a table is streamed in.
+BATCHES = 4
+
+
+def _streamed(spark, table: DataFrame, order: str, files: int = BATCHES):
+    """A table as a stream of several micro-batches, in the order of a column."""
+    path = work_dir(spark, "stream-input")
+    in_files(table, path, order, files)
+    return file_stream(spark, path, table.schema, maxFilesPerTrigger="1")
+
+
 def _events_stream(spark, d):
-    path = f"{d}/events.parquet"
-    return file_stream(spark, path, spark.read.parquet(path).schema)
+    return _streamed(spark, frames.table(spark, d, "events"), "ts")
 
 
 @query
@@ -389,9 +412,14 @@ def stream_rate_alerts(spark, d):
     return _naive(current, "window_start").drop("n_requests")
 
 
-def _pos_stream(spark, d):
-    path = f"{d}/orders.parquet"
-    orders = file_stream(spark, path, spark.read.parquet(path).schema)
+def _pos_stream(spark, d, order: str = "ts"):
+    """Transactions as records, by time or (``turn``) in four turns that mix times."""
+    orders = frames.table(spark, d, "orders")
+    orders = orders.withColumn("ts", frames.transaction_time()).withColumn(
+        "turn", F.pmod("o_orderkey", F.lit(BATCHES))
+    )
+    # Ranges finer than the turns, so that every turn is a file of its own.
+    orders = _streamed(spark, orders, order, BATCHES if order == "ts" else 4 * BATCHES)
     places = fraud.place_per_merchant(_geo(spark, d))
     return frames.pos_lines(frames.transactions_of(spark, d, orders), places)
 
@@ -432,6 +460,28 @@ def stream_fraud_decision(spark, d):
     )
 
 
+@query
+def stream_late(spark, d):
+    """Records that come after a later one of their card was decided."""
+    out = work_dir(spark, "late")
+    scores = frames.bureau(spark, d).select(
+        F.col("user_id").cast("string").alias("card_id"), "credit_score"
+    )
+    fraud_streams.decide_stream(
+        _pos_stream(spark, d, "turn"), scores, out, f"{out}/checkpoint", skew=SKEW
+    ).awaitTermination()
+    late = spark.read.parquet(f"{out}/late")
+    return late.select(F.col("txn_id").cast("long"), F.col("card_id").cast("long"), "amount")
+
+
+@query
+def stream_rejects(spark, d):
+    out = work_dir(spark, "rejects")
+    lines = frames.weblog_of(_events_stream(spark, d))
+    click_streams.rejects(lines, f"{out}/rejected", f"{out}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/rejected").select("record", "reject_reason")
+
+
 @query
 def stream_pos_strikes(spark, d):
     out = work_dir(spark, "pos_strikes")

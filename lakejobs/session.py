@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -24,10 +25,10 @@ SETTINGS = {
 
 MB = 1024 * 1024
 PARTITION_BYTES = 128 * MB
-# Map tasks times shuffle partitions is the number of blocks a shuffle keeps track of:
-# 100 TB is read by 200,000 tasks, so more partitions than this would cost more than the
-# larger ones do.
-MAX_PARTITIONS = 20_000
+# Map tasks times shuffle partitions is the number of blocks a shuffle keeps track of, so
+# partitions are not made without end; a session may set another bound by this setting.
+MAX_PARTITIONS = 100_000
+MAX_PARTITIONS_SETTING = "spark.lakejobs.maxPartitions"
 MAX_SCAN_TASKS = 200_000
 MAX_SCAN_BYTES = 512 * MB
 
@@ -46,13 +47,17 @@ def _file_system(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
 
 
-def input_bytes(spark: SparkSession, *paths: str) -> int:
-    """Bytes under ``paths``, asked of the file system (no data is read)."""
+def input_bytes(spark: SparkSession, *paths: str | Sequence[str]) -> int:
+    """Bytes under ``paths`` (files, folders, globs, or lists of them), asked of the file
+    system; no data is read."""
     total = 0
     for path in paths:
+        if not isinstance(path, str):
+            total += input_bytes(spark, *path)
+            continue
         fs, hpath = _file_system(spark, path)
-        if fs.exists(hpath):
-            total += fs.getContentSummary(hpath).getLength()
+        for found in fs.globStatus(hpath) or []:
+            total += fs.getContentSummary(found.getPath()).getLength()
     return total
 
 
@@ -66,7 +71,7 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hpath, True)
 
 
-def tune(spark: SparkSession, *paths: str) -> SparkSession:
+def tune(spark: SparkSession, *paths: str | Sequence[str]) -> SparkSession:
     """Apply SETTINGS to a running session and size scans and shuffles for ``paths``.
 
     Shuffles only start from the larger number; AQE merges small partitions again.
@@ -75,7 +80,8 @@ def tune(spark: SparkSession, *paths: str) -> SparkSession:
     if paths:
         n_bytes = input_bytes(spark, *paths)
         base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        initial = min(max(base, n_bytes // PARTITION_BYTES), MAX_PARTITIONS)
+        most = int(spark.conf.get(MAX_PARTITIONS_SETTING, str(MAX_PARTITIONS)))
+        initial = min(max(base, n_bytes // PARTITION_BYTES), most)
         scan = min(max(PARTITION_BYTES, n_bytes // MAX_SCAN_TASKS), MAX_SCAN_BYTES)
         settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial)
         settings["spark.sql.files.maxPartitionBytes"] = str(scan)

@@ -65,10 +65,18 @@ def rate_alerts(
     return jobs.start(found, jobs.into_batches(path), checkpoint, interval, "update")
 
 
+def rejects(
+    lines: DataFrame, path: str, checkpoint: str, interval: str | None = None
+) -> StreamingQuery:
+    """Lines that the other queries cannot count, with the reason."""
+    _, rejected = clicks.parse_log(lines)
+    return jobs.start(rejected, jobs.into_batches(path), checkpoint, interval)
+
+
 def monitor(
     lines: DataFrame, root: str, for_good: bool = False, lateness: str = LATENESS
 ) -> list[StreamingQuery]:
-    """Rate alerts, failure alerts and status windows side by side.
+    """Rate alerts, failure alerts, status windows and rejected lines side by side.
 
     Each is a query of its own, with its own checkpoint and folder under ``root``.
     ``for_good`` keeps them running; otherwise they take what there is and stop.
@@ -83,4 +91,5 @@ def monitor(
         rate_alerts(lines, *folders("rate_alerts"), lateness=lateness, interval=rate),
         failure_alerts(lines, *folders("failure_alerts"), lateness=lateness, interval=status),
         status_windows(lines, *folders("status_windows"), lateness=lateness, interval=status),
+        rejects(lines, *folders("rejected"), interval=status),
     ]

@@ -79,18 +79,18 @@ def decide_stream(
 ) -> StreamingQuery:
     """Decide every record; each micro-batch goes on where the one before it stopped.
 
-    Writes ``decided``, ``late`` and ``memory`` under ``path``, a folder per micro-batch.
+    Writes ``decided``, ``late``, ``rejected`` and ``memory`` under ``path``, a folder per micro-batch.
     Memory is the last ``n`` records of each card. A micro-batch reads the memory of the
     one before and replaces its own folders, so a repeated one gives the same result.
     It is decided with the batch job's windows: a card with a third of the records is
     cut over tasks, which state held per key could not be. Only the cards of the
     micro-batch take part; the memory of the others is passed on as it is.
     """
-    records, _ = fraud.parse_stream(lines)
-
-    def decide(batch: DataFrame, batch_id: int) -> None:
-        with jobs.kept(batch):
-            spark = batch.sparkSession
+    def decide(lines: DataFrame, batch_id: int) -> None:
+        with jobs.kept(lines):
+            batch, rejected = fraud.parse_stream(lines)
+            write_batch(rejected, batch_id, f"{path}/rejected")
+            spark = lines.sparkSession
             fresh, late = batch, batch.limit(0)
             recalled = others = batch.limit(0).select(*MEMORY)
             if batch_id > 0:
@@ -111,7 +111,7 @@ def decide_stream(
             if batch_id > 1:
                 delete(spark, batch_path(f"{path}/memory", batch_id - 2))
 
-    return jobs.start(records, decide, checkpoint, interval)
+    return jobs.start(lines, decide, checkpoint, interval)
 
 
 def strike_counts(

@@ -10,7 +10,8 @@ raw_plays AS (
     value AS minutes_played, ts AS "timestamp",
     CASE event_type WHEN 'click' THEN 'true' WHEN 'view' THEN '' WHEN 'signup' THEN 'false' END AS liked,
     CASE event_type WHEN 'error' THEN 'true' WHEN 'purchase' THEN ' ' END AS disliked,
-    CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS video_end_type,
+    CASE WHEN event_type = 'purchase' OR (event_type = 'click' AND event_id % 3 = 0)
+      THEN 1 ELSE 0 END AS video_end_type,
     CASE WHEN event_type <> 'signup'
       THEN 'G' || (CAST(regexp_extract(props, '[0-9]+') AS BIGINT) // 10) END AS geo_cd,
     CASE WHEN event_type <> 'error'
@@ -114,26 +115,34 @@ decided AS (
       WHEN coalesce(amount > utl, false) THEN 'Approval Pending' ELSE 'Approved' END AS status
   FROM limited l LEFT JOIN customer ON user_id = c_custkey)"""
 
-WEBLOG = """
+STATUS = "CASE WHEN event_type = 'error' THEN 500 WHEN event_id % 13 = 0 THEN 404 ELSE 200 END"
+METHOD = "CASE event_type WHEN 'purchase' THEN 'POST' ELSE 'GET' END"
+REFERER = """CASE event_type WHEN 'click' THEN '"http://shop/a b"' ELSE '-' END"""
+
+WEBLOG = f"""
 weblog AS (
   SELECT event_id, CASE WHEN event_type = 'signup' THEN 'signup ' || event_id || ' ' || props
-    ELSE '10.0.0.' || user_id || ' - - [' || strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000] "GET /'
+    ELSE '10.0.0.' || user_id || ' - - [' || CASE WHEN event_id % 17 = 0 THEN '31/Feb/2024:10:00:00'
+        ELSE strftime(ts, '%d/%b/%Y:%H:%M:%S') END || ' +0000] "' || {METHOD} || ' /'
       || CASE event_type WHEN 'view' THEN 'digital-cameras' WHEN 'click' THEN 'Digital-Cameras'
            ELSE event_type END
-      || '/item-' || event_id || ' HTTP/1.1" '
-      || CASE event_type WHEN 'error' THEN '500' ELSE '200' END || ' '
-      || CAST(floor(value * 100) AS BIGINT) || ' - agent/' || props END AS value
+      || '/item-' || event_id || ' HTTP/1.1" ' || {STATUS} || ' '
+      || CAST(floor(value * 100) AS BIGINT) || ' ' || {REFERER} || ' agent/' || props END AS value
   FROM events)"""
 
-PARSED = """
+REJECTED = f"""WITH {WEBLOG}
+SELECT value AS record,
+  CASE WHEN value LIKE 'signup %' THEN 'malformed' ELSE 'impossible time' END AS reject_reason
+FROM weblog WHERE value LIKE 'signup %' OR value LIKE '%[31/Feb/%'"""
+
+PARSED = f"""
 parsed AS (
-  SELECT '10.0.0.' || user_id AS ip, date_trunc('second', ts) AS ts, 'GET' AS method,
+  SELECT '10.0.0.' || user_id AS ip, date_trunc('second', ts) AS ts, {METHOD} AS method,
     CASE event_type WHEN 'view' THEN 'digital-cameras' WHEN 'click' THEN 'Digital-Cameras'
       ELSE event_type END || '/item-' || event_id AS path,
-    CASE event_type WHEN 'error' THEN 500 ELSE 200 END AS status,
-    CAST(floor(value * 100) AS BIGINT) AS bytes, '-' AS referer, 'agent/' || props AS agent,
-    event_type IN ('view', 'click') AS camera
-  FROM events WHERE event_type <> 'signup')"""
+    {STATUS} AS status, CAST(floor(value * 100) AS BIGINT) AS bytes, {REFERER} AS referer,
+    'agent/' || props AS agent, event_type IN ('view', 'click') AS camera
+  FROM events WHERE event_type <> 'signup' AND event_id % 17 <> 0)"""
 
 FIVE_MINUTES = "time_bucket(INTERVAL '5 minutes', ts)"
 
@@ -147,6 +156,13 @@ RATE_ALERTS = f"""WITH {PARSED}
 SELECT ts AS window_start, 'n_requests > 1' AS alert, count(*) AS observed
 FROM parsed GROUP BY ts HAVING count(*) > 1"""
 
+# Merchants with no fewer suspicious transactions than the average merchant.
+STRICT = f"""{DECIDED},
+struck AS (SELECT merchant_id, count(*) AS strikes FROM decided WHERE status = 'Suspicious'
+  GROUP BY merchant_id)
+SELECT merchant_id, strikes FROM struck
+WHERE strikes >= (SELECT CAST(ceil(avg(strikes)) AS BIGINT) FROM struck)"""
+
 ORACLES = {
     "transit_top_stops": f"WITH {STOPS} SELECT * FROM top_stops",
     "transit_max_boardings": f"""WITH {STOPS}
@@ -183,7 +199,8 @@ FROM events WHERE event_type NOT IN ('error', 'signup')""",
     ELSE strftime(ts, '%d/%m/%Y %H:%M:%S') END AS ts,
   CASE WHEN event_type = 'error' THEN 'bad user_id' ELSE 'bad ts' END AS reject_reason
 FROM events WHERE event_type IN ('error', 'signup')""",
-    "dq_file_report": "SELECT true AS name_ok, count(*) AS n_rows FROM events",
+    "dq_file_report": """SELECT event_type, count(*) AS n_rows, true AS name_ok
+FROM events GROUP BY event_type""",
     "dq_distinct": f"WITH {RAW_PLAYS} SELECT DISTINCT user_id, video_id, liked FROM raw_plays",
     "set_except": f"""WITH {RAW_PLAYS}
 SELECT user_id, video_id, liked FROM raw_plays
@@ -233,6 +250,7 @@ FROM decided""",
     "fraud_pos_blacklist": f"""WITH {DECIDED}
 SELECT merchant_id, count(*) AS strikes FROM decided WHERE status = 'Suspicious'
 GROUP BY merchant_id HAVING count(*) >= 3""",
+    "fraud_pos_blacklist_strict": f"""WITH {STRICT}""",
     "fraud_lost_cards": f"""WITH {DECIDED}
 SELECT card_id, ts AS lost_date FROM (
   SELECT card_id, ts, row_number() OVER (PARTITION BY card_id ORDER BY ts, txn_id) AS strike
@@ -245,8 +263,7 @@ SELECT txn_id, merchant_id, amount FROM txns
 WHERE merchant_id IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0)""",
     "click_parse": f"""WITH {PARSED}
 SELECT ip, ts, method, path, status, bytes, referer, agent FROM parsed""",
-    "click_rejects": f"""WITH {WEBLOG}
-SELECT value AS record, 'malformed' AS reject_reason FROM weblog WHERE value LIKE 'signup %'""",
+    "click_rejects": REJECTED,
     "click_category": f"""WITH {PARSED}
 SELECT {FIVE_MINUTES} AS window_start, count(*) AS category_hits FROM parsed WHERE camera
 GROUP BY 1""",
@@ -263,6 +280,7 @@ FROM status_windows WHERE failures > 3""",
     "stream_land_raw": f"WITH {WEBLOG} SELECT value FROM weblog",
     "stream_status_windows": f"WITH {STATUS_WINDOWS} SELECT * FROM status_windows",
     "stream_rate_alerts": RATE_ALERTS,
+    "stream_rejects": REJECTED,
     "stream_blacklist_hits": f"""WITH {TXNS}
 SELECT txn_id, card_id, merchant_id, amount, 'card_id' AS matched_on FROM txns
 WHERE card_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)
@@ -271,6 +289,10 @@ SELECT txn_id, card_id, merchant_id, amount, 'merchant_id' AS matched_on FROM tx
 WHERE merchant_id IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0)""",
     "stream_fraud_decision": f"""WITH {DECIDED}
 SELECT txn_id, card_id, amount, round(speed, 3) AS speed, status FROM decided""",
+    "stream_late": f"""WITH {TXNS}
+SELECT txn_id, card_id, amount FROM txns t WHERE EXISTS (
+  SELECT 1 FROM txns e WHERE e.card_id = t.card_id AND e.txn_id % 4 < t.txn_id % 4
+    AND (e.ts, e.txn_id) >= (t.ts, t.txn_id))""",
     "stream_pos_strikes": f"""WITH {DECIDED}
 SELECT merchant_id, count(*) AS strikes FROM decided WHERE status = 'Suspicious'
 GROUP BY merchant_id HAVING count(*) >= 3""",

@@ -135,6 +135,7 @@ def test_without_hot_keys_nothing_is_cut(spark):
 def test_input_bytes_are_those_of_the_files(spark, tmp_path):
     (tmp_path / "a").write_bytes(b"12345")
     assert input_bytes(spark, str(tmp_path), f"{tmp_path}/missing") == 5
+    assert input_bytes(spark, f"{tmp_path}/*", [f"{tmp_path}/a"], []) == 10
 
 
 def test_work_folders_are_new_and_under_the_shared_root(spark):
