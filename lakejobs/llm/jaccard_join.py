@@ -1,17 +1,22 @@
 """Exact Jaccard join of documents in the metric space of their shingle sets.
 
 Two sets are linked when their Jaccard distance is a fifth or less. Pivots cut the space
-into regions, in three steps that each leave less to the next:
+into regions, in three steps:
 
 1. Pivots that are single shingles. Their nearest sets are those that hold them; ties are
    broken by one global order of shingles, rare ones first. A set within the threshold of
-   another shares one of its first n - ceil(0.8 n) + 1 shingles, so a copy of it goes to
-   the region of each of these, and every link lies in some region.
-2. One document per region as its pivot. Distances to it are exact; sets within the
-   threshold are linked to it, and what is linked already need not meet again.
-3. For what is still apart in a region, rings of the threshold's width around its pivot:
-   by the triangle inequality, a set links only into its own ring and the neighbouring
-   ones, so it is replicated to those, and the pairs that remain are compared exactly.
+   another shares one of its first n - ceil(0.8 n) + 1 shingles, so it goes to the region
+   of each of these, and every link lies in some region. (Documents alone do not work as
+   pivots: nearly all pairs are at distance 1, so no window would exclude anything.)
+2. One document per region as its pivot. Regions with the same pivot make up one cell, to
+   which each of their sets goes once. Small cells are joined as they are.
+3. Large cells are cut by their members' exact distance to the pivot into rings of the
+   threshold's width. By the triangle inequality a set links only into its own and the
+   neighbouring rings, so it is copied to the next one; those in the innermost ring are
+   linked by the pivot already. Rings that are still large are cut once more, into blocks
+   that meet in pairs of blocks, each pair a task of bounded size.
+
+A task returns a spanning forest of the links it finds, never all pairs.
 
 Sets are kept as 64-bit hashes of their shingles.
 """
@@ -36,6 +41,9 @@ SIZE = 5
 # Tenths of the union that the intersection of linked sets makes up at least.
 TENTHS = 8
 MEMO_WORDS = 300_000
+LIGHTEST = 250
+# Shingles of more sets than this are counted by matrix products, others pair by pair.
+DENSE = 16
 
 
 @dataclass(frozen=True)
@@ -44,12 +52,14 @@ class Settings:
 
     ``most_common``: how many of these are told to the workers, the commonest first. Both
     and ``filter_bits``, the size of the filter of sets to fetch, cost time when they are
-    wrong and never a link.
+    wrong and never a link. ``cell``: shingles of all sets together that one task compares,
+    where a set counts as LIGHTEST at least, which bounds the number of sets.
     """
 
     common: int = 64
     most_common: int = 1_000_000
     filter_bits: int = 1 << 24
+    cell: int = 500_000
 
 
 @lru_cache(maxsize=1)
@@ -117,33 +127,36 @@ def _per_batch(
 
 
 def members(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id_col``, ``set_id`` and ``n`` per row; set_id is NULL for an empty set."""
+    """``id_col``, ``set_id``, ``n`` and ``text_hash`` per row; set_id is NULL for an empty set."""
+    share_package(docs.sparkSession)
+    own = docs.select(F.col(id_col), F.xxhash64(text_col).alias("text_hash"), F.col(text_col))
+    kind = own.schema[0].dataType.simpleString()
 
-    def run(ids, texts):
-        sets = [shingles(t) for t in texts]
-        return pa.RecordBatch.from_arrays(
-            [
-                ids,
-                pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
-                pa.array([len(s) for s in sets], pa.int64()),
-            ],
-            names=[id_col, "set_id", "n"],
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                ],
+                names=[id_col, "text_hash", "set_id", "n"],
+            )
 
-    kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return _per_batch(docs, [id_col, text_col], f"`{id_col}` {kind}, set_id long, n long", run)
+    return own.mapInArrow(run, f"`{id_col}` {kind}, text_hash long, set_id long, n long")
 
 
 def common_shingles(docs: DataFrame, text_col: str, settings: Settings) -> np.ndarray:
     """Sorted hashes of the commonest shingles, counted over all documents.
 
-    Only those that can come early in the order are counted: half as many again as the
-    prefix takes.
+    Only the prefixes in the order of hashes are counted: others seldom come early.
     """
 
     def run(_, texts):
         sets = [shingles(t) for t in texts]
-        parts = [s[: prefix_size(len(s)) * 3 // 2] for s in sets]
+        parts = [s[: prefix_size(len(s))] for s in sets]
         flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
         found, n = np.unique(flat, return_counts=True)
         return pa.RecordBatch.from_arrays(
@@ -179,10 +192,10 @@ def ordered(hashes: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def regions(docs: DataFrame, text_col: str, common: np.ndarray) -> DataFrame:
-    """``s``, ``set_id``, ``n``, ``pos``: the sets in each region that has two or more.
+    """``s``, ``set_id``, ``n``: the sets in each region that may have a link there.
 
-    Rows of common shingles are dealt over tasks at once; the others meet by shingle in
-    sorted order, and a run of one set is dropped there.
+    Rows of common shingles are dealt over tasks and all kept; the others meet by shingle in
+    sorted order, and stay if another one's size and place in the order allow a link.
     """
     handle = docs.sparkSession.sparkContext.broadcast(common)
 
@@ -211,7 +224,7 @@ def regions(docs: DataFrame, text_col: str, common: np.ndarray) -> DataFrame:
         )
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows whose shingle has several sets, each set once; input sorted by s, set_id."""
+        """Input sorted by s and set_id; a shingle's rows are worked on together."""
         held = None
         for batch in batches:
             if not batch.num_rows:
@@ -236,24 +249,43 @@ def _several(table: pa.Table) -> list[pa.RecordBatch]:
     if not table.num_rows:
         return []
     s, ids = table.column("s").to_numpy(), table.column("set_id").to_numpy()
-    common = table.column("common").to_numpy()
-    new = np.concatenate([[True], (s[1:] != s[:-1]) | (ids[1:] != ids[:-1])])
-    table, s, common = table.filter(pa.array(new)), s[new], common[new]
-    starts = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-    counts = np.diff(np.append(starts, len(s)))
-    # A common shingle's sets are in several tasks, so one set here is not all there is.
-    keep = (np.repeat(counts, counts) > 1) | common
+    table = table.filter(pa.array(np.concatenate([[True], (s[1:] != s[:-1]) | (ids[1:] != ids[:-1])])))
+    s, n = table.column("s").to_numpy(), table.column("n").to_numpy().astype(np.int64)
+    keep = _possible(s, n, table.column("pos").to_numpy()) | table.column("common").to_numpy()
     return table.filter(pa.array(keep)).to_batches()
 
 
-def fetched(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, settings: Settings) -> DataFrame:
-    """``set_id`` and ``hashes`` (bytes) of the documents whose ids are in ``wanted``.
+def _possible(s: np.ndarray, n: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Which rows have another one of their shingle that they may be linked with.
 
-    A filter of fixed size lets through all wanted ids and few others, so that no text is
-    shuffled; the filter only saves work.
+    If s is the first shingle two sets share, they share no more than either has from there.
+    """
+    order = np.lexsort((n, s))
+    s, n, left = s[order], n[order], (n - pos)[order]
+    ok = np.zeros(len(s), bool)
+    at, step = np.arange(len(s) - 1), 1
+    while len(at):
+        to = at + step
+        # By size within a shingle: once the other is too large, so are all after it.
+        near = (s[at] == s[to]) & (10 * n[at] >= TENTHS * n[to])
+        at, to = at[near], to[near]
+        reach = (10 + TENTHS) * np.minimum(left[at], left[to]) >= TENTHS * (n[at] + n[to])
+        ok[at[reach]] = ok[to[reach]] = True
+        step += 1
+        at = at[at + step < len(s)]
+    out = np.empty(len(s), bool)
+    out[order] = ok
+    return out
+
+
+def fetched(docs: DataFrame, wanted: DataFrame, text_col: str, settings: Settings) -> DataFrame:
+    """``set_id`` and ``hashes`` (bytes) of the documents whose text hash is in ``wanted``.
+
+    A filter of fixed size lets through all wanted texts and few others, so that no text is
+    shuffled; the filter only saves work. Copies give a row each.
     """
     bits = settings.filter_bits
-    places = F.explode(F.array(*[F.pmod(F.xxhash64(F.col("id"), F.lit(i)), F.lit(bits)) for i in range(3)]))
+    places = F.explode(F.array(*[F.pmod(F.xxhash64(F.col("text_hash"), F.lit(i)), F.lit(bits)) for i in range(3)]))
     words = (
         wanted.select(places.alias("p"))
         .groupBy(F.expr("p div 32").alias("word"))
@@ -268,9 +300,9 @@ def fetched(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, sett
         for batch in batches:
             ok = np.ones(batch.num_rows, bool)
             for i in range(3):
-                p = batch.column(2 + i).to_numpy()
+                p = batch.column(1 + i).to_numpy()
                 ok &= (handle.value[p >> 5] >> (p & 31).astype(np.uint32)) & 1 == 1
-            texts = batch.column(1).filter(pa.array(ok)).to_pylist()
+            texts = batch.column(0).filter(pa.array(ok)).to_pylist()
             sets = [shingles(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -281,41 +313,168 @@ def fetched(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, sett
             )
 
     share_package(docs.sparkSession)
-    marked = docs.where(F.col(id_col).isNotNull()).select(
-        id_col,
-        text_col,
-        *[F.pmod(F.xxhash64(F.col(id_col), F.lit(i)), F.lit(bits)).alias(f"__p{i}") for i in range(3)],
+    hashed = docs.where(F.col(text_col).isNotNull()).select(
+        F.col(text_col).alias("__text"), F.xxhash64(text_col).alias("__h")
+    )
+    marked = hashed.select(
+        "__text", *[F.pmod(F.xxhash64("__h", F.lit(i)), F.lit(bits)).alias(f"__p{i}") for i in range(3)]
     )
     return marked.mapInArrow(run, "set_id long, hashes binary")
 
 
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a``, ``b``, ``common``, ``n_a``, ``n_b`` of every pair of set ids."""
+def forest(sets: list[np.ndarray], block: np.ndarray, mixed: bool) -> list[tuple[int, int]]:
+    """A spanning forest, as pairs of places, of the links among ``sets``.
+
+    With ``mixed``, only links between different blocks count.
+    """
+    k = len(sets)
+    if k < 2:
+        return []
+    n = np.array([len(x) for x in sets])
+    common = _intersections(sets, n)
+    link = 10 * common >= TENTHS * (n[:, None] + n[None, :] - common)
+    if mixed:
+        link &= block[:, None] != block[None, :]
+    out, fresh = [], np.ones(k, bool)
+    for root in range(k):
+        if not fresh[root]:
+            continue
+        fresh[root] = False
+        wave = [root]
+        while wave:
+            at = wave.pop()
+            found = np.flatnonzero(link[at] & fresh)
+            fresh[found] = False
+            out += [(at, int(x)) for x in found]
+            wave += found.tolist()
+    return out
+
+
+def _intersections(sets: list[np.ndarray], n: np.ndarray) -> np.ndarray:
+    """Intersection sizes of every two of ``sets``."""
+    k = len(sets)
+    owner = np.repeat(np.arange(k), n)
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    rare = (times[column] > 1) & (times[column] <= DENSE)
+    o, c, common = owner[rare], column[rare], np.zeros(k * k, np.int64)
+    for step in range(1, DENSE):
+        same = np.flatnonzero(c[step:] == c[:-step])
+        if not len(same):
+            break
+        common += np.bincount(o[same] * k + o[same + step], minlength=k * k)
+    common = common.reshape(k, k)
+    common = (common + common.T).astype(np.float32)
+    often = times > DENSE
+    o, c = owner[often[column]], (np.cumsum(often) - 1)[column[often[column]]]
+    width = 4096
+    for start in range(0, int(often.sum()), width):
+        here = (c >= start) & (c < start + width)
+        part = np.zeros((k, min(width, int(often.sum()) - start)), np.float32)
+        part[o[here], c[here] - start] = 1
+        common += part @ part.T
+    return common
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows of equal ``keys`` together, from batches sorted by these."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        columns = [table.column(c).to_numpy() for c in keys]
+        new = np.zeros(table.num_rows - 1, bool)
+        for c in columns:
+            new |= c[1:] != c[:-1]
+        starts = [0, *(np.flatnonzero(new) + 1).tolist()]
+        for a, b in zip(starts, starts[1:]):
+            yield table.slice(a, b - a)
+        held = table.slice(starts[-1])
+    if held is not None:
+        yield held
+
+
+def joined_cells(rows: DataFrame) -> DataFrame:
+    """Links ``a``, ``b`` that span those within each (cell, ring, i, j).
+
+    ``rows``: cell, ring, i, j, block, set_id, hashes. Where i differs from j the blocks are
+    compared with each other only.
+    """
+    keys = ["cell", "ring", "i", "j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            out = []
-            for x, y in both:
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                out.append(int((y[at] == x).sum()))
+        for table in _runs(batches, keys):
+            ids = table.column("set_id").to_numpy()
+            first = np.unique(ids, return_index=True)[1]
+            if len(first) < 2:
+                continue
+            ids, table = ids[first], table.take(pa.array(first))
+            sets = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
+            block = table.column("block").to_numpy()
+            mixed = table.column("i")[0].as_py() != table.column("j")[0].as_py()
+            found = forest(sets, block, mixed)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(out, pa.int64()),
-                    pa.array([len(v) // 8 for v in batch.column(2).to_pylist()], pa.int64()),
-                    pa.array([len(v) // 8 for v in batch.column(3).to_pylist()], pa.int64()),
+                    pa.array(ids[[x for x, _ in found]], pa.int64()),
+                    pa.array(ids[[y for _, y in found]], pa.int64()),
                 ],
-                names=["a", "b", "common", "n_a", "n_b"],
+                names=["a", "b"],
+            )
+
+    sent = rows.repartition(*keys).sortWithinPartitions(*keys)
+    return sent.mapInArrow(run, "a long, b long")
+
+
+def cell_rows(cells: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Rows for ``joined_cells``: small cells whole, large ones by ring and block.
+
+    ``cells``: cell (the pivot's set id), set_id, n.
+    """
+    weight = cells.groupBy("cell").agg(F.sum(F.greatest("n", F.lit(LIGHTEST))).alias("weight"))
+    large = kept(weight.where(F.col("weight") > settings.cell), "large-cells")
+    cells = kept(cells.join(large, "cell", "left"), "cells")
+    zero = F.lit(0)
+    small = cells.where("weight is null").select("cell", "set_id").join(sets, "set_id")
+    small = small.select("cell", zero.alias("ring"), zero.alias("i"), zero.alias("j"), zero.alias("block"), "set_id", "hashes")
+    pivots = cells.where("weight is not null and cell = set_id").select("cell", "set_id").join(sets, "set_id")
+    pivots = pivots.select("cell", F.col("hashes").alias("pivot_hashes"))
+    members = cells.where("weight is not null").select("cell", "set_id", "n").join(sets, "set_id")
+    ringed = kept(_rings(members.join(pivots, "cell")), "ringed-sets")
+    # A set is at home in its ring and visits the one inside it.
+    placed = ringed.select("*", F.explode(F.array(F.col("ring"), F.col("ring") - 1)).alias("at")).where("at >= 0")
+    counts = kept(placed.groupBy("cell", "at").agg(F.ceil(F.sum(F.greatest("n", F.lit(LIGHTEST))) / settings.cell).cast("int").alias("g")), "ring-sizes")
+    placed = placed.join(counts, ["cell", "at"])
+    own = F.pmod(F.xxhash64("set_id"), F.col("g")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other")
+    blocks = placed.select("cell", F.col("at").alias("ring"), own.alias("block"), other, "set_id", "hashes")
+    blocks = blocks.select(
+        "cell", "ring", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        "block", "set_id", "hashes",
+    )
+    return small.union(blocks)
+
+
+def _rings(rows: DataFrame) -> DataFrame:
+    """``cell``, ``set_id``, ``n``, ``hashes`` and ``ring``: fifths of distance to the pivot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rings = []
+            for x, y in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                union = len(x) + len(y) - common
+                rings.append(10 * (union - common) // ((10 - TENTHS) * union))
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(i) for i in range(4)], pa.array(rings, pa.int32())],
+                names=["cell", "set_id", "n", "hashes", "ring"],
             )
 
-    of = lambda side: sets.select(F.col("set_id").alias(side), F.col("hashes").alias(f"h_{side}"))
-    both = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "h_a", "h_b")
-    return both.mapInArrow(run, "a long, b long, common long, n_a long, n_b long")
+    own = rows.select("cell", "set_id", F.col("n").cast("int"), "hashes", "pivot_hashes")
+    return own.mapInArrow(run, "cell long, set_id long, n int, hashes binary, ring int")
 
 
 def jaccard_components(
@@ -331,38 +490,23 @@ def jaccard_components(
     smallest that are not NULL. Equal texts and repeated rows are in one component. Other
     columns are not read.
     """
-    spark = docs.sparkSession
     rows = kept(members(docs, id_col, text_col), "sets")
     # One document stands for each distinct set.
     first = kept(
-        rows.where("set_id is not null").groupBy("set_id").agg(F.min(id_col).alias("id")), "distinct-sets"
-    )
-    common = common_shingles(docs, text_col, settings)
-    region = kept(regions(docs, text_col, common), "regions")
-    pivots = kept(
-        region.groupBy("s")
-        .agg(F.min(F.struct("n", "set_id"))["set_id"].alias("pivot"), F.max(F.struct("n", "set_id"))["set_id"].alias("other"))
-        .where("pivot != other")
-        .select("s", "pivot"),
-        "pivots",
-    )
-    near = kept(region.join(pivots, "s"), "region-sets")
-    wanted = kept(
-        near.select("set_id").distinct().join(first, "set_id").where("id is not null").select("id"), "wanted"
-    )
-    sets = kept(fetched(docs, wanted, id_col, text_col, settings).dropDuplicates(["set_id"]), "fetched-sets")
-    pairs = near.where("set_id != pivot").select(F.col("set_id").alias("a"), F.col("pivot").alias("b")).distinct()
-    to_pivot = kept(compared(pairs, sets), "pivot-distances")
-    is_link = F.col("common") * 10 >= TENTHS * (F.col("n_a") + F.col("n_b") - F.col("common"))
-    links = kept(to_pivot.where(is_link).select("a", "b"), "pivot-links")
-    classes = kept(components(links), "pivot-classes")
-    links = links.union(
-        kept(compared(boundary_pairs(near, to_pivot, classes), sets).where(is_link).select("a", "b"), "ring-links")
-    )
-    classes = components(links)
-    least = kept(
-        classes.select(F.col("id").alias("set_id"), "component").join(first, "set_id"), "class-ids"
+        rows.where("set_id is not null")
+        .groupBy("set_id")
+        .agg(F.min(id_col).alias("id"), F.min("text_hash").alias("text_hash")),
+        "distinct-sets",
     )
+    region = kept(regions(docs, text_col, common_shingles(docs, text_col, settings)), "regions")
+    pivots = region.groupBy("s").agg(F.min("set_id").alias("cell"), F.max("set_id").alias("last"))
+    pivots = kept(pivots.where("cell != last").select("s", "cell"), "pivots")
+    cells = kept(region.join(pivots, "s").select("cell", "set_id", "n").distinct(), "cell-sets")
+    wanted = cells.select("set_id").distinct().join(first, "set_id").select("text_hash")
+    sets = fetched(docs, kept(wanted, "wanted-sets"), text_col, settings)
+    links = kept(joined_cells(cell_rows(cells, sets, settings)), "links")
+    classes = components(links).select(F.col("id").alias("set_id"), "component")
+    least = kept(classes.join(first, "set_id"), "class-ids")
     lowest = kept(least.groupBy("component").agg(F.min("id").alias("lowest")), "class-lowest")
     joined = least.join(lowest, "component").select("set_id", "lowest")
     named = kept(
@@ -371,38 +515,3 @@ def jaccard_components(
     return rows.join(named, "set_id", "left").select(
         id_col, F.col("n").alias("n_shingles"), F.coalesce("__c", F.col(id_col)).alias("component_id")
     )
-
-
-def boundary_pairs(near: DataFrame, to_pivot: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs ``a``, ``b`` of sets that share a region, are in different classes so far, and
-    whose sizes, places in the order and distances to the pivot allow a link."""
-    ring = F.expr("5 * (n_a + n_b - 2 * common) div (n_a + n_b - common)").cast("int")
-    rings = to_pivot.select(F.col("a").alias("set_id"), F.col("b").alias("pivot"), ring.alias("ring"))
-    known = classes.select(F.col("id").alias("set_id"), F.col("component").alias("class"))
-    rows = near.join(kept(rings, "rings"), ["set_id", "pivot"], "left").join(known, "set_id", "left")
-    rows = rows.select(
-        "s", "set_id", "n", "pos",
-        F.coalesce("class", "set_id").alias("class"),
-        # The pivot itself is at distance 0.
-        F.coalesce("ring", F.lit(0)).alias("ring"),
-    )
-    rows = kept(rows, "region-rings")
-    # Only regions with several classes have anything left to link.
-    open_ = kept(
-        rows.groupBy("s").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x != y").select("s"),
-        "open-regions",
-    )
-    rows = kept(rows.join(open_, "s"), "open-rows")
-    left = rows.select("s", "ring", *[F.col(c).alias(f"{c}_a") for c in ("set_id", "n", "pos", "class")])
-    windows = F.explode(F.array(F.col("ring") - 1, F.col("ring"), F.col("ring") + 1)).alias("ring")
-    right = rows.select("s", windows, *[F.col(c).alias(f"{c}_b") for c in ("set_id", "n", "pos", "class")])
-    reach = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
-    return (
-        left.join(right, ["s", "ring"])
-        .where("set_id_a < set_id_b and class_a != class_b")
-        .where(10 * F.least("n_a", "n_b") >= TENTHS * F.greatest("n_a", "n_b"))
-        # If s is the first shingle they share, no more than ``reach`` are shared.
-        .where((10 + TENTHS) * reach >= TENTHS * (F.col("n_a") + F.col("n_b")))
-        .select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"))
-        .distinct()
-    )
