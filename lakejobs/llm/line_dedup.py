@@ -68,14 +68,9 @@ def simhashes(found: DataFrame) -> DataFrame:
     of its pieces is then the line's.
     """
     lanes = 0x0001000100010001
-    starts = F.sequence(F.lit(1), F.size("words"), F.lit(PIECE))
-    pieces = F.when(F.size("words") <= PIECE, F.array("words")).otherwise(
-        F.transform(starts, lambda i: F.slice("words", i, PIECE))
-    )
     keys = ["row", "id", "line_no", "h"]
-    split = found.select(*keys, F.posexplode(pieces).alias("piece", "words"))
-    hashed = split.select(*keys, "piece", F.explode("words").alias("word")).select(
-        *keys, "piece", F.xxhash64("word").alias("w")
+    hashed = found.select(*keys, F.posexplode("words").alias("at", "word")).select(
+        *keys, F.expr(f"at div {PIECE}").alias("piece"), F.xxhash64("word").alias("w")
     )
     sums = [
         F.sum(F.shiftrightunsigned("w", k).bitwiseAND(F.lit(lanes))).alias(f"s{k}") for k in range(16)
@@ -110,16 +105,36 @@ def apart(a: Column, b: Column) -> Column:
 
 
 def similar(a: Column, b: Column, similarity: float) -> Column:
-    """Whether the edit similarity of two strings is at least ``similarity``."""
+    """Whether the edit similarity of two strings is at least ``similarity``.
+
+    Most pairs that get here differ in a few words, so a cheap upper bound of the distance is
+    tried first, then small bounds of the distance itself.
+    """
     longest = F.greatest(F.length(a), F.length(b))
     allowed = F.floor((1 - similarity) * longest + 1e-9)
-    distance = F.levenshtein(a, b)
-    for bound in reversed(BOUNDS):
+    close = F.when(F.abs(F.length(a) - F.length(b)) > allowed, False).when(
+        replaced(a, b) <= allowed, True
+    )
+    for bound in BOUNDS:
         # -1 for a distance beyond the bound.
         within = F.levenshtein(a, b, bound)
-        distance = F.when(allowed <= bound, F.when(within >= 0, within)).otherwise(distance)
-    close = (F.abs(F.length(a) - F.length(b)) <= allowed) & (distance <= allowed)
-    return (a == b) | F.coalesce(close, F.lit(False))
+        close = close.when((within >= 0) & (within <= allowed), True).when(allowed <= bound, False)
+    return (a == b) | close.otherwise(F.levenshtein(a, b) <= allowed)
+
+
+def replaced(a: Column, b: Column) -> Column:
+    """An edit distance that is enough, if not the least: word by word, the longer length
+    of each two words that differ, and of words that have no partner with their blank."""
+    x, y = F.split(a, " "), F.split(b, " ")
+    costs = F.zip_with(
+        x,
+        y,
+        lambda p, q: F.when(p == q, 0).otherwise(
+            F.greatest(F.coalesce(F.length(p), F.lit(0)), F.coalesce(F.length(q), F.lit(0)))
+            + F.when(p.isNull() | q.isNull(), 1).otherwise(0)
+        ),
+    )
+    return F.reduce(costs, F.lit(0), lambda total, c: total + F.coalesce(c, F.lit(0)))
 
 
 def meetings(distinct: DataFrame, settings: Settings) -> DataFrame:
@@ -127,10 +142,12 @@ def meetings(distinct: DataFrame, settings: Settings) -> DataFrame:
     entries = distinct.select("h", "sim", F.explode(block_keys(F.col("sim"), settings)).alias("key"))
     hubs = (
         entries.groupBy("key")
-        .agg(F.min(F.struct("h", "sim")).alias("hub"), F.max("h").alias("last"))
-        .where("hub.h != last")
-        .select("key", F.col("hub.h").alias("hub"), F.col("hub.sim").alias("hub_sim"))
+        .agg(F.min("h").alias("hub"), F.max("h").alias("last"))
+        .where("hub != last")
+        .select("key", "hub")
     )
+    sims = distinct.select(F.col("h").alias("hub"), F.col("sim").alias("hub_sim"))
+    hubs = kept(hubs, "shared-keys").join(sims, "hub")
     joined = entries.join(kept(hubs, "line-hubs"), "key")
     far = apart(F.col("sim"), F.col("hub_sim")).alias("far")
     return joined.select("key", "h", "sim", "hub", far)
@@ -167,15 +184,19 @@ def open_pairs(met: DataFrame, classes: DataFrame, settings: Settings) -> DataFr
     )
 
 
-def fetched(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def fetched(
+    docs: DataFrame, wanted: DataFrame, distinct: DataFrame, id_col: str, text_col: str
+) -> DataFrame:
     """``h`` and ``norm`` (words joined by blanks) of the lines in ``wanted``, and few others.
 
-    A filter of fixed size is tested on every line, so that no text but theirs is shuffled.
+    They are looked up where they occur first. A filter of fixed size is tested on every
+    place, so that no text but theirs is taken apart or shuffled.
     """
+    places = wanted.join(distinct, "h").select(F.xxhash64("at.row", "at.line_no").alias("place"))
     bits = FILTER_BITS
-    place = lambda i: F.pmod(F.xxhash64(F.col("h"), F.lit(i)), F.lit(bits))
+    bit = lambda i: F.pmod(F.xxhash64("place", F.lit(i)), F.lit(bits))
     marks = (
-        wanted.select(F.explode(F.array(*[place(i) for i in range(3)])).alias("p"))
+        places.select(F.explode(F.array(*[bit(i) for i in range(3)])).alias("p"))
         .groupBy(F.expr("p div 64").alias("word"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits"))
     )
@@ -192,12 +213,15 @@ def fetched(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> D
     table = kept(table, "line-filter").scalar()
     ok = F.lit(True)
     for i in range(3):
-        word = F.get(table, F.expr(f"cast(pmod(xxhash64(h, {i}), {bits}L) div 64 as int)"))
-        ok &= F.getbit(word, F.expr(f"cast(pmod(xxhash64(h, {i}), {bits}L) % 64 as int)")) == 1
+        word = F.get(table, F.expr(f"cast(pmod(xxhash64(place, {i}), {bits}L) div 64 as int)"))
+        ok &= F.getbit(word, F.expr(f"cast(pmod(xxhash64(place, {i}), {bits}L) % 64 as int)")) == 1
+    split = F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line")
     return (
-        lines(docs, id_col, text_col)
+        docs.select(F.xxhash64(id_col, text_col).alias("row"), split)
+        .withColumn("place", F.xxhash64("row", "line_no"))
         .where(ok)
-        .select("h", F.array_join("words", " ").alias("norm"))
+        .select(words(F.col("line")).alias("words"))
+        .select(F.xxhash64("words").alias("h"), F.array_join("words", " ").alias("norm"))
         .dropDuplicates(["h"])
     )
 
@@ -222,8 +246,13 @@ def line_classes(
     across = kept(open_pairs(met, kept(components(to_hub), "near-lines"), settings), "ring-pairs")
     pairs = to_hub.union(across)
     ends = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
-    texts = kept(fetched(docs, kept(ends, "wanted-lines"), id_col, text_col), "line-texts")
-    links = kept(verified(pairs.distinct(), texts, settings), "line-links")
+    texts = kept(fetched(docs, kept(ends, "wanted-lines"), distinct, id_col, text_col), "line-texts")
+    # One hub per line first: with most lines connected by that, few pairs are left.
+    first = to_hub.groupBy("a").agg(F.min("b").alias("b"))
+    links = kept(verified(first, texts, settings), "line-links")
+    classes = kept(components(links), "line-classes")
+    left = kept(_apart(pairs.distinct(), classes), "open-pairs")
+    links = links.union(kept(verified(left, texts, settings), "line-links"))
     classes = kept(components(links), "line-classes")
     # Lines near one hub that are not both similar to it may still be similar to each other.
     rest = open_pairs(met, classes, settings).join(pairs, ["a", "b"], "left_anti")
@@ -231,6 +260,13 @@ def line_classes(
     return components(links.union(more)) if more.limit(1).count() else classes
 
 
+def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs whose ends are not in one class."""
+    of = lambda s: classes.select(F.col("id").alias(s), F.col("component").alias(f"c_{s}"))
+    both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return both.where("c_a is null or c_b is null or c_a != c_b").select("a", "b")
+
+
 def repeated_lines(
     docs: DataFrame, settings: Settings, id_col: str, text_col: str
 ) -> DataFrame:
