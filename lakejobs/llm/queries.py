@@ -112,6 +112,24 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op9_jaccard_join"] = r"""
+WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM t, range(1, greatest(len(w) - 4, 1) + 1) AS r(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id
+  WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach AS (SELECT doc_id, doc_id AS c FROM documents
+  UNION SELECT e.b, reach.c FROM reach JOIN e ON reach.doc_id = e.a)
+SELECT reach.doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(c) AS component_id
+FROM reach LEFT JOIN n ON n.doc_id = reach.doc_id GROUP BY reach.doc_id"""
+
+
 @query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
