@@ -198,3 +198,12 @@ def test_stream_records(spark):
         ("c2", None, 1.0, dt.datetime(1970, 1, 1), "pos", "t3", None, None),
     ]
     assert sorted(r[0] for r in rows(rejected)) == ["c1,m1", "c1,m1,much,60,pos,t2,1,2"]
+
+
+def test_incomplete_records_are_rejected(spark):
+    values = [None, "", ",,5,,,,,", "c,m,5,60,pos,,1,2", "c,m,5,60,pos,t,1,2"]
+    lines = spark.createDataFrame([(v,) for v in values], "value string")
+    records, rejected = fraud.parse_stream(lines)
+    assert [r["txn_id"] for r in records.collect()] == ["t"]
+    assert rejected.count() + records.count() == len(values)
+    assert {r["reject_reason"] for r in rejected.collect()} <= {"malformed", "incomplete"}
