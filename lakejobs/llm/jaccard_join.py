@@ -56,7 +56,7 @@ class Settings:
     where a set counts as LIGHTEST at least, which bounds the number of sets.
     """
 
-    common: int = 64
+    common: int = 8
     most_common: int = 1_000_000
     filter_bits: int = 1 << 24
     cell: int = 500_000
@@ -428,20 +428,30 @@ def joined_cells(rows: DataFrame) -> DataFrame:
     return sent.mapInArrow(run, "a long, b long")
 
 
-def cell_rows(cells: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+def cell_rows(
+    cells: DataFrame, fetch: Callable[[DataFrame], DataFrame], settings: Settings
+) -> DataFrame:
     """Rows for ``joined_cells``: small cells whole, large ones by ring and block.
 
-    ``cells``: cell (the pivot's set id), set_id, n.
+    ``cells``: cell (the pivot's set id), set_id, n. ``fetch`` gives set_id and hashes of the
+    sets in some cells.
     """
+    zero = F.lit(0)
+
+    def whole(cells: DataFrame) -> DataFrame:
+        one = [zero.alias(c) for c in ("ring", "i", "j", "block")]
+        return cells.join(fetch(cells), "set_id").select("cell", *one, "set_id", "hashes")
+
     weight = cells.groupBy("cell").agg(F.sum(F.greatest("n", F.lit(LIGHTEST))).alias("weight"))
     large = kept(weight.where(F.col("weight") > settings.cell), "large-cells")
+    if not large.limit(1).count():
+        return whole(cells)
     cells = kept(cells.join(large, "cell", "left"), "cells")
-    zero = F.lit(0)
-    small = cells.where("weight is null").select("cell", "set_id").join(sets, "set_id")
-    small = small.select("cell", zero.alias("ring"), zero.alias("i"), zero.alias("j"), zero.alias("block"), "set_id", "hashes")
-    pivots = cells.where("weight is not null and cell = set_id").select("cell", "set_id").join(sets, "set_id")
+    wide = cells.where("weight is not null").select("cell", "set_id", "n")
+    sets = fetch(wide)
+    pivots = wide.where("cell = set_id").select("cell", "set_id").join(sets, "set_id")
     pivots = pivots.select("cell", F.col("hashes").alias("pivot_hashes"))
-    members = cells.where("weight is not null").select("cell", "set_id", "n").join(sets, "set_id")
+    members = wide.join(sets, "set_id")
     ringed = kept(_rings(members.join(pivots, "cell")), "ringed-sets")
     # A set is at home in its ring and visits the one inside it.
     placed = ringed.select("*", F.explode(F.array(F.col("ring"), F.col("ring") - 1)).alias("at")).where("at >= 0")
@@ -454,7 +464,7 @@ def cell_rows(cells: DataFrame, sets: DataFrame, settings: Settings) -> DataFram
         "cell", "ring", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         "block", "set_id", "hashes",
     )
-    return small.union(blocks)
+    return whole(cells.where("weight is null").select("cell", "set_id")).union(blocks)
 
 
 def _rings(rows: DataFrame) -> DataFrame:
@@ -502,9 +512,12 @@ def jaccard_components(
     pivots = region.groupBy("s").agg(F.min("set_id").alias("cell"), F.max("set_id").alias("last"))
     pivots = kept(pivots.where("cell != last").select("s", "cell"), "pivots")
     cells = kept(region.join(pivots, "s").select("cell", "set_id", "n").distinct(), "cell-sets")
-    wanted = cells.select("set_id").distinct().join(first, "set_id").select("text_hash")
-    sets = fetched(docs, kept(wanted, "wanted-sets"), text_col, settings)
-    links = kept(joined_cells(cell_rows(cells, sets, settings)), "links")
+
+    def fetch(some: DataFrame) -> DataFrame:
+        wanted = some.select("set_id").distinct().join(first, "set_id").select("text_hash")
+        return fetched(docs, kept(wanted, "wanted-sets"), text_col, settings)
+
+    links = kept(joined_cells(cell_rows(cells, fetch, settings)), "links")
     classes = components(links).select(F.col("id").alias("set_id"), "component")
     least = kept(classes.join(first, "set_id"), "class-ids")
     lowest = kept(least.groupBy("component").agg(F.min("id").alias("lowest")), "class-lowest")
