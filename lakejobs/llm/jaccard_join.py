@@ -4,9 +4,9 @@ Two sets are linked when their Jaccard distance is a fifth or less. Pivots cut t
 into regions, in three steps:
 
 1. Pivots that are single shingles. Their nearest sets are those that hold them; ties are
-   broken by one global order of shingles, rare ones first. A set within the threshold of
-   another shares one of its first n - ceil(0.8 n) + 1 shingles, so it goes to the region
-   of each of these, and every link lies in some region. (Documents alone do not work as
+   broken by one global order of shingles, rare ones first. Sets within the threshold share
+   at least k of their first n - ceil(0.8 n) + k shingles, so a set goes to the region of
+   each of these, every link lies in k regions, and a set in fewer has none. (Documents alone do not work as
    pivots: nearly all pairs are at distance 1, so no window would exclude anything.)
 2. One document per region as its pivot. Regions with the same pivot make up one cell, to
    which each of their sets goes once. Small cells are joined as they are.
@@ -42,6 +42,8 @@ SIZE = 5
 TENTHS = 8
 MEMO_WORDS = 300_000
 LIGHTEST = 250
+# A linked set shares one shingle more of the prefix for every so many it has.
+PART = 30
 # Shingles of more sets than this are counted by matrix products, others pair by pair.
 DENSE = 16
 
@@ -106,9 +108,17 @@ def set_id(hashes: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def shared_least(n):
+    """How many shingles of its prefix a set of n shares with a linked one that is no smaller."""
+    return 1 + n // PART
+
+
 def prefix_size(n: int) -> int:
-    """How many of a set's first shingles a linked set shares at least one of."""
-    return n - (TENTHS * n + 9) // 10 + 1 if n else 0
+    """How many of a set's first shingles hold ``shared_least`` ones of a linked larger set.
+
+    The j-th shingle two sets share has at least (their intersection - j) places after it.
+    """
+    return n - (TENTHS * n + 9) // 10 + shared_least(n) if n else 0
 
 
 def linked(common: int, n_a: int, n_b: int) -> bool:
@@ -258,7 +268,8 @@ def _several(table: pa.Table) -> list[pa.RecordBatch]:
 def _possible(s: np.ndarray, n: np.ndarray, pos: np.ndarray) -> np.ndarray:
     """Which rows have another one of their shingle that they may be linked with.
 
-    If s is the first shingle two sets share, they share no more than either has from there.
+    If s is among the first ``shared_least`` shingles two sets share, they share no more than
+    those and what either has from there.
     """
     order = np.lexsort((n, s))
     s, n, left = s[order], n[order], (n - pos)[order]
@@ -269,7 +280,8 @@ def _possible(s: np.ndarray, n: np.ndarray, pos: np.ndarray) -> np.ndarray:
         # By size within a shingle: once the other is too large, so are all after it.
         near = (s[at] == s[to]) & (10 * n[at] >= TENTHS * n[to])
         at, to = at[near], to[near]
-        reach = (10 + TENTHS) * np.minimum(left[at], left[to]) >= TENTHS * (n[at] + n[to])
+        most = np.minimum(left[at], left[to]) + shared_least(n[to]) - 1
+        reach = (10 + TENTHS) * most >= TENTHS * (n[at] + n[to])
         ok[at[reach]] = ok[to[reach]] = True
         step += 1
         at = at[at + step < len(s)]
@@ -509,6 +521,10 @@ def jaccard_components(
         "distinct-sets",
     )
     region = kept(regions(docs, text_col, common_shingles(docs, text_col, settings)), "regions")
+    # The smaller of two linked sets has eight tenths of the larger one's size or more.
+    enough = F.count(F.lit(1)) >= 1 + F.expr(f"max({TENTHS} * n div 10 div {PART})")
+    linkable = region.groupBy("set_id").agg(enough.alias("ok")).where("ok").select("set_id")
+    region = kept(region.join(kept(linkable, "linkable-sets"), "set_id"), "linkable-regions")
     pivots = region.groupBy("s").agg(F.min("set_id").alias("cell"), F.max("set_id").alias("last"))
     pivots = kept(pivots.where("cell != last").select("s", "cell"), "pivots")
     cells = kept(region.join(pivots, "s").select("cell", "set_id", "n").distinct(), "cell-sets")
