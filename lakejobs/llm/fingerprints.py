@@ -60,12 +60,14 @@ def lexicon(docs: DataFrame, settings: Settings = Settings(), text_col: str = "t
 
 
 def fingerprints(
-    texts: DataFrame, terms: DataFrame, settings: Settings = Settings()
+    texts: DataFrame, terms: DataFrame, settings: Settings = Settings(), text_col: str = "text"
 ) -> DataFrame:
-    """``key`` and ``fingerprint`` of the distinct ``text`` values, ``key`` naming the text.
+    """The columns of ``texts`` but ``text_col``, one row per distinct values, and ``fingerprint``.
 
-    Texts without a lexicon term are absent; ``or_exact`` names them by their content.
+    Texts without a lexicon term have a NULL fingerprint; ``or_exact`` names them by their
+    content.
     """
+    keys = [c for c in texts.columns if c != text_col]
     bits = F.sequence(F.lit(0), F.lit(settings.parts - 1))
 
     def part(k: Column) -> Column:
@@ -73,13 +75,18 @@ def fingerprints(
         joined = F.array_join(F.transform(own, lambda x: x["term"]), " ")
         return F.when(F.size(own) > 0, F.substring(F.md5(joined), 1, 8)).otherwise("")
 
+    # The empty word is in no subset, and there for every text to have a match.
+    spark = texts.sparkSession
+    terms = terms.unionByName(spark.range(1).select(F.lit("").alias("term"), F.lit(0).cast("long").alias("mask")))
+    found = F.concat(F.split(F.lower(F.col(text_col)), SEPARATOR), F.array(F.lit("")))
+    joined = F.array_join(F.transform(bits, part), "-")
     # The lexicon is bounded by ``max_terms``.
     return (
-        texts.select("key", F.explode(F.split(F.lower("text"), SEPARATOR)).alias("term"))
-        .join(F.broadcast(terms), "term")
-        .groupBy("key")
-        .agg(F.sort_array(F.collect_set(F.struct("term", "mask"))).alias("__found"))
-        .select("key", F.array_join(F.transform(bits, part), "-").alias("fingerprint"))
+        texts.select(*keys, F.explode(found).alias("__term"))
+        .join(F.broadcast(terms.withColumnRenamed("term", "__term")), "__term")
+        .groupBy(*keys)
+        .agg(F.sort_array(F.collect_set(F.struct(F.col("__term").alias("term"), "mask"))).alias("__found"))
+        .select(*keys, F.when(F.size("__found") > 1, joined).alias("fingerprint"))
     )
 
 
@@ -96,8 +103,9 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).otherwise(F.coalesce(F.try_divide(F.size(same), F.size(some)), F.lit(0.0)))
 
 
-def with_next(docs: DataFrame, id_col: str, text_col: str, rows_per_range: int = 20_000) -> DataFrame:
-    """``id_col``, text and next_text, the text of the next row by descending id.
+def with_next(docs: DataFrame, id_col: str, text_col: str, rows_per_range: int = 5_000) -> DataFrame:
+    """``id_col``, text, next_text (the text of the next row by descending id), and ``row``,
+    a number for the row.
 
     After the last row comes the first. Rows are cut into ranges of ids, each ordered by
     itself; the first row of a range follows the last of the range above. Rows of one id
@@ -128,8 +136,10 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, rows_per_range: int =
         F.col(id_col).desc_nulls_last(), F.col("__h").desc(), F.col("text").desc()
     )
     rows = own.withColumn("__lead", F.lead("text").over(order))
+    rows = rows.withColumn("__at", F.row_number().over(order))
     joined = rows.join(kept(heads, "range-heads"), "__range")
-    return joined.select(id_col, "text", F.coalesce("__lead", "__after").alias("next_text"))
+    row = F.struct("__range", "__at").alias("row")
+    return joined.select(id_col, "text", F.coalesce("__lead", "__after").alias("next_text"), row)
 
 
 def edited(text: Column, other: Column) -> Column:
@@ -151,27 +161,23 @@ def compare_edited(
     terms = kept(lexicon(docs, settings, text_col), "lexicon")
     rows = with_next(docs, id_col, text_col).withColumn("edited", edited(F.col("text"), F.col("next_text")))
     sha = lambda c: F.sha2(F.col(c).cast("binary"), 256)
-    narrow = rows.select(
+    base = rows.select(
         id_col,
+        "row",
         F.length("text").cast("long").alias("n_chars"),
         sha("text").alias("own"),
-        sha("edited").alias("edited"),
+        sha("edited").alias("edited_sha256"),
         sha("next_text").alias("next"),
-        F.xxhash64("text").alias("__t"),
-        "text",
-        F.col("edited").alias("__edited"),
+        "edited",
     )
-    both = F.explode(
-        F.array(
-            F.struct(F.col("own").alias("key"), F.col("text").alias("text")),
-            F.struct(F.col("edited").alias("key"), F.col("__edited").alias("text")),
-        )
+    base = kept(
+        fingerprints(base, terms, settings, "edited").withColumnRenamed("fingerprint", "edited_print"),
+        "edited-fingerprints",
     )
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     prints = kept(
-        fingerprints(narrow.select(both.alias("s")).select("s.key", "s.text"), terms, settings),
-        "fingerprints",
+        fingerprints(texts.select(sha("text").alias("key"), "text"), terms, settings), "fingerprints"
     )
-    base = kept(narrow.select(id_col, "n_chars", "own", "edited", "next"), "fingerprint-rows")
 
     def look_up(rows: DataFrame, key: str, name: str) -> DataFrame:
         found = prints.select(F.col("key").alias(key), F.col("fingerprint").alias("__f"))
@@ -181,11 +187,12 @@ def compare_edited(
             .drop("__f")
         )
 
-    out = look_up(look_up(look_up(base, "own", "fingerprint"), "edited", "edited_fingerprint"), "next", "__next")
+    out = look_up(look_up(base, "own", "fingerprint"), "next", "__next")
+    out = out.withColumn("edited_fingerprint", or_exact(F.col("edited_print"), F.col("edited_sha256")))
     return out.select(
         id_col,
         "n_chars",
-        F.col("edited").alias("edited_sha256"),
+        "edited_sha256",
         "fingerprint",
         "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
