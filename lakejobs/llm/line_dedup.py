@@ -1,17 +1,17 @@
 """Fuzzy line deduplication. DataFrame functions only.
 
-Lines with equal words are grouped. Each distinct line gets a 64-bit SimHash of its
-words; lines whose SimHashes differ in at most three bits agree in two of five blocks of
-bits (pigeonhole), and these are the keys they meet by. Of the lines of a key one is its
-hub: the others are compared with it, and among themselves only if they are not connected
-yet and lie about as far from the hub. Meetings are verified by edit similarity, and of
-each connected group of lines one occurrence stays.
+Lines with equal words are grouped. Distinct lines meet by keys of three MinHashes each, in
+several tables: of their words, longer words weighing more as in an edit distance; short
+lines of character grams, and the shortest of themselves with one character left out. Of
+the lines of a key one is its hub: the others are compared with it, and among themselves
+only if they are not connected yet and their lengths allow it. Meetings are verified by
+edit similarity, and of each connected group of lines one occurrence stays.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,18 +26,29 @@ PIECE = (1 << 14) - 1
 # Bounds of the edit distance that are told to Spark, so that it need not compute it all.
 BOUNDS = (4, 16, 64, 256, 1024, 4096)
 FILTER_BITS = 1 << 23
+# Lines of so many words or more meet by words, those of so many or fewer by grams as well.
+LEAST_WORDS, MOST_WORDS = 6, 10
+# Gram sizes, with the least and most characters of the lines they are taken of.
+GRAMS = ((3, 8, 24), (4, 20, 1 << 30))
+# Lines in which one edit is all that the default similarity allows.
+ONE_EDIT = (5, 9)
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``distance``: bits in which SimHashes may differ. ``similarity``: one minus edit
-    distance over the longer length. Keys are made of ``blocks - distance`` of the
-    ``blocks`` of bits.
+    """``similarity``: one minus edit distance over the longer length. ``distance``: bits in
+    which SimHashes of the words may differ; see EDITS. ``word_tables`` and
+    ``gram_tables``: keys of a line; more of them find more of the similar pairs.
     """
 
     distance: int = 3
     similarity: float = 0.8
-    blocks: int = 5
+    word_tables: int = 20
+    gram_tables: int = 32
+
+
+# By edit similarity alone, whatever the SimHashes.
+EDITS = Settings(distance=BITS)
 
 
 def words(line: Column) -> Column:
@@ -85,19 +96,53 @@ def simhashes(found: DataFrame) -> DataFrame:
     return counted.select(*keys, sim.alias("sim"))
 
 
-def block_keys(sim: Column, settings: Settings) -> Column:
-    """Keys of a SimHash: for each choice of blocks, its number and the bits of the blocks."""
-    cuts = [round(i * BITS / settings.blocks) for i in range(settings.blocks + 1)]
-    choices = combinations(range(settings.blocks), settings.blocks - settings.distance)
-    keys = []
-    for number, chosen in enumerate(choices):
-        key = F.lit(number).cast("long")
-        for block in chosen:
-            width = cuts[block + 1] - cuts[block]
-            part = F.shiftrightunsigned(sim, cuts[block]).bitwiseAND(F.lit((1 << width) - 1))
-            key = F.shiftleft(key, width).bitwiseOR(part.cast("long"))
-        keys.append(key)
-    return F.array(*keys)
+def table_keys(tokens: DataFrame, tables: int, tag: int) -> DataFrame:
+    """``h`` and ``key``: in each table, the hash of three of a line's MinHashes.
+
+    ``tokens``: h, token, weight. No two tables have more than one MinHash in common. A
+    token is the least with a chance of about its share of the weight.
+    """
+    drawn = []
+    for i in range(0, tables, 2):
+        both = F.xxhash64("token", F.lit(i))
+        drawn += [F.shiftrightunsigned(both, 33), both.bitwiseAND(F.lit((1 << 31) - 1))]
+    least = [F.min((d.cast("int") / F.col("weight")).cast("int")).alias(f"m{i}") for i, d in enumerate(drawn[:tables])]
+    found = tokens.groupBy("h").agg(*least)
+    keys = [
+        F.xxhash64(F.lit(tag), F.lit(i), *[f"m{(i + step) % tables}" for step in (0, 1, 5)])
+        for i in range(tables)
+    ]
+    return found.select("h", F.explode(F.array(*keys)).alias("key"))
+
+
+def line_keys(docs: DataFrame, settings: Settings, id_col: str, text_col: str) -> DataFrame:
+    """``h``, ``key`` and ``size`` (characters) of every distinct line, a row per table.
+
+    Lines are not shuffled but their MinHashes, which copies have in common.
+    """
+    found = lines(docs, id_col, text_col).select("h", "words", F.array_join("words", " ").alias("norm"))
+    found = found.withColumn("size", F.length("norm"))
+    word = F.explode("words").alias("token")
+    weight = F.pow(F.least(F.length("token"), F.lit(10)), 2).cast("int").alias("weight")
+    wordy = found.where(F.size("words") >= LEAST_WORDS).select("h", word).select("h", "token", weight)
+    keys = table_keys(wordy, settings.word_tables, 0)
+    short = found.where(F.size("words") <= MOST_WORDS)
+    for k, low, high in GRAMS:
+        padded = F.concat(F.lit(" "), "norm", F.lit(" "))
+        at = F.sequence(F.lit(1), F.col("size") + 3 - k)
+        grams = F.transform(at, lambda i: F.substring(padded, i, F.lit(k)))  # noqa: B023
+        tokens = short.where(F.col("size").between(low, high)).select(
+            "h", F.explode(grams).alias("token"), F.lit(1).alias("weight")
+        )
+        keys = keys.union(table_keys(tokens, settings.gram_tables, k))
+    without = F.transform(
+        F.sequence(F.lit(0), F.col("size")),
+        lambda i: F.xxhash64(
+            F.concat(F.substring("norm", F.lit(1), i - 1), F.when(i > 0, F.substring("norm", i + 1, "size")).otherwise(F.col("norm")))
+        ),
+    )
+    tiny = found.where(F.col("size").between(*ONE_EDIT)).dropDuplicates(["h"])
+    return keys.union(tiny.select("h", F.explode(without).alias("key"))).distinct()
 
 
 def apart(a: Column, b: Column) -> Column:
@@ -137,33 +182,47 @@ def replaced(a: Column, b: Column) -> Column:
     return F.reduce(costs, F.lit(0), lambda total, c: total + F.coalesce(c, F.lit(0)))
 
 
-def meetings(distinct: DataFrame, settings: Settings) -> DataFrame:
-    """``key``, ``h``, ``sim``, ``hub`` and ``far`` (bits from the hub) in keys of several lines."""
-    entries = distinct.select("h", "sim", F.explode(block_keys(F.col("sim"), settings)).alias("key"))
+def meetings(keys: DataFrame, distinct: DataFrame) -> DataFrame:
+    """``key``, ``h``, ``size``, ``sim`` and ``hub`` of lines in keys of several lines."""
     hubs = (
-        entries.groupBy("key")
+        keys.groupBy("key")
         .agg(F.min("h").alias("hub"), F.max("h").alias("last"))
         .where("hub != last")
         .select("key", "hub")
     )
-    sims = distinct.select(F.col("h").alias("hub"), F.col("sim").alias("hub_sim"))
-    hubs = kept(hubs, "shared-keys").join(sims, "hub")
-    joined = entries.join(kept(hubs, "line-hubs"), "key")
-    far = apart(F.col("sim"), F.col("hub_sim")).alias("far")
-    return joined.select("key", "h", "sim", "hub", far)
+    known = distinct.select("h", "size", "sim")
+    return keys.join(kept(hubs, "line-hubs"), "key").join(known, "h").select("key", "h", "size", "sim", "hub")
+
+
+def may_link(settings: Settings) -> Column:
+    """Whether the lengths and SimHashes of lines a and b allow a link."""
+    low, high = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    fits = high - low <= F.floor((1 - settings.similarity) * high + 1e-9)
+    if settings.distance >= BITS:
+        return fits
+    return fits & (apart(F.col("sim_a"), F.col("sim_b")) <= settings.distance)
+
+
+def hub_pairs(met: DataFrame, distinct: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs ``a``, ``b`` of a line and the hub of one of its keys."""
+    pairs = met.where("h != hub").select(
+        F.col("h").alias("a"), F.col("size").alias("size_a"), F.col("sim").alias("sim_a"), F.col("hub").alias("b")
+    ).distinct()
+    hubs = distinct.select(F.col("h").alias("b"), F.col("size").alias("size_b"), F.col("sim").alias("sim_b"))
+    return pairs.join(hubs, "b").where(may_link(settings)).select("a", "b")
 
 
 def open_pairs(met: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs ``a``, ``b`` of lines of a key within the distance, in different classes so far.
+    """Pairs ``a``, ``b`` of lines of a key that may be linked, in different classes so far.
 
-    Lines within the distance of each other differ by no more in their distance to the hub:
-    they meet in rings of that width, each line copied to the neighbouring rings.
+    Similar lines are about as long: they meet in rings of one ratio of lengths, each line
+    copied to the next ring.
     """
     known = classes.select(F.col("id").alias("h"), F.col("component").alias("class"))
-    width = max(1, settings.distance)
+    ratio = -math.log(max(settings.similarity, 0.01)) + 1e-6
     rows = met.join(known, "h", "left").select(
-        "key", "h", "sim", F.coalesce("class", "h").alias("class"),
-        F.expr(f"far div {width}").cast("int").alias("ring"),
+        "key", "h", "size", "sim", F.coalesce("class", "h").alias("class"),
+        F.floor(F.log("size") / max(ratio, 0.01)).cast("int").alias("ring"),
     )
     rows = kept(rows, "line-rings")
     several = (
@@ -173,13 +232,14 @@ def open_pairs(met: DataFrame, classes: DataFrame, settings: Settings) -> DataFr
         .select("key")
     )
     rows = kept(rows.join(kept(several, "open-keys"), "key"), "open-lines")
-    near = F.explode(F.array(F.col("ring") - 1, F.col("ring"), F.col("ring") + 1)).alias("ring")
-    of = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("h", "sim", "class")]
-    both = rows.select("key", "ring", *of("a")).join(rows.select("key", near, *of("b")), ["key", "ring"])
+    near = F.explode(F.array(F.col("ring"), F.col("ring") + 1)).alias("ring")
+    of = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("h", "size", "sim", "class")]
+    own = rows.select("key", "ring", F.col("ring").alias("home"), *of("a"))
+    both = own.join(rows.select("key", F.col("ring").alias("from"), near, *of("b")), ["key", "ring"])
     return (
-        both.where("h_a < h_b and class_a != class_b")
-        .where(apart(F.col("sim_a"), F.col("sim_b")) <= settings.distance)
-        .select(F.col("h_a").alias("a"), F.col("h_b").alias("b"))
+        both.where("class_a != class_b and (from < home or h_a < h_b)")
+        .where(may_link(settings))
+        .select(F.least("h_a", "h_b").alias("a"), F.greatest("h_a", "h_b").alias("b"))
         .distinct()
     )
 
@@ -236,26 +296,23 @@ def line_classes(
     docs: DataFrame, distinct: DataFrame, settings: Settings, id_col: str, text_col: str
 ) -> DataFrame:
     """``id`` and ``component`` of the distinct lines that are linked with others."""
-    met = kept(meetings(distinct, settings), "line-meetings")
-    to_hub = kept(
-        met.where((F.col("far") <= settings.distance) & (F.col("h") != F.col("hub")))
-        .select(F.col("h").alias("a"), F.col("hub").alias("b"))
-        .distinct(),
-        "hub-pairs",
-    )
-    across = kept(open_pairs(met, kept(components(to_hub), "near-lines"), settings), "ring-pairs")
-    pairs = to_hub.union(across)
+    keys = kept(line_keys(docs, settings, id_col, text_col), "line-keys")
+    met = kept(meetings(keys, distinct), "line-meetings")
+    pairs = kept(hub_pairs(met, distinct, settings), "hub-pairs")
     ends = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
     texts = kept(fetched(docs, kept(ends, "wanted-lines"), distinct, id_col, text_col), "line-texts")
     # One hub per line first: with most lines connected by that, few pairs are left.
-    first = to_hub.groupBy("a").agg(F.min("b").alias("b"))
+    first = pairs.groupBy("a").agg(F.min("b").alias("b"))
     links = kept(verified(first, texts, settings), "line-links")
     classes = kept(components(links), "line-classes")
-    left = kept(_apart(pairs.distinct(), classes), "open-pairs")
+    left = kept(_apart(pairs, classes), "open-pairs")
     links = links.union(kept(verified(left, texts, settings), "line-links"))
     classes = kept(components(links), "line-classes")
-    # Lines near one hub that are not both similar to it may still be similar to each other.
-    rest = open_pairs(met, classes, settings).join(pairs, ["a", "b"], "left_anti")
+    # Lines that are not both similar to their hub may still be similar to each other.
+    rest = open_pairs(met, classes, settings).join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    rest = kept(rest, "rest-pairs")
+    ends = rest.select(F.col("a").alias("h")).union(rest.select("b")).distinct()
+    texts = kept(fetched(docs, kept(ends, "wanted-lines"), distinct, id_col, text_col), "line-texts")
     more = kept(verified(rest, texts, settings), "more-links")
     return components(links.union(more)) if more.limit(1).count() else classes
 
@@ -271,12 +328,17 @@ def repeated_lines(
     docs: DataFrame, settings: Settings, id_col: str, text_col: str
 ) -> DataFrame:
     """``row`` and ``line_nos``: the lines to remove, by the row they are in."""
-    found = kept(simhashes(lines(docs, id_col, text_col)), "lines")
+    split = lines(docs, id_col, text_col)
+    size = F.length(F.array_join("words", " ")).alias("size")
+    found = kept(split.select("row", "id", "line_no", "h", size), "lines")
     at = F.struct(F.col("id").isNull().alias("z"), "id", "line_no", "row")
-    distinct = kept(
-        found.groupBy("h").agg(F.min("sim").alias("sim"), F.min(at).alias("at"), F.max(at).alias("last")),
-        "distinct-lines",
-    )
+    distinct = found.groupBy("h").agg(F.min("size").alias("size"), F.min(at).alias("at"), F.max(at).alias("last"))
+    if settings.distance < BITS:
+        sims = kept(simhashes(split).groupBy("h").agg(F.min("sim").alias("sim")), "line-sims")
+        distinct = distinct.join(sims, "h")
+    else:
+        distinct = distinct.withColumn("sim", F.lit(0).cast("long"))
+    distinct = kept(distinct, "distinct-lines")
     classes = line_classes(docs, distinct, settings, id_col, text_col)
     classes = classes.select(F.col("id").alias("h"), "component")
     grouped = kept(
@@ -300,7 +362,7 @@ def repeated_lines(
 
 def dedup_lines(
     docs: DataFrame,
-    settings: Settings = Settings(),
+    settings: Settings = EDITS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:

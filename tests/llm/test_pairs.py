@@ -192,6 +192,47 @@ def test_line_dedup_against_brute_force(spark):
     assert line_dedup.dedup_lines(none(spark)).count() == 0
 
 
+def changed(rng, words, share, vocabulary):
+    out = list(words)
+    for k in rng.sample(range(len(out)), int(share * len(out))):
+        out[k] = rng.choice(vocabulary)
+    return out
+
+
+def test_lines_meet_by_edit_similarity_alone(spark):
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    vocabulary = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    pairs = []
+    for n in (3, 5, 8, 12, 30, 60):
+        for share in (0.1, 0.2, 0.2, 0.5):
+            for _ in range(8):
+                base = [rng.choice(vocabulary) for _ in range(n)]
+                other = changed(rng, base, share, vocabulary)
+                if other == base:
+                    word = other[n // 2]
+                    other[n // 2] = "q" + word[1:]
+                pairs.append((" ".join(base), " ".join(other)))
+    # A line of more than one piece, in whose short last one all is different.
+    long = [rng.choice(vocabulary) for _ in range(line_dedup.PIECE + 20)]
+    pairs.append((" ".join(long), " ".join(long[: line_dedup.PIECE] + ["other"] * 20)))
+    pairs += [("word12", "word13"), ("abcdefgh", "abcdfgh")]
+    rows = [(2 * i + k, line) for i, pair in enumerate(pairs) for k, line in enumerate(pair)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    gone = {r["doc_id"] for r in got.where("emptied").collect()}
+    near = {
+        2 * i + 1
+        for i, (x, y) in enumerate(pairs)
+        if x == y
+        or len(x) > 10_000
+        or edit_distance(x, y) <= int(0.2 * max(len(x), len(y)) + 1e-9)
+    }
+    assert len(near) > 120
+    assert gone <= near
+    assert len(gone) >= 0.97 * len(near)
+    assert {2 * i + 1 for i, p in enumerate(pairs[-3:], len(pairs) - 3)} <= gone
+
+
 def test_simhash_is_the_majority_of_word_hashes(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g\nlong " + "x y z " * 7000)], "doc_id long, text string")
     found = line_dedup.lines(docs, "doc_id", "text")
