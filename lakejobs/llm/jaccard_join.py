@@ -55,13 +55,16 @@ class Settings:
     ``most_common``: how many of these are told to the workers, the commonest first. Both
     and ``filter_bits``, the size of the filter of sets to fetch, cost time when they are
     wrong and never a link. ``cell``: shingles of all sets together that one task compares,
-    where a set counts as LIGHTEST at least, which bounds the number of sets.
+    where a set counts as LIGHTEST at least, which bounds the number of sets. ``crowd``: a
+    shingle in the prefixes of more rows than this is dealt over tasks, without a search for
+    the sets that may have a link.
     """
 
     common: int = 8
     most_common: int = 1_000_000
     filter_bits: int = 1 << 24
     cell: int = 500_000
+    crowd: int = 500
 
 
 @lru_cache(maxsize=1)
@@ -201,23 +204,30 @@ def ordered(hashes: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out, np.arange(size) >= (~last).sum()
 
 
-def regions(docs: DataFrame, text_col: str, common: np.ndarray) -> DataFrame:
+def regions(
+    docs: DataFrame, text_col: str, common: np.ndarray, settings: Settings = Settings()
+) -> DataFrame:
     """``s``, ``set_id``, ``n``: the sets in each region that may have a link there.
 
-    Rows of common shingles are dealt over tasks and all kept; the others meet by shingle in
-    sorted order, and stay if another one's size and place in the order allow a link.
+    Rows of common and of crowded shingles are dealt over tasks and all kept; the others meet
+    by shingle in sorted order, and stay if another one's size and place in the order allow a
+    link. Copies in one batch give the rows of one.
     """
     handle = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(_, texts):
-        s, ids, n, pos, last = [], [], [], [], []
+        s, ids, n, pos, last, seen = [], [], [], [], [], set()
         for text in texts:
             found = shingles(text)
             if not len(found):
                 continue
+            own = set_id(found)
+            if own in seen:
+                continue
+            seen.add(own)
             first, is_common = ordered(found, handle.value)
             s.append(first)
-            ids.append(np.full(len(first), set_id(found), np.int64))
+            ids.append(np.full(len(first), own, np.int64))
             n.append(np.full(len(first), len(found), np.int32))
             pos.append(np.arange(len(first), dtype=np.int32))
             last.append(is_common)
@@ -250,6 +260,13 @@ def regions(docs: DataFrame, text_col: str, common: np.ndarray) -> DataFrame:
             yield from _several(held)
 
     rows = _per_batch(docs, [text_col, text_col], "s long, set_id long, n int, pos int, common boolean", run)
+    rows = kept(rows, "prefixes")
+    # What the order of hashes did not show as common may still be crowded in the order used.
+    crowded = rows.where("not common").groupBy("s").agg(F.count(F.lit(1)).alias("rows"))
+    crowded = kept(crowded.where(F.col("rows") > settings.crowd).select("s", F.lit(True).alias("crowded")), "crowded")
+    rows = rows.join(crowded, "s", "left").select(
+        "s", "set_id", "n", "pos", (F.col("common") | F.coalesce("crowded", F.lit(False))).alias("common")
+    )
     spread = F.when(F.col("common"), F.pmod(F.xxhash64("set_id"), F.lit(64))).otherwise(0)
     dealt = rows.repartition("s", spread).sortWithinPartitions("s", "set_id")
     return dealt.mapInArrow(shared, rows.schema)
@@ -294,7 +311,7 @@ def fetched(docs: DataFrame, wanted: DataFrame, text_col: str, settings: Setting
     """``set_id`` and ``hashes`` (bytes) of the documents whose text hash is in ``wanted``.
 
     A filter of fixed size lets through all wanted texts and few others, so that no text is
-    shuffled; the filter only saves work. Copies give a row each.
+    shuffled; the filter only saves work. Copies give one row.
     """
     bits = settings.filter_bits
     places = F.explode(F.array(*[F.pmod(F.xxhash64(F.col("text_hash"), F.lit(i)), F.lit(bits)) for i in range(3)]))
@@ -331,7 +348,7 @@ def fetched(docs: DataFrame, wanted: DataFrame, text_col: str, settings: Setting
     marked = hashed.select(
         "__text", *[F.pmod(F.xxhash64("__h", F.lit(i)), F.lit(bits)).alias(f"__p{i}") for i in range(3)]
     )
-    return marked.mapInArrow(run, "set_id long, hashes binary")
+    return marked.mapInArrow(run, "set_id long, hashes binary").dropDuplicates(["set_id"])
 
 
 def forest(sets: list[np.ndarray], block: np.ndarray, mixed: bool) -> list[tuple[int, int]]:
@@ -520,7 +537,7 @@ def jaccard_components(
         .agg(F.min(id_col).alias("id"), F.min("text_hash").alias("text_hash")),
         "distinct-sets",
     )
-    region = kept(regions(docs, text_col, common_shingles(docs, text_col, settings)), "regions")
+    region = kept(regions(docs, text_col, common_shingles(docs, text_col, settings), settings), "regions")
     # The smaller of two linked sets has eight tenths of the larger one's size or more.
     enough = F.count(F.lit(1)) >= 1 + F.expr(f"max({TENTHS} * n div 10 div {PART})")
     linkable = region.groupBy("set_id").agg(enough.alias("ok")).where("ok").select("set_id")

@@ -7,6 +7,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 from odd import none, odd_docs
+from pyspark.sql import functions as F
 
 from lakejobs.llm import decontamination, jaccard_join, line_dedup
 from lakejobs.llm.components import components
@@ -313,3 +314,25 @@ def test_decontamination_finds_reordered_passages(spark):
     assert decontamination.contaminated(docs, bench.limit(0)).count() == 0
     assert decontamination.clean(docs, bench.limit(0)).count() == docs.count()
     assert decontamination.contaminated(none(spark), bench).count() == 0
+
+
+def test_crowded_shingles_are_dealt_over_tasks(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    base = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join([*base, f"own{i}"])) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    none_common = np.zeros(0, np.uint64)
+    settings = jaccard_join.Settings(crowd=20)
+    found = jaccard_join.regions(docs, "text", none_common, settings)
+    found = found.select("s", "set_id", F.spark_partition_id().alias("task"))
+    at = found.groupBy("s").agg(F.countDistinct("task").alias("tasks"), F.countDistinct("set_id").alias("sets"))
+    top = at.orderBy(F.col("sets").desc()).first()
+    assert top["sets"] >= 50 and top["tasks"] > 1
+    got = jaccard_join.jaccard_components(docs, settings)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_jaccard(rows)
+
+
+def test_copies_are_fetched_once(spark):
+    docs = spark.createDataFrame([(i, "one two three four five six") for i in range(40)], "doc_id long, text string")
+    wanted = docs.select(F.xxhash64("text").alias("text_hash")).distinct()
+    assert jaccard_join.fetched(docs, wanted, "text", jaccard_join.Settings()).count() == 1
