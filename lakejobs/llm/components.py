@@ -15,6 +15,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     small star all smaller ones; both shrink the graph to stars in a logarithmic number of
     rounds. Stars' minima are kept, so that the joins with them start from plain shuffles
     and a centre with very many neighbours is split. NULL ends and loops are left out.
+    Raises if ``most_rounds`` do not suffice.
     """
     pairs = kept(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
@@ -29,6 +30,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
             break
         before = now
         pairs = _small_star(_large_star(pairs))
+    else:
+        raise RuntimeError(f"components have not converged after {most_rounds} rounds")
     return pairs.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
         pairs.select("v", "v").distinct()
     )

@@ -43,6 +43,12 @@ def test_components(spark, seed):
     assert got == {x: want.find(x) for x in want.up if x not in loops}
 
 
+def test_components_say_when_they_have_not_converged(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError, match="not converged"):
+        components(chain, most_rounds=1)
+
+
 def shingle_set(text):
     lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     words = WORD.findall(lower)
