@@ -41,12 +41,14 @@ class Settings:
 
     Both are counted per page of the host, in units of what a page that a rule judges puts
     in, so 0.5 blocks an unlinked host when rules block more than half of its pages, net of
-    those they allow.
+    those they allow. Rounds go on until no host changes by more than ``tolerance`` in
+    these units; ``rounds`` is the limit at which an error is raised.
     """
 
     damping: float = 0.85
-    rounds: int = 8
+    rounds: int = 200
     margin: float = 0.5
+    tolerance: float = 0.001
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -109,9 +111,9 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 
 
 def spread(edges: DataFrame, seeds: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``host``, ``trust`` and ``distrust`` after a fixed number of rounds.
+    """``host``, ``trust`` and ``distrust`` when they no longer change.
 
-    ``edges``: src, dst, n. ``seeds``: host, trust, distrust (weights of any scale).
+    ``edges``: src, dst, n. ``seeds``: host, trust, distrust (weights of any scale), pages.
     Hosts that nothing reaches are absent; what arrives at a host without links ends there.
     """
     forward = edges.select(F.lit(ALLOW).alias("kind"), "src", "dst", "n")
@@ -132,16 +134,25 @@ def spread(edges: DataFrame, seeds: DataFrame, settings: Settings = Settings())
         .where("rank > 0"),
         "host-seeds",
     )
+    pages = seeds.select("host", "pages")
     ranks = start
     for _ in range(settings.rounds):
         moved = moves.join(ranks.withColumnRenamed("host", "src"), ["kind", "src"]).select(
             "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * settings.damping).alias("rank")
         )
         seeded = start.withColumn("rank", F.col("rank") * (1 - settings.damping))
+        before = ranks
         ranks = kept(
             moved.union(seeded).groupBy("kind", "host").agg(F.sum("rank").alias("rank")),
             "host-ranks",
         )
+        both = ranks.union(before.withColumn("rank", -F.col("rank"))).groupBy("kind", "host")
+        change = both.agg(F.abs(F.sum("rank")).alias("change")).join(pages, "host", "left")
+        per_page = F.col("change") / F.coalesce("pages", F.lit(1)) / (1 - settings.damping)
+        if (change.agg(F.max(per_page)).first()[0] or 0) <= settings.tolerance:
+            break
+    else:
+        raise RuntimeError(f"host ranks have not converged after {settings.rounds} rounds")
     of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("rank")).otherwise(0.0))
     return ranks.groupBy("host").agg(of(ALLOW).alias("trust"), of(BLOCK).alias("distrust"))
 

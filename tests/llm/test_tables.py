@@ -119,6 +119,17 @@ def test_urls_and_rules(spark):
     assert url_filters.judge(empty, queries.RULES).count() == 0
 
 
+def test_distrust_reaches_hosts_far_from_a_seed(spark):
+    html = lambda to: f'<a href="http://{to}/">'
+    rows = [(i, f"http://h{i}.zz/", html(f"h{i + 1}.zz")) for i in range(11)]
+    rows += [(100 + i, "http://h11.zz/bad/", "") for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in url_filters.judge(pages, [url_filters.Rule(url_filters.BLOCK, "h11.zz/")]).collect()}
+    for i in range(11):
+        assert got[i]["distrust"] == pytest.approx(60 * 0.85 ** (11 - i), rel=0.01)
+        assert got[i]["verdict"] == "block"
+
+
 def test_query_verdicts_over_the_table(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").toPandas()
     got = {r["page_id"]: r for r in queries.op4_url_filters(spark, SF).collect()}
