@@ -33,11 +33,19 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that with the smallest id.
 
-    Rows without an id cannot be told apart and stay, as do rows repeated under one id.
+    Decided per row: of different texts under one id, or without an id, one stays too; NULL
+    ids come last. Rows repeated with id and text stay or go together, but for those without
+    an id, of which one stays.
     """
-    found = jaccard_join.jaccard_components(docs).where("doc_id != component_id")
-    gone = kept(found.select("doc_id").distinct(), "near-duplicates")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    numbered = kept(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
+    found = jaccard_join.jaccard_components(numbered, id_col="__row").select("__row", F.col("component_id").alias("__c"))
+    rank = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"))
+    ranked = kept(numbered.select("__row", rank.alias("at")).join(kept(found, "near-classes"), "__row"), "near-rows")
+    first = kept(ranked.groupBy("__c").agg(F.min(F.struct("at", "__row")).alias("first")), "near-first")
+    # Repeated rows have ids to be told by; what has none is told by its row.
+    other = ~F.col("at").eqNullSafe(F.col("first.at")) | (F.col("at.z") & (F.col("__row") != F.col("first.__row")))
+    gone = kept(ranked.join(first, "__c").where(other).select("__row"), "near-duplicates")
+    return numbered.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

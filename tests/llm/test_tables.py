@@ -323,3 +323,16 @@ def test_pipeline_stages_over_odd_rows(spark):
             assert out.count() <= docs.count()
     kept = corpus_pipeline.dedup_documents(spark, odd_docs(spark), SF)
     assert sorted(r[0] for r in kept.select("doc_id").collect() if r[0]) == [1, 4, 5, 6, 7, 7, 8, 9, 10]
+
+
+def test_near_duplicates_are_decided_per_row(spark):
+    import corpus_pipeline
+
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, long), (2, long + " more"), (2, "quite another text of its own"), (None, long), (None, "no id a b c"), (None, "no id a b c")]
+    rows += [(3, long), (3, long + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = corpus_pipeline.dedup_documents(spark, docs, SF)
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(
+        [(1, long), (2, "quite another text of its own"), (None, "no id a b c")], key=repr
+    )
