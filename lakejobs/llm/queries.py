@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from lakejobs.llm import (
     decontamination,
+    filter_audit,
     fingerprints,
     jaccard_join,
     language_id,
     line_dedup,
     mixing,
+    periodic_runs,
+    quality_model,
     token_counts,
     toxicity,
     url_filters,
@@ -133,3 +136,55 @@ FROM reach LEFT JOIN n ON n.doc_id = reach.doc_id GROUP BY reach.doc_id"""
 @query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op11_filter_audit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (SELECT doc_id, part,
+    (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+    + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT
+    + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS failing
+  FROM d),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, failing, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM f LEFT JOIN l ON f.doc_id = l.doc_id GROUP BY part, failing),
+x(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+  FROM x a, x b, x c, x d, x e
+  WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS letter,
+    (SELECT bit FROM x WHERE letter = substr(filter_order, step, 1)) AS bit,
+    coalesce((SELECT sum(bit) FROM x WHERE instr(substr(filter_order, 1, step - 1), letter) > 0), 0)::INT AS before
+  FROM o, range(1, 6) AS r(step)),
+g AS (SELECT part, filter_order, step, letter,
+    coalesce(sum(n) FILTER (failing & (bit | before) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (failing & bit <> 0 AND failing & before = 0), 0) AS removed,
+    coalesce(sum(n) FILTER (failing & bit <> 0 AND failing & before <> 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (failing = bit), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (failing & bit <> 0 AND failing & before = 0), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (failing & bit <> 0 AND failing & before = 0), 0) AS toxic_lost
+  FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+  redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+  toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM g"""
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_period(table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.periodic_runs(docs))
+
+
+@query
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model.train(docs, table(spark, sf_dir, "labels"))
+    return quality_model.score(docs, model).withColumn("held_out", quality_model.held_out(F.col("doc_id")))
