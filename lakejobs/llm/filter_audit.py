@@ -10,6 +10,7 @@ so all orders are worked out from the few masks of a part, not from documents.
 from __future__ import annotations
 
 import itertools
+import json
 from collections.abc import Callable
 
 import numpy as np
@@ -220,11 +221,9 @@ def steps(letters: list[str]) -> Column:
         name = "".join(letters[i] for i in order)
         for at, i in enumerate(order):
             before = sum(1 << j for j in order[:at])
-            found.append((name, at + 1, letters[i], 1 << i, before))
-    of = lambda s: F.struct(
-        *[F.lit(v).alias(n) for v, n in zip(s, ("filter_order", "step", "letter", "bit", "before"))]
-    )
-    return F.array(*[of(s) for s in found])
+            found.append({"filter_order": name, "step": at + 1, "letter": letters[i], "bit": 1 << i, "before": before})
+    schema = "array<struct<filter_order: string, step: int, letter: string, bit: int, before: int>>"
+    return F.from_json(F.lit(json.dumps(found)), schema)
 
 
 def audit(

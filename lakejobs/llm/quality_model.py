@@ -13,6 +13,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,8 @@ from lakejobs.llm.common import map_texts, share_package
 # Words, numbers, and runs of signs.
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 NUMBER, SHOUT = "0", "^"
-# Tokens of texts that are worked on together.
-CHUNK = 1 << 18
+# Tokens of texts that are worked on together: counted, and pooled (in a processor's cache).
+CHUNK, POOLED = 1 << 18, 1 << 12
 # Partial sums of a row block are added up in so many places first.
 SALTS = 64
 BLOCKS = 64
@@ -87,19 +88,16 @@ def index_vectors(settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     return places, signs
 
 
-def chunks(texts: list[str | None], rows: Rows) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def chunks(texts: list[str | None], rows: Rows, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows of the tokens of some texts after the other, and how many tokens each text has."""
     found, sizes, n = [], [], 0
-    for text in texts:
-        own = list(map(rows.__getitem__, TOKEN.findall(text or "")))
-        found.append(own)
-        sizes.append(len(own))
-        n += len(own)
-        if n >= CHUNK:
-            yield np.fromiter((r for own in found for r in own), np.int64, n), np.array(sizes, np.int64)
+    for i, text in enumerate(texts, 1):
+        found.append(list(map(rows.__getitem__, TOKEN.findall(text or ""))))
+        sizes.append(len(found[-1]))
+        n += sizes[-1]
+        if n >= size or i == len(texts):
+            yield np.fromiter(chain.from_iterable(found), np.int64, n), np.array(sizes, np.int64)
             found, sizes, n = [], [], 0
-    if sizes:
-        yield np.fromiter((r for own in found for r in own), np.int64, n), np.array(sizes, np.int64)
 
 
 def neighbour_sums(found: np.ndarray, sizes: np.ndarray, settings: Settings, places, signs) -> np.ndarray:
@@ -157,7 +155,7 @@ def word_vectors(docs: DataFrame, settings: Settings = Settings(), text_col: str
         rows, (places, signs) = Rows(settings.rows), index_vectors(settings)
         total = np.zeros(settings.rows * settings.size)
         for batch in batches:
-            for found, sizes in chunks(batch.column(0).to_pylist(), rows):
+            for found, sizes in chunks(batch.column(0).to_pylist(), rows, CHUNK):
                 total += neighbour_sums(found, sizes, settings, places, signs)
         table = total.astype(np.int64).reshape(BLOCKS, per_block)
         context = TaskContext.get()
@@ -187,7 +185,7 @@ def pooled(texts: list[str | None], vectors: np.ndarray, settings: Settings) ->
     """A row per text: mean and spread of its words' vectors, the length of the mean, how much
     neighbours are alike and how often they are equal, and the logarithm of the length."""
     out, rows = [], Rows(settings.rows)
-    for found, sizes in chunks(texts, rows):
+    for found, sizes in chunks(texts, rows, POOLED):
         x = np.zeros((len(sizes), n_features(settings)), np.float32)
         some = np.flatnonzero(sizes)
         if len(some):
