@@ -199,10 +199,11 @@ def salaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pos_lines(txns: DataFrame, places: DataFrame) -> DataFrame:
+def pos_lines(txns: DataFrame, places: DataFrame, *beside: str) -> DataFrame:
     """Point-of-sale stream records as comma-separated text, with the place carried.
 
-    Fields follow ``schemas.REALTIME``; ``transDesc`` holds the transaction id.
+    Fields follow ``schemas.REALTIME``; ``transDesc`` holds the transaction id. Columns
+    named in ``beside`` stay beside the text.
     """
     located = txns.join(places, "merchant_id", "left")
     fields = [
@@ -210,4 +211,4 @@ def pos_lines(txns: DataFrame, places: DataFrame) -> DataFrame:
         F.lit("pos"), F.col("txn_id"), F.col("latitude"), F.col("longitude"),
     ]
     text = [F.coalesce(f.cast("string"), F.lit("")) for f in fields]
-    return located.select(F.concat_ws(",", *text).alias("value"))
+    return located.select(F.concat_ws(",", *text).alias("value"), *beside)

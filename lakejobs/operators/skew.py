@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakejobs.session import work_dir
@@ -47,11 +47,12 @@ def hinted(table: DataFrame, n_rows: int) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """A small table written to the shared work folder and read back, with its row count."""
+    """A small table written to the shared work folder and read back, with its row count,
+    which the writing job counts itself."""
     path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    back = df.sparkSession.read.schema(df.schema).parquet(path)
-    return back, back.count()
+    written = Observation()
+    df.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), written.get["n"]
 
 
 def micros(ts: str) -> Column:

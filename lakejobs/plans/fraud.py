@@ -268,13 +268,14 @@ def decide_by_card(
     k_utl: int = K_UTL,
     k_ctl: int = K_CTL,
     skew: Skew | None = DEFAULT,
+    found: Found | None = None,
 ) -> DataFrame:
     """The same decision where only the card is known, and records carry their place.
 
     One shuffle by card serves the previous place, the recent amounts and the score.
-    ``scores`` is (card_id, credit_score).
+    ``scores`` is (card_id, credit_score); ``found`` may hold the hot cards.
     """
-    cuts = ordered.find_cuts(records, "card_id", *ORDER, skew)
+    cuts = ordered.find_cuts(records, "card_id", *ORDER, skew, found)
     by_card = ordered.assign_chunks(records, "card_id", *ORDER, CARD, cuts)
     carry = ("latitude", "longitude", "amount")
     ready = ordered.with_preceding(by_card, "card_id", ORDER, n, carry, CARD, cut=cuts is not None)

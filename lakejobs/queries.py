@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import (
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from lakejobs import frames
 from lakejobs.operators import quality, sets
@@ -14,6 +21,7 @@ from lakejobs.operators.skew import DEFAULT
 from lakejobs.plans import clicks, fraud, text, transit, video
 from lakejobs.session import tune, work_dir
 from lakejobs.sinks.batches import latest
+from lakejobs.sinks.commits import read_committed
 from lakejobs.streaming import clicks as click_streams
 from lakejobs.streaming import fraud as fraud_streams
 from lakejobs.streaming import jobs
@@ -414,14 +422,35 @@ def stream_rate_alerts(spark, d):
 
 def _pos_stream(spark, d, order: str = "ts"):
     """Transactions as records, by time or (``turn``) in four turns that mix times."""
-    orders = frames.table(spark, d, "orders")
-    orders = orders.withColumn("ts", frames.transaction_time()).withColumn(
-        "turn", F.pmod("o_orderkey", F.lit(BATCHES))
-    )
-    # Ranges finer than the turns, so that every turn is a file of its own.
-    orders = _streamed(spark, orders, order, BATCHES if order == "ts" else 4 * BATCHES)
+    txns = frames.transactions(spark, d).withColumn("turn", F.pmod("txn_id", F.lit(BATCHES)))
     places = fraud.place_per_merchant(_geo(spark, d))
-    return frames.pos_lines(frames.transactions_of(spark, d, orders), places)
+    # Ranges finer than the turns, so that every turn is a file of its own.
+    files = BATCHES if order == "ts" else 4 * BATCHES
+    return _streamed(spark, frames.pos_lines(txns, places, order), order, files).select("value")
+
+
+def _scores(spark, d):
+    return frames.bureau(spark, d).select(F.col("user_id").cast("string").alias("card_id"), "credit_score")
+
+
+DECISION = StructType(
+    [
+        StructField(name, kind)
+        for name, kind in (
+            ("txn_id", StringType()), ("card_id", StringType()), ("merchant_id", StringType()),
+            ("amount", DoubleType()), ("speed", DoubleType()), ("status", StringType()),
+        )
+    ]
+)
+
+
+def _decided_stream(spark, d, kind: str, order: str = "ts"):
+    """The committed records of a kind, after all micro-batches."""
+    out = work_dir(spark, "fraud_decision")
+    fraud_streams.decide_keyed(
+        _pos_stream(spark, d, order), _scores(spark, d), out, f"{out}/checkpoint", skew=SKEW
+    ).awaitTermination()
+    return read_committed(spark, out, kind, DECISION)
 
 
 @query
@@ -447,15 +476,7 @@ def stream_blacklist_hits(spark, d):
 
 @query
 def stream_fraud_decision(spark, d):
-    out = work_dir(spark, "fraud_decision")
-    scores = frames.bureau(spark, d).select(
-        F.col("user_id").cast("string").alias("card_id"), "credit_score"
-    )
-    fraud_streams.decide_stream(
-        _pos_stream(spark, d), scores, out, f"{out}/checkpoint", skew=SKEW
-    ).awaitTermination()
-    decided = spark.read.parquet(f"{out}/decided")
-    return _rounded(decided, 3, "speed").select(
+    return _rounded(_decided_stream(spark, d, "decided"), 3, "speed").select(
         F.col("txn_id").cast("long"), F.col("card_id").cast("long"), "amount", "speed", "status"
     )
 
@@ -463,14 +484,7 @@ def stream_fraud_decision(spark, d):
 @query
 def stream_late(spark, d):
     """Records that come after a later one of their card was decided."""
-    out = work_dir(spark, "late")
-    scores = frames.bureau(spark, d).select(
-        F.col("user_id").cast("string").alias("card_id"), "credit_score"
-    )
-    fraud_streams.decide_stream(
-        _pos_stream(spark, d, "turn"), scores, out, f"{out}/checkpoint", skew=SKEW
-    ).awaitTermination()
-    late = spark.read.parquet(f"{out}/late")
+    late = _decided_stream(spark, d, "late", "turn")
     return late.select(F.col("txn_id").cast("long"), F.col("card_id").cast("long"), "amount")
 
 
@@ -485,16 +499,53 @@ def stream_rejects(spark, d):
 @query
 def stream_pos_strikes(spark, d):
     out = work_dir(spark, "pos_strikes")
-    scores = frames.bureau(spark, d).select(
-        F.col("user_id").cast("string").alias("card_id"), "credit_score"
-    )
-    fraud_streams.decide_stream(
-        _pos_stream(spark, d), scores, out, f"{out}/checkpoint", skew=SKEW
-    ).awaitTermination()
-    path = f"{out}/decided"
-    decided = file_stream(spark, path, spark.read.parquet(path).schema)
-    fraud_streams.strike_counts(
-        decided, f"{out}/strikes", f"{out}/strikes-checkpoint"
-    ).awaitTermination()
+    decided = _streamed(spark, _decided_stream(spark, d, "decided"), "txn_id")
+    fraud_streams.strike_counts(decided, f"{out}/strikes", f"{out}/checkpoint").awaitTermination()
     current = latest(spark.read.parquet(f"{out}/strikes"), ["merchant_id"])
     return current.select(F.col("merchant_id").cast("long"), "strikes")
+
+
+def _decided_in_turns(spark, d):
+    """Decisions with the turn in which a stream sends them; turns mix times."""
+    turn = F.pmod("txn_id", F.lit(BATCHES)).alias("turn")
+    names = [F.col(c).cast("string") for c in ("card_id", "merchant_id", "txn_id")]
+    return _decided(spark, d).select(*names, "ts", "amount", "status", turn)
+
+
+@query
+def stream_lost_cards(spark, d):
+    """Cards lost, told from records that come in four turns which mix times, and a last one
+    without a card that moves the time on."""
+    out = work_dir(spark, "lost_cards")
+    decided = _decided_in_turns(spark, d).drop("merchant_id", "amount")
+    end = spark.range(1).select(
+        F.lit(None).cast("string").alias("card_id"), F.lit("").alias("txn_id"),
+        F.lit("9999-01-01").cast("timestamp").alias("ts"), F.lit(fraud.SUSPICIOUS).alias("status"),
+        F.lit(BATCHES).cast("long").alias("turn"),
+    )
+    stream = _streamed(spark, decided.unionByName(end), "turn", 4 * BATCHES)
+    # No record comes later than all the years of the orders.
+    fraud_streams.lost_cards(stream, f"{out}/lost", f"{out}/checkpoint", "10000 days").awaitTermination()
+    lost = spark.read.parquet(f"{out}/lost").select(F.col("card_id").cast("long"), "lost_date")
+    return _naive(lost, "lost_date")
+
+
+@query
+def stream_blacklist_loop(spark, d):
+    """Records of terminals that had three strikes in the turns before theirs.
+
+    One stream counts strikes and commits its list with every turn, the other reads in each
+    turn the list as it was when the turn began.
+    """
+    out = work_dir(spark, "blacklist_loop")
+    decided = _streamed(spark, _decided_in_turns(spark, d), "turn", 4 * BATCHES)
+    fraud_streams.keep_blacklist(decided, f"{out}/list", f"{out}/list-checkpoint").awaitTermination()
+    fraud_streams.match_blacklist(
+        _pos_stream(spark, d, "turn"),
+        f"{out}/list",
+        jobs.into_batches(f"{out}/hits"),
+        f"{out}/checkpoint",
+        version_of=lambda turn: turn - 1,
+    ).awaitTermination()
+    hits = spark.read.parquet(f"{out}/hits")
+    return hits.select(F.col("txn_id").cast("long"), F.col("merchant_id").cast("long"), "amount")

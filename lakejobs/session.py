@@ -42,7 +42,7 @@ def build_session(app: str = "lakejobs", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
 
@@ -55,19 +55,19 @@ def input_bytes(spark: SparkSession, *paths: str | Sequence[str]) -> int:
         if not isinstance(path, str):
             total += input_bytes(spark, *path)
             continue
-        fs, hpath = _file_system(spark, path)
+        fs, hpath = file_system(spark, path)
         for found in fs.globStatus(hpath) or []:
             total += fs.getContentSummary(found.getPath()).getLength()
     return total
 
 
 def is_file(spark: SparkSession, path: str) -> bool:
-    fs, hpath = _file_system(spark, path)
+    fs, hpath = file_system(spark, path)
     return fs.exists(hpath) and fs.getFileStatus(hpath).isFile()
 
 
 def delete(spark: SparkSession, path: str) -> None:
-    fs, hpath = _file_system(spark, path)
+    fs, hpath = file_system(spark, path)
     fs.delete(hpath, True)
 
 

@@ -296,4 +296,9 @@ SELECT txn_id, card_id, amount FROM txns t WHERE EXISTS (
     "stream_pos_strikes": f"""WITH {DECIDED}
 SELECT merchant_id, count(*) AS strikes FROM decided WHERE status = 'Suspicious'
 GROUP BY merchant_id HAVING count(*) >= 3""",
+    "stream_blacklist_loop": f"""WITH {DECIDED},
+struck AS (SELECT merchant_id, txn_id % 4 AS turn FROM decided WHERE status = 'Suspicious')
+SELECT txn_id, merchant_id, amount FROM decided d WHERE (
+  SELECT count(*) FROM struck s WHERE s.merchant_id = d.merchant_id AND s.turn < d.txn_id % 4) >= 3""",
 }
+ORACLES["stream_lost_cards"] = ORACLES["fraud_lost_cards"]

@@ -1,0 +1,198 @@
+"""State per card, batches committed as a whole, and a list that streams share."""
+
+import datetime as dt
+
+import pytest
+from conftest import SF, rows
+from pyspark.sql import functions as F
+from test_streaming import lines_of, parts, pos, pos_lines, run, scores, write_lines  # noqa: F401
+
+from lakejobs import frames
+from lakejobs.operators.skew import Skew
+from lakejobs.plans import fraud
+from lakejobs.sinks import commits
+from lakejobs.streaming import fraud as fraud_streams
+
+DECIDED = "txn_id string, card_id string, speed double, status string"
+
+
+def schema(spark, text):
+    return spark.createDataFrame([], text).schema
+
+
+def committed(spark, path, kind, text=DECIDED, as_of=None):
+    return commits.read_committed(spark, str(path), kind, schema(spark, text), as_of)
+
+
+@pytest.mark.parametrize("pieces, skew, days", [(1, None, None), (2, Skew(5, 1), None), (3, None, 1e4)])
+def test_keyed_decisions_equal_the_batch(spark, tmp_path, pos_lines, pieces, skew, days):  # noqa: F811
+    for i, part in enumerate(parts(pos_lines, pieces)):
+        write_lines(tmp_path / "in", f"{i}.txt", part)
+    lines = lines_of(spark, tmp_path / "in", maxFilesPerTrigger="1")
+    out = tmp_path / "out"
+    run(
+        fraud_streams.decide_keyed(
+            lines, scores(spark), str(out), str(tmp_path / "cp"), skew=skew, forget_after_days=days
+        )
+    )
+    geo = fraud.merchant_geo(frames.zips(spark, SF), frames.merchants(spark, SF))
+    want = fraud.decide(frames.transactions(spark, SF), geo, frames.bureau(spark, SF), skew=None)
+    columns = [F.col("txn_id").cast("long"), F.round("speed", 6), "status"]
+    got = committed(spark, out, "decided").select(columns)
+    assert sorted(rows(got)) == sorted(rows(want.select(columns)))
+    assert committed(spark, out, "late").isEmpty()
+    # An event time adds a batch without records.
+    assert commits.last_commit(spark, str(out)) == pieces - 1 + bool(days)
+
+
+def test_late_and_broken_records_and_a_restart(spark, tmp_path):
+    out, cp = tmp_path / "out", str(tmp_path / "cp")
+    files = [
+        [pos("a", 100, 5, "t1"), pos("b", 50, 5, "t2"), "broken", ""],
+        [pos("a", 90, 5, "t3"), pos("b", 60, 5, "t4"), pos("c", 1, 5, "t5"), pos("a", 110, 5, "t6")],
+        [pos("a", 105, 5, "t7"), pos("", 1, 5, "t8")],
+    ]
+    for i, lines in enumerate(files):
+        write_lines(tmp_path / "in", f"{i}.txt", lines)
+        run(fraud_streams.decide_keyed(lines_of(spark, tmp_path / "in"), scores(spark), str(out), cp))
+    ids = lambda kind: sorted(r[0] for r in rows(committed(spark, out, kind).select("txn_id")))
+    assert ids("decided") == ["t1", "t2", "t4", "t5", "t6"]
+    assert ids("late") == ["t3", "t7"]
+    rejected = committed(spark, out, "rejected", "record string, reject_reason string")
+    assert sorted(r.reject_reason for r in rejected.collect()) == ["incomplete", "incomplete", "malformed"]
+    early = committed(spark, out, "decided", as_of=0)
+    assert sorted(r.txn_id for r in early.collect()) == ["t1", "t2"]
+
+
+def test_a_card_is_forgotten_by_the_time_of_the_stream(spark, tmp_path):
+    out, cp, day = tmp_path / "out", str(tmp_path / "cp"), 86_400
+    for i, lines in enumerate(
+        [[pos("a", 0, 5, "t1"), pos("b", 1, 5, "t2")], [pos("b", 9 * day, 5, "t3")], [pos("a", 10 * day, 5, "t4")]]
+    ):
+        write_lines(tmp_path / "in", f"{i}.txt", lines)
+        run(
+            fraud_streams.decide_keyed(
+                lines_of(spark, tmp_path / "in"), scores(spark), str(out), cp, skew=None, forget_after_days=5
+            )
+        )
+    got = committed(spark, out, "decided", "txn_id string, last_txn_id string")
+    # b was still known when its second record came, a no longer.
+    assert sorted(map(tuple, got.collect()), key=str) == [("t1", None), ("t2", None), ("t3", "t2"), ("t4", None)]
+
+
+def numbers(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "n long")
+
+
+def test_outputs_of_a_batch_appear_together_or_not_at_all(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    read = lambda kind: sorted(r.n for r in committed(spark, path, kind, "n long").collect())
+    assert read("a") == []
+    assert commits.commit_batch({"a": numbers(spark, 1), "b": numbers(spark, 2)}, 0, path)
+    # The second of two outputs fails.
+    broken = numbers(spark, 4).withColumn("n", F.raise_error(F.lit("lost")).cast("long"))
+    with pytest.raises(Exception, match="lost"):
+        commits.commit_batch({"a": numbers(spark, 3), "b": broken}, 1, path)
+    assert (read("a"), read("b")) == ([1], [2])
+    # All is written but the mark.
+    with monkeypatch.context() as patch:
+        patch.setattr(commits, "put_mark", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            commits.commit_batch({"a": numbers(spark, 3), "b": numbers(spark, 4)}, 1, path)
+    assert (read("a"), read("b")) == ([1], [2])
+    assert commits.commit_batch({"a": numbers(spark, 3), "b": numbers(spark, 4)}, 1, path)
+    # Delivered again after it was committed.
+    assert not commits.commit_batch({"a": numbers(spark, 3), "b": numbers(spark, 9)}, 1, path)
+    assert (read("a"), read("b"), read("c")) == ([1, 3], [2, 4], [])
+    with pytest.raises(ValueError):
+        commits.commit_batch({}, 2, path)
+
+
+def test_merging_batches_beside_a_reader(spark, tmp_path):
+    path = str(tmp_path / "out")
+    fields = schema(spark, "n long, m string")
+    assert commits.merge_batches(spark, path, fields) is None
+    read = lambda **kw: sorted(r.n for r in committed(spark, path, "a", "n long", **kw).collect())
+    for i in range(4):
+        b = spark.createDataFrame([("x",)], "m string")
+        commits.commit_batch({"a": numbers(spark, i, 10 + i), "b": b}, i, path)
+    running = committed(spark, path, "a", "n long")
+    assert commits.merge_batches(spark, path, fields) == 2
+    assert commits.merge_batches(spark, path, fields) is None
+    want = [0, 1, 2, 3, 10, 11, 12, 13]
+    assert read() == want and read(as_of=2) == [0, 1, 2, 10, 11, 12]
+    assert sorted(r.n for r in running.collect()) == want
+    assert committed(spark, path, "b", "m string").count() == 4
+    with pytest.raises(ValueError):
+        read(as_of=1)
+    for i in range(4, 7):
+        commits.commit_batch({"a": numbers(spark, i), "b": b}, i, path)
+    assert commits.merge_batches(spark, path, fields) == 5
+    assert read() == sorted([*want, 4, 5, 6])
+    left = {p.name for p in (tmp_path / "out" / "batches").iterdir()}
+    assert left == {"batch_id=3", "batch_id=4", "batch_id=5", "batch_id=6"}
+    files = list((tmp_path / "out" / "merged").glob("5-*/kind=a/*.parquet"))
+    assert len(files) == 1
+
+
+def strikes_in(spark, folder, name, *found):
+    """A file of decisions: (card, second, record), all suspicious."""
+    at = dt.datetime(2024, 1, 1)
+    given = [(c, at + dt.timedelta(seconds=s), t, "m1", "Suspicious") for c, s, t in found]
+    frame = spark.createDataFrame(given, "card_id string, ts timestamp, txn_id string, merchant_id string, status string")
+    frame.coalesce(1).write.parquet(str(folder / f"batch_id={name}"))
+    return frame.schema
+
+
+def test_a_lost_card_is_told_once_and_right_under_late_records(spark, tmp_path):
+    def step(i, *found):
+        fields = strikes_in(spark, tmp_path / "in", i, *found)
+        stream = spark.readStream.schema(fields).parquet(str(tmp_path / "in"))
+        run(fraud_streams.lost_cards(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "100 seconds"))
+        lost = spark.read.schema("card_id string, lost_date timestamp").parquet(str(tmp_path / "out"))
+        return sorted((r.card_id, r.lost_date.second) for r in lost.collect())
+
+    assert step(0, ("a", 1, "t1"), ("a", 2, "t2"), ("a", 30, "t3"), ("b", 5, "t4")) == []
+    # Earlier than the third strike so far, and one the file has twice.
+    assert step(1, ("a", 10, "t5"), ("a", 10, "t5"), ("b", 6, "t6")) == []
+    assert step(2, (None, 5000, "end")) == [("a", 10)]
+    assert step(3, ("a", 6000, "t7"), ("a", 6001, "t8"), ("a", 6002, "t9"), (None, 9000, "end")) == [("a", 10)]
+    assert step(4, ("b", 9500, "t10"), (None, 20000, "end")) == [("a", 10), ("b", 20)]
+
+
+def test_a_card_with_very_many_strikes_sends_few(spark, tmp_path):
+    from lakejobs.streaming import cards
+
+    at = F.timestamp_seconds(F.col("id"))
+    many = spark.range(30_000).select(F.lit("a").alias("card_id"), at.alias("ts"), F.col("id").cast("string").alias("txn_id"))
+    few = cards.few_per_card(many.coalesce(1), 3, newest=False)
+    assert few.count() <= 12 and few.agg(F.min("at")).first()[0] == 0
+
+
+def test_a_list_is_read_as_of_the_start_of_a_batch(spark, tmp_path):
+    listed, out, cp = str(tmp_path / "list"), str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def count(name, *found):
+        fields = strikes_in(spark, tmp_path / "decided", name, *found)
+        stream = spark.readStream.schema(fields).parquet(str(tmp_path / "decided"))
+        run(fraud_streams.keep_blacklist(stream, listed, str(tmp_path / "list-cp")))
+
+    def match(name):
+        write_lines(tmp_path / "in", f"{name}.txt", [pos("a", 1, 5, name)])
+        write = lambda df, i: df.write.mode("overwrite").parquet(f"{out}/batch_id={i}")
+        run(fraud_streams.match_blacklist(lines_of(spark, tmp_path / "in"), listed, write, cp))
+
+    match("t0")
+    count(0, ("a", 1, "x"), ("a", 2, "y"))
+    match("t1")
+    count(1, ("b", 1, "z"))
+    match("t2")
+    hits = spark.read.schema("txn_id string, list_version long").parquet(out)
+    assert rows(hits.select("txn_id", "list_version")) == [("t2", 1)]
+
+
+def test_a_repeated_batch_reads_the_version_it_read_before(spark, tmp_path):
+    batch = spark.range(1)
+    versions = iter([4, 7, None])
+    pin = lambda i: fraud_streams.pinned_version(batch, i, str(tmp_path), lambda _: next(versions))
+    assert [pin(0), pin(0), pin(1), pin(0), pin(1), pin(2), pin(2)] == [4, 4, 7, 4, 7, -1, -1]
