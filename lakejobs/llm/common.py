@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakejobs.session import work_dir
+from lakejobs.session import delete, work_dir
 
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -41,7 +41,16 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.kept_in = path
+    return back
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Delete what ``kept`` wrote, once nothing reads it any more."""
+    for df in tables:
+        if df is not None:
+            delete(df.sparkSession, df.kept_in)
 
 
 def held_out(doc_id: Column) -> Column:

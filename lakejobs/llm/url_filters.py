@@ -10,15 +10,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lakejobs.llm.common import kept
+from lakejobs.llm.common import forget, kept
 
 ALLOW, BLOCK = "allow", "block"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Targets of absolute and scheme-relative links.
 LINKS = r"""(?i)\b(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
+# Rows of ranks that a task writes.
+HOSTS_PER_FILE = 500_000
 
 
 @dataclass(frozen=True)
@@ -116,40 +118,48 @@ def spread(edges: DataFrame, seeds: DataFrame, settings: Settings = Settings())
     ``edges``: src, dst, n. ``seeds``: host, trust, distrust (weights of any scale), pages.
     Hosts that nothing reaches are absent; what arrives at a host without links ends there.
     """
+    pages = seeds.select("host", "pages")
     forward = edges.select(F.lit(ALLOW).alias("kind"), "src", "dst", "n")
     backward = edges.select(
         F.lit(BLOCK).alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n"
     )
-    moves = kept(forward.union(backward), "host-moves")
-    out = moves.groupBy("kind", "src").agg(F.sum("n").alias("total"))
-    moves = kept(
-        moves.join(kept(out, "host-degrees"), ["kind", "src"]).select(
-            "kind", "src", "dst", (F.col("n") / F.col("total")).alias("share")
-        ),
-        "host-shares",
+    links = kept(forward.union(backward), "host-moves")
+    out = kept(links.groupBy("kind", "src").agg(F.sum("n").alias("total")), "host-degrees")
+    # What moves to a host carries its pages, so that a round needs no lookup of them.
+    shares = links.join(out, ["kind", "src"]).select(
+        "kind", "src", F.col("dst").alias("host"), (F.col("n") / F.col("total")).alias("share")
     )
+    moves = kept(shares.join(pages, "host", "left").select("kind", "src", "host", "share", "pages"), "host-shares")
     start = kept(
-        seeds.select(F.lit(ALLOW).alias("kind"), "host", F.col("trust").alias("rank"))
-        .union(seeds.select(F.lit(BLOCK).alias("kind"), "host", F.col("distrust").alias("rank")))
+        seeds.select(F.lit(ALLOW).alias("kind"), "host", F.col("trust").alias("rank"), "pages")
+        .union(seeds.select(F.lit(BLOCK).alias("kind"), "host", F.col("distrust").alias("rank"), "pages"))
         .where("rank > 0"),
         "host-seeds",
     )
-    pages = seeds.select("host", "pages")
+    n_links = links.count()
+    files = 1 + n_links // HOSTS_PER_FILE
+    forget(links, out)
+    seeded = start.select("kind", "host", F.col("rank") * (1 - settings.damping), F.lit(0.0), "pages")
     ranks = start
     for _ in range(settings.rounds):
-        moved = moves.join(ranks.withColumnRenamed("host", "src"), ["kind", "src"]).select(
-            "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * settings.damping).alias("rank")
+        was = ranks.withColumnRenamed("host", "src").select("kind", "src", "rank")
+        moved = moves.join(was, ["kind", "src"]).select(
+            "kind", "host", (F.col("rank") * F.col("share") * settings.damping).alias("rank"), F.lit(0.0).alias("was"), "pages"
         )
-        seeded = start.withColumn("rank", F.col("rank") * (1 - settings.damping))
-        before = ranks
-        ranks = kept(
-            moved.union(seeded).groupBy("kind", "host").agg(F.sum("rank").alias("rank")),
-            "host-ranks",
+        old = ranks.select("kind", "host", F.lit(0.0), F.col("rank"), "pages")
+        now = (
+            moved.union(seeded)
+            .union(old)
+            .groupBy("kind", "host")
+            .agg(F.sum("rank").alias("rank"), F.sum("was").alias("was"), F.max("pages").alias("pages"))
         )
-        both = ranks.union(before.withColumn("rank", -F.col("rank"))).groupBy("kind", "host")
-        change = both.agg(F.abs(F.sum("rank")).alias("change")).join(pages, "host", "left")
-        per_page = F.col("change") / F.coalesce("pages", F.lit(1)) / (1 - settings.damping)
-        if (change.agg(F.max(per_page)).first()[0] or 0) <= settings.tolerance:
+        change = F.abs(F.col("rank") - F.col("was")) / F.coalesce("pages", F.lit(1)) / (1 - settings.damping)
+        seen = Observation()
+        now = now.coalesce(files).observe(seen, F.max(change).alias("change"))
+        before, ranks = ranks, kept(now, "host-ranks")
+        if before is not start:
+            forget(before)
+        if (seen.get["change"] or 0) <= settings.tolerance:
             break
     else:
         raise RuntimeError(f"host ranks have not converged after {settings.rounds} rounds")
