@@ -44,6 +44,7 @@ MEMO_WORDS = 300_000
 LIGHTEST = 250
 # A linked set shares one shingle more of the prefix for every so many it has.
 PART = 30
+FACTOR, SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
 # Shingles of more sets than this are counted by matrix products, others pair by pair.
 DENSE = 16
 
@@ -67,9 +68,19 @@ class Settings:
     crowd: int = 500
 
 
+class _Memo(dict):
+    """Hashes of words, a bounded number of them remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = h
+        return h
+
+
 @lru_cache(maxsize=1)
-def _memo() -> dict[bytes, int]:
-    return {}
+def _memo() -> _Memo:
+    return _Memo()
 
 
 def _finish(x: np.ndarray) -> np.ndarray:
@@ -88,22 +99,21 @@ def shingles(text: str | None) -> np.ndarray:
     memo = _memo()
     if len(memo) > MEMO_WORDS:
         memo.clear()
-    hashes = []
-    for word in words:
-        h = memo.get(word)
-        if h is None:
-            h = xxhash.xxh64_intdigest(word)
-            if len(word) <= 64:
-                memo[word] = h
-        hashes.append(h)
-    values = np.array(hashes, np.uint64)
+    values = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
     size = min(SIZE, len(values))
-    out = values[: len(values) - size + 1].copy()
+    n = len(values) - size + 1
+    out = values[:n].copy()
     for k in range(1, size):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + values[k : len(values) - size + 1 + k]
-        out ^= out >> np.uint64(29)
+        out *= FACTOR
+        out += values[k : n + k]
+        out ^= out >> SHIFT
     # Shorter sequences are whole texts: apart from five-word shingles.
-    return np.unique(_finish(out + np.uint64(size)))
+    out = _finish(out + np.uint64(size))
+    out.sort()
+    fresh = np.empty(n, bool)
+    fresh[:1] = True
+    np.not_equal(out[1:], out[:-1], out=fresh[1:])
+    return out if fresh.all() else out[fresh]
 
 
 def set_id(hashes: np.ndarray) -> int:
