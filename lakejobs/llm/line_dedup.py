@@ -23,8 +23,6 @@ BITS = 64
 SEPARATOR = r"[^\p{L}\p{N}]+"
 # Words of a line whose bits are counted together; see ``simhashes``.
 PIECE = (1 << 14) - 1
-# Bounds of the edit distance that are told to Spark, so that it need not compute it all.
-BOUNDS = (4, 16, 64, 256, 1024, 4096)
 FILTER_BITS = 1 << 23
 # Lines of so many words or more meet by words, those of so many or fewer by grams as well.
 LEAST_WORDS, MOST_WORDS = 6, 10
@@ -153,18 +151,13 @@ def similar(a: Column, b: Column, similarity: float) -> Column:
     """Whether the edit similarity of two strings is at least ``similarity``.
 
     Most pairs that get here differ in a few words, so a cheap upper bound of the distance is
-    tried first, then small bounds of the distance itself.
+    tried first. The distance itself is worked out only as far as is allowed: -1 beyond.
     """
     longest = F.greatest(F.length(a), F.length(b))
-    allowed = F.floor((1 - similarity) * longest + 1e-9)
-    close = F.when(F.abs(F.length(a) - F.length(b)) > allowed, False).when(
-        replaced(a, b) <= allowed, True
-    )
-    for bound in BOUNDS:
-        # -1 for a distance beyond the bound.
-        within = F.levenshtein(a, b, bound)
-        close = close.when((within >= 0) & (within <= allowed), True).when(allowed <= bound, False)
-    return (a == b) | close.otherwise(F.levenshtein(a, b) <= allowed)
+    allowed = F.floor((1 - similarity) * longest + 1e-9).cast("int")
+    within = F.call_function("levenshtein", a, b, allowed) >= 0
+    close = F.when(F.abs(F.length(a) - F.length(b)) > allowed, False).when(replaced(a, b) <= allowed, True)
+    return (a == b) | close.otherwise(within)
 
 
 def replaced(a: Column, b: Column) -> Column:
