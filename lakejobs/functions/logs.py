@@ -20,15 +20,10 @@ LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 _SEP = "\x01"
 
 
-def is_log_line(line: Column) -> Column:
-    """Whether the line has the format; NULL has not."""
-    return F.coalesce(~has_separator(line) & line.rlike(LOG_PATTERN), F.lit(False))
-
-
-def time_of(line: Column) -> Column:
-    """The time of a log line; NULL where it is no date of the calendar."""
-    stamp = F.regexp_extract(line, LOG_PATTERN, FIELDS.index("time") + 1)
-    return F.try_to_timestamp(stamp, F.lit(LOG_TIME_FORMAT))
+def stamp(line: Column) -> Column:
+    """The bracketed time of a log line; NULL for any other line. One pass of the pattern."""
+    found = F.regexp_extract(line, LOG_PATTERN, FIELDS.index("time") + 1)
+    return F.when(~has_separator(line), F.nullif(found, F.lit("")))
 
 
 def log_fields(line: Column) -> Column:

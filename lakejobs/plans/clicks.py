@@ -39,10 +39,12 @@ def parse_log(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataF
         )
         .where("ts is not null")
     )
-    reason = F.when(~logs.is_log_line(line), "malformed").when(
-        logs.time_of(line).isNull(), "impossible time"
+    # One exploded row per line, so that the pattern runs once and not per use of its result.
+    told = lines.select(line.alias("record"), F.explode(F.array(logs.stamp(line))).alias("_t"))
+    reason = F.when(F.col("_t").isNull(), "malformed").when(
+        F.try_to_timestamp("_t", F.lit(logs.LOG_TIME_FORMAT)).isNull(), "impossible time"
     )
-    rejected = lines.select(line.alias("record"), reason.alias("reject_reason"))
+    rejected = told.select("record", reason.alias("reject_reason"))
     return parsed, rejected.where("reject_reason is not null")
 
 
