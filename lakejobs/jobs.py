@@ -91,12 +91,13 @@ def fraud_job(
     out: str,
     fmt: str = "parquet",
     transactions_path: str | Sequence[str] = (),
+    more_rejected: DataFrame | None = None,
 ) -> None:
     """Transactions and three files -> ``decided``, ``pos_blacklist``, ``card_lost``.
 
     ``transactions`` has the columns of ``schemas.TRANSACTIONS`` and a ``txn_id``; its
     ``timestamp`` is the time of the transaction. ``transactions_path`` says where they are
-    read from, for sizing the shuffles. The
+    read from, for sizing the shuffles, and ``more_rejected`` what was rejected there. The
     decisions are written once and read back for the two lists.
     """
     tune(spark, transactions_path, merchants_path, zips_path, bureau_path)
@@ -114,6 +115,8 @@ def fraud_job(
     decided = fraud.decide(txns, fraud.merchant_geo(zips, merchants), bureau)
     written = _stored(decided, f"{out}/decided")
     rejected = bad_merchants.unionByName(bad_zips).unionByName(bad_bureau)
+    if more_rejected is not None:
+        rejected = rejected.unionByName(more_rejected)
     lists = {
         "pos_blacklist": fraud.pos_blacklist(written),
         "card_lost": fraud.lost_cards(written),
@@ -122,6 +125,33 @@ def fraud_job(
     _write_all(lists, out, fmt)
 
 
+def fraud_files_job(
+    spark: SparkSession,
+    transactions_path: str,
+    merchants_path: str,
+    zips_path: str,
+    bureau_path: str,
+    out: str,
+    fmt: str = "parquet",
+    id_column: str | None = None,
+) -> None:
+    """``fraud_job`` from a headerless file of transactions, which is parsed once, into
+    ``ingested``.
+
+    Records have no id of their own: ``id_column`` names the field that holds one, else it is
+    a hash of the record, so that repeated records are told apart by nothing.
+    """
+    tune(spark, transactions_path)
+    raw = files.read_csv_raw(spark, transactions_path, schemas.TRANSACTIONS, header=False)
+    ingested = _stored(raw, f"{out}/ingested")
+    good, rejected = split_malformed(ingested, stored=True)
+    own_id = F.col(id_column) if id_column else F.xxhash64(*good.columns)
+    fraud_job(
+        spark, good.withColumn("txn_id", own_id), merchants_path, zips_path, bureau_path, out, fmt,
+        transactions_path, rejected,
+    )
+
+
 def words_job(spark: SparkSession, lines_path: str, out: str, below: int = 100) -> None:
     """Text lines -> the words seen less than ``below`` times, tab-separated with their count."""
     tune(spark, lines_path)

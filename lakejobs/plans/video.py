@@ -52,6 +52,44 @@ def clean_plays(
     return quality.split_tagged(tag_plays(plays, channel_geocd, video_creator, skew))
 
 
+# Sketches hold 2^SKETCH_BITS registers: a relative standard error of 1.04 / 2^(bits / 2).
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def channel_sketches(plays: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
+    """Per channel and day, sketches of the videos played and of the users who liked one.
+
+    A few kilobytes each, whatever the day brings. Stored once, they are merged over any
+    range of days by ``merged_channels``; users and videos need not be read again. Rows
+    without a time are of no day and are left out.
+    """
+    likers = F.when(F.col("liked"), F.col("user_id"))
+    return (
+        plays.where(F.col("timestamp").isNotNull())
+        .groupBy("channel_id", F.to_date("timestamp").alias("day"))
+        .agg(
+            F.hll_sketch_agg("video_id", bits).alias("videos"),
+            F.hll_sketch_agg(likers, bits).alias("likers"),
+            F.max("minutes_played").alias("max_video_played"),
+        )
+    )
+
+
+def merged_channels(sketches: DataFrame) -> DataFrame:
+    """``popular_channels`` from the sketches of some days, its counts as estimates."""
+    estimate = lambda c: F.hll_sketch_estimate(F.hll_union_agg(c, True))
+    return (
+        sketches.groupBy("channel_id")
+        .agg(
+            estimate("videos").alias("count_video"),
+            estimate("likers").alias("unique_likers"),
+            F.max("max_video_played").alias("max_video_played"),
+        )
+        .orderBy(F.col("count_video").desc(), F.col("unique_likers").desc(), "channel_id")
+    )
+
+
 def popular_channels(plays: DataFrame, approx: float | None = None) -> DataFrame:
     """Channels by number of different videos played, then by users who liked one.
 

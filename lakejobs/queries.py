@@ -15,7 +15,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from lakejobs import frames
+from lakejobs import frames, schemas
+from lakejobs import jobs as file_jobs
 from lakejobs.operators import quality, sets
 from lakejobs.operators.skew import DEFAULT
 from lakejobs.plans import clicks, fraud, text, transit, video
@@ -202,6 +203,26 @@ def video_popular_channels(spark, d):
     return video.popular_channels(frames.plays(spark, d))
 
 
+@query
+def video_popular_channels_sketched(spark, d):
+    """Whether counts merged from stored sketches of days are within three standard errors
+    of the exact ones, one count more allowed for rounding."""
+    stored = work_dir(spark, "channel-sketches")
+    video.channel_sketches(frames.plays(spark, d)).write.partitionBy("day").parquet(stored)
+    merged = video.merged_channels(spark.read.parquet(stored))
+    exact = video.popular_channels(frames.plays(spark, d)).select(
+        "channel_id", F.col("count_video").alias("v"), F.col("unique_likers").alias("u")
+    )
+
+    def close(estimate: str, count: str):
+        return F.abs(F.col(estimate) - F.col(count)) <= 1 + 3 * video.SKETCH_ERROR * F.col(count)
+
+    return merged.join(exact, "channel_id").select(
+        "channel_id", "max_video_played",
+        close("count_video", "v").alias("video_close"), close("unique_likers", "u").alias("likers_close"),
+    )
+
+
 @query
 def video_duration_by_user_type(spark, d):
     return video.duration_by_user_type(
@@ -303,6 +324,33 @@ def fraud_pos_blacklist_strict(spark, d):
     return fraud.pos_blacklist(decided, average or 1)
 
 
+@query
+def fraud_from_files(spark, d):
+    """Status of every record of a headerless transactions file; some records are broken."""
+    put = work_dir(spark, "fraud-files")
+    txns = frames.transactions(spark, d)
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    fields = [*[F.col(c).cast("string") for c in ("card_id", "user_id", "merchant_id", "amount")], stamp]
+    line = F.concat_ws(",", *fields, F.lit("pos"), F.col("txn_id").cast("string"), F.lit("new"))
+    broken = txns.where("txn_id % 97 = 0").select(F.concat(F.lit("x"), F.col("txn_id")).alias("value"))
+    txns.select(line.alias("value")).union(broken).write.text(f"{put}/transactions")
+    nothing = F.lit(None).cast("string")
+
+    def write(df: DataFrame, schema: StructType, name: str, sep: str = ",") -> None:
+        columns = [F.col(f.name) if f.name in df.columns else nothing.alias(f.name) for f in schema]
+        df.select(*columns).write.csv(f"{put}/{name}", header=True, sep=sep)
+
+    write(frames.merchants(spark, d), schemas.MERCHANTS, "merchants")
+    write(frames.zips(spark, d), schemas.ZIPCODES, "zips", "\t")
+    # Whole scores, as the file has them; below 250 is the same of both.
+    write(frames.bureau(spark, d).withColumn("credit_score", F.floor("credit_score")), schemas.BUREAU, "bureau")
+    names = [f"{put}/{n}" for n in ("transactions", "merchants", "zips", "bureau")]
+    file_jobs.fraud_files_job(spark, *names, f"{put}/out", id_column="transaction_desc")
+    decided = spark.read.parquet(f"{put}/out/decided").select(F.col("txn_id").alias("record"), "status")
+    rejected = spark.read.parquet(f"{put}/out/rejected").select("record", F.col("reject_reason").alias("status"))
+    return decided.unionByName(rejected)
+
+
 @query
 def fraud_lost_cards(spark, d):
     return _naive(fraud.lost_cards(_decided(spark, d)), "lost_date")

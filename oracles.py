@@ -302,3 +302,10 @@ SELECT txn_id, merchant_id, amount FROM decided d WHERE (
   SELECT count(*) FROM struck s WHERE s.merchant_id = d.merchant_id AND s.turn < d.txn_id % 4) >= 3""",
 }
 ORACLES["stream_lost_cards"] = ORACLES["fraud_lost_cards"]
+ORACLES["fraud_from_files"] = f"""WITH {DECIDED}
+SELECT txn_id::VARCHAR AS record, status FROM decided
+UNION ALL SELECT 'x' || txn_id, 'malformed' FROM decided WHERE txn_id % 97 = 0"""
+# Estimates are to be close for every channel.
+ORACLES["video_popular_channels_sketched"] = f"""WITH {PLAYS}
+SELECT channel_id, max(minutes_played) AS max_video_played, true AS video_close, true AS likers_close
+FROM plays GROUP BY channel_id"""

@@ -128,3 +128,20 @@ def test_salaries(spark, tmp_path):
     path = put(tmp_path / "in", "e.csv", "7,a,b,c,d,100,e,3\n7,a,b,c,d,90,e,4\n")
     jobs.salaries_job(spark, path, str(tmp_path / "out"))
     assert rows(spark.read.text(str(tmp_path / "out"))) == [("7\t100\t3",)]
+
+
+def test_fraud_from_a_headerless_file(spark, tmp_path):
+    good = "".join(f"1,1,10,{a},2024-01-01 10:{m}:00,pos,d,new\n" for a, m in ((5, "00"), (6, "05")))
+    t = put(tmp_path / "t", "t.csv", good + "broken\n1,x,10,5,2024-01-01 10:00:00,pos,d,new\n")
+    names = lambda schema, sep=",": sep.join(f.name for f in schema)
+    shop = "\nm1,10,shop,open,DE,10115,2020-01-01 00:00:00,2020-01-01 00:00:00,visa\n"
+    merchants = put(tmp_path / "m", "m.csv", names(schemas.MERCHANTS) + shop)
+    place = "\t".join(["DE", "10115", *[""] * 7, "52.5", "13.4", "4"])
+    zips = put(tmp_path / "z", "z.txt", names(schemas.ZIPCODES, "\t") + f"\n{place}\n")
+    bureau = put(tmp_path / "b", "b.csv", "user_id,credit_score,timeStamp\n1,700,2024-01-01 00:00:00\n")
+    out = str(tmp_path / "out")
+    jobs.fraud_files_job(spark, t, merchants, zips, bureau, out)
+    decided = spark.read.parquet(f"{out}/decided")
+    assert sorted((r.amount, r.status) for r in decided.collect()) == [(5.0, "Approved"), (6.0, "Approved")]
+    assert decided.select("txn_id").distinct().count() == 2
+    assert sorted(r.record for r in spark.read.parquet(f"{out}/rejected").collect())[1] == "broken"

@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 
 from lakejobs import frames
 from lakejobs.operators.skew import DEFAULT, Skew
@@ -142,3 +143,27 @@ def test_work_folders_are_new_and_under_the_shared_root(spark):
     a, b = work_dir(spark, "x"), work_dir(spark, "x")
     assert a != b
     assert a.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_merged_sketches_are_close_to_exact_counts(spark):
+    ids = spark.range(60_000)
+    plays = ids.select(
+        (F.col("id") % 3).alias("channel_id"),
+        (F.col("id") % 20_000).alias("video_id"),
+        (F.col("id") % 5_000).alias("user_id"),
+        (F.col("id") % 2 == 0).alias("liked"),
+        F.timestamp_seconds(F.col("id") * 60).alias("timestamp"),
+        F.lit(1.0).alias("minutes_played"),
+    )
+    sketches = video.channel_sketches(plays)
+    assert sketches.count() == 3 * 42
+    exact = {r.channel_id: r for r in video.popular_channels(plays).collect()}
+    for r in video.merged_channels(sketches).collect():
+        for column in ("count_video", "unique_likers"):
+            count = exact[r.channel_id][column]
+            assert abs(r[column] - count) <= 3 * video.SKETCH_ERROR * count
+    # Half of the days: the sketches of a range are merged alone.
+    part = sketches.where("day < '1970-01-22'")
+    assert video.merged_channels(part).count() == 3
+    nobody = video.channel_sketches(plays.withColumn("liked", F.lit(False)))
+    assert {r.unique_likers for r in video.merged_channels(nobody).collect()} == {0}
