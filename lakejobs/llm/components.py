@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakejobs.llm.common import kept
+from lakejobs.llm.common import forget, kept
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
@@ -29,7 +29,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         if now == before or not now[0]:
             break
         before = now
-        pairs = _small_star(_large_star(pairs))
+        large, above = _large_star(pairs)
+        small, below = _small_star(large)
+        forget(pairs, large, above, below)
+        pairs = small
     else:
         raise RuntimeError(f"components have not converged after {most_rounds} rounds")
     return pairs.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
@@ -37,14 +40,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     )
 
 
-def _large_star(pairs: DataFrame) -> DataFrame:
+def _large_star(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The new graph, and the minima it was made with."""
     both = pairs.union(pairs.select("v", "u"))
     low = kept(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "graph-minima")
     hung = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return kept(hung.distinct(), "graph")
+    return kept(hung.distinct(), "graph"), low
 
 
-def _small_star(pairs: DataFrame) -> DataFrame:
+def _small_star(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As ``_large_star``."""
     low = kept(pairs.groupBy("u").agg(F.min("v").alias("m")), "graph-minima")
     hung = pairs.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return kept(hung.union(low).distinct(), "graph")
+    return kept(hung.union(low).distinct(), "graph"), low

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakejobs.llm.common import kept
+from lakejobs.llm.common import forget, kept
 from lakejobs.llm.components import components
 
 BITS = 64
@@ -291,6 +291,7 @@ def line_classes(
     """``id`` and ``component`` of the distinct lines that are linked with others."""
     keys = kept(line_keys(docs, settings, id_col, text_col), "line-keys")
     met = kept(meetings(keys, distinct), "line-meetings")
+    forget(keys)
     pairs = kept(hub_pairs(met, distinct, settings), "hub-pairs")
     ends = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
     texts = kept(fetched(docs, kept(ends, "wanted-lines"), distinct, id_col, text_col), "line-texts")
@@ -301,12 +302,14 @@ def line_classes(
     left = kept(_apart(pairs, classes), "open-pairs")
     links = links.union(kept(verified(left, texts, settings), "line-links"))
     classes = kept(components(links), "line-classes")
+    forget(texts)
     # Lines that are not both similar to their hub may still be similar to each other.
     rest = open_pairs(met, classes, settings).join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     rest = kept(rest, "rest-pairs")
     ends = rest.select(F.col("a").alias("h")).union(rest.select("b")).distinct()
     texts = kept(fetched(docs, kept(ends, "wanted-lines"), distinct, id_col, text_col), "line-texts")
     more = kept(verified(rest, texts, settings), "more-links")
+    forget(met, pairs, rest, texts)
     return components(links.union(more)) if more.limit(1).count() else classes
 
 
