@@ -13,7 +13,7 @@ from lakejobs.llm import (
     fingerprints,
     jaccard_join,
     language_id,
-    line_dedup,
+    line_blocks,
     mixing,
     periodic_runs,
     quality_model,
@@ -62,7 +62,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.dedup_lines(docs)
+    return line_blocks.dedup_lines(docs)
 
 
 @query
