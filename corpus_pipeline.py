@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakejobs.llm import decontamination, jaccard_join, language_id, line_dedup, mixing
+from lakejobs.llm import decontamination, jaccard_join, language_id, line_blocks, mixing
 from lakejobs.llm.common import kept, table
 from lakejobs.llm.queries import MIXTURE
 
@@ -24,7 +24,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``n_chars`` follows the text.
     """
-    out = line_dedup.dedup_lines(docs).where(~F.col("emptied"))
+    out = line_blocks.dedup_lines(docs).where(~F.col("emptied"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
