@@ -23,7 +23,7 @@ from lakejobs.llm.line_dedup import fetched, lines, similar
 LANES = 4  # of 64 bits each
 # A lane has nine windows of seven bits; a block is one window of each lane.
 WINDOW, WINDOWS = 7, 9
-# Lines of so many words or fewer are hashed by pairs of letters.
+# Lines of so many words or fewer are hashed by runs of three letters.
 FEW_WORDS = 10
 # Words weigh one, from so many letters on two, and three: about the root of their length,
 # with which the angle between two lines follows their edit similarity.
@@ -46,11 +46,11 @@ class Settings:
 
 
 def tokens(norm: Column) -> Column:
-    """Words of a line; of a line of few words its pairs of letters, blanks included."""
+    """Words of a line; of a line of few words its runs of three letters, blanks included."""
     words = F.split(norm, " ")
     padded = F.concat(F.lit(" "), norm, F.lit(" "))
-    pairs = F.transform(F.sequence(F.lit(1), F.length(norm) + 1), lambda i: F.substring(padded, i, 2))
-    return F.when(F.size(words) <= FEW_WORDS, pairs).otherwise(words)
+    runs = F.transform(F.sequence(F.lit(1), F.length(norm)), lambda i: F.substring(padded, i, 3))
+    return F.when(F.size(words) <= FEW_WORDS, runs).otherwise(words)
 
 
 def simhashes(texts: DataFrame) -> DataFrame:
