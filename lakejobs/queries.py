@@ -23,6 +23,7 @@ from lakejobs.plans import clicks, fraud, text, transit, video
 from lakejobs.session import tune, work_dir
 from lakejobs.sinks.batches import latest
 from lakejobs.sinks.commits import read_committed
+from lakejobs.sources import files
 from lakejobs.streaming import clicks as click_streams
 from lakejobs.streaming import fraud as fraud_streams
 from lakejobs.streaming import jobs
@@ -170,6 +171,143 @@ def dq_file_report(spark, d):
     return report.groupBy(kind, "name_ok").agg(F.sum("n_rows").alias("n_rows"))
 
 
+@query
+def dq_empty_files(spark, d):
+    """Orders landed as text in a folder per status, one of which no order has."""
+    out = work_dir(spark, "landed")
+    orders = frames.table(spark, d, "orders")
+    lines = orders.select("o_orderstatus", F.concat_ws(",", "o_orderkey", "o_orderpriority").alias("value"))
+    lines.write.partitionBy("o_orderstatus").text(out)
+    lines.where("o_orderstatus = 'none'").select("value").write.text(f"{out}/o_orderstatus=none")
+    status = F.regexp_extract("folder", "o_orderstatus=([^/]+)", 1).alias("status")
+    report = files.folder_report(spark, out)
+    return report.select(status, (F.col("n_empty") == F.col("n_files")).alias("all_empty"), "n_bytes")
+
+
+# --- ingest: the tables as landed files of each format, read back checked ---------------
+
+
+def _landed_events(spark, d):
+    """Events as text fields; every 97th has a user that does not read as a number."""
+    user = F.when(F.col("event_id") % 97 == 0, "n/a").otherwise(F.col("user_id").cast("string"))
+    return frames.table(spark, d, "events").select(
+        F.col("event_id").cast("string").alias("event_id"),
+        user.alias("user_id"),
+        F.floor(F.col("value") * 100).cast("string").alias("cents"),
+        F.date_format("ts", schemas.TS_FORMAT).alias("at"),
+        F.col("event_type").alias("kind"),
+    )
+
+
+EVENT_FIELDS = StructType(
+    [
+        StructField("event_id", LongType()),
+        StructField("user_id", LongType()),
+        StructField("cents", LongType()),
+        StructField("at", TimestampType()),
+    ]
+)
+
+
+def _ingested(good: DataFrame, rejected: DataFrame, key: str) -> DataFrame:
+    """Good rows, and the id and reason of rejected ones, told from their text by ``key``."""
+    told = rejected.select(
+        F.regexp_extract("record", key, 1).cast("long").alias("event_id"), quality.REASON
+    )
+    return _naive(good, "at").unionByName(told, allowMissingColumns=True)
+
+
+@query
+def ingest_csv_glob(spark, d):
+    """CSV with header in a folder per kind of event, read by a glob with a declared schema."""
+    put = work_dir(spark, "csv")
+    _landed_events(spark, d).write.partitionBy("kind").csv(put, header=True)
+    read = files.read_csv_checked(spark, f"{put}/kind=*/*.csv", EVENT_FIELDS, ts_format=schemas.TS_FORMAT)
+    return _ingested(*read, r"^(\d+),")
+
+
+@query
+def ingest_csv_inferred(spark, d):
+    """CSV with header, types inferred: what is not all numbers comes as text."""
+    put = work_dir(spark, "csv")
+    _landed_events(spark, d).drop("at").write.csv(put, header=True)
+    good, _ = files.read_csv_checked(spark, put)
+    kinds = {f.name: f.dataType.typeName().replace("integer", "long") for f in good.schema}
+    return good.select(
+        F.col("event_id").cast("long").alias("event_id"), "user_id", F.col("cents").cast("long").alias("cents"), "kind",
+        F.lit(",".join(kinds[c] for c in ("event_id", "user_id", "cents", "kind"))).alias("types"),
+    )
+
+
+@query
+def ingest_tsv(spark, d):
+    """Tab-separated text with header and letters beyond ASCII."""
+    put = work_dir(spark, "tsv")
+    name = F.concat(F.lit("Grüße, "), F.col("c_name")).alias("name")
+    customers = frames.table(spark, d, "customer").select("c_custkey", name, "c_mktsegment")
+    customers.write.csv(put, header=True, sep="\t", encoding="UTF-8")
+    schema = StructType(
+        [
+            StructField("c_custkey", LongType()),
+            StructField("name", StringType()),
+            StructField("c_mktsegment", StringType()),
+        ]
+    )
+    return files.read_csv_checked(spark, put, schema, sep="\t")[0]
+
+
+@query
+def ingest_xml(spark, d):
+    """XML records with a declared schema."""
+    put = work_dir(spark, "xml")
+    events = _landed_events(spark, d).drop("kind")
+    events.write.format("xml").option("rowTag", "record").option("rootTag", "records").save(put)
+    read = files.read_xml_checked(spark, put, "record", EVENT_FIELDS, schemas.TS_FORMAT)
+    return _ingested(*read, r"<event_id>(\d+)</event_id>")
+
+
+def _landed_stops(spark, d):
+    put = work_dir(spark, "stops")
+    whole = {c: F.col(c).cast("int") for c in ("MilesAway", "NumberOfBoardings")}
+    stops = frames.stops(spark, d).withColumns(whole).select(*schemas.STOPS.names)
+    stops.write.csv(f"{put}/in", header=True)
+    file_jobs.transit_job(spark, f"{put}/in/*", f"{put}/out")
+    return f"{put}/out"
+
+
+@query
+def ingest_stops(spark, d):
+    """The transit job from a glob of CSV files to its table of top stops."""
+    return spark.read.parquet(f"{_landed_stops(spark, d)}/top_stops")
+
+
+@query
+def ingest_words(spark, d):
+    """The word job from text files to tab-separated words and counts."""
+    put = work_dir(spark, "words")
+    frames.lines(spark, d).where("value is not null").write.text(f"{put}/in")
+    file_jobs.words_job(spark, f"{put}/in", f"{put}/out")
+    return spark.read.csv(f"{put}/out", sep="\t", schema="word string, n long", quote="\"", escape="\\")
+
+
+@query
+def ingest_employees(spark, d):
+    """The salary job from headerless records, some of them too short, to key and value text.
+
+    ``record`` holds the rejected ones.
+    """
+    put = work_dir(spark, "employees")
+    cents = F.floor(F.col("c_acctbal")).cast("string")
+    fields = [F.col("c_nationkey"), *[F.lit("-")] * 4, cents, F.lit("-"), F.col("c_custkey")]
+    line = F.when(F.col("c_custkey") % 50 == 0, F.concat(F.lit("short,"), F.col("c_custkey"))).otherwise(
+        F.concat_ws(",", *fields)
+    )
+    frames.table(spark, d, "customer").select(line.alias("value")).write.text(f"{put}/in")
+    file_jobs.salaries_job(spark, f"{put}/in", f"{put}/out")
+    best = spark.read.csv(f"{put}/out", sep="\t", schema="emp int, max_salary int, dept int")
+    return best.unionByName(spark.read.parquet(f"{put}/out-rejected").select("record"), allowMissingColumns=True)
+
+
 def _pairs(spark, d):
     return frames.raw_plays(spark, d).select("user_id", "video_id", "liked")
 

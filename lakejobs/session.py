@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -90,6 +92,17 @@ def tune(spark: SparkSession, *paths: str | Sequence[str]) -> SparkSession:
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the session was started.
+
+    On a cluster the package is installed on every machine or sent with ``--py-files``.
+    """
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[1])
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

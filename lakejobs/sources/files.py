@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from lakejobs.operators.quality import CORRUPT, split_malformed
+from lakejobs.sources.listing import folder_listing
 
 
 def _with_corrupt(schema: StructType) -> StructType:
@@ -81,8 +82,17 @@ def read_xml_raw(
     schema: StructType | None = None,
     ts_format: str | None = None,
 ) -> DataFrame:
-    """The ``row_tag`` elements of XML files, with malformed ones in one more column."""
-    options = {"rowTag": row_tag, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    """The ``row_tag`` elements of XML files, with malformed ones in one more column.
+
+    The parser that takes a file apart element by element is chosen: the other one reports
+    the text of the whole file for every malformed element.
+    """
+    options = {
+        "rowTag": row_tag,
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT,
+        "useLegacyXMLParser": "true",
+    }
     if ts_format:
         options["timestampFormat"] = ts_format
     if schema is None:
@@ -128,22 +138,28 @@ def read_csv_positional(
     return raw.where(complete).select(*picked), rejected
 
 
-def list_files(spark: SparkSession, path: str, name_pattern: str | None = None) -> DataFrame:
-    """Name, size, emptiness and name check of every file under ``path``; reads no content.
+def list_files(
+    spark: SparkSession, path: str, name_pattern: str | None = None, depth: int = 1
+) -> DataFrame:
+    """Name, size, emptiness and name check of every file under ``path``.
 
-    A scan passes over empty files, so the names come from the scan's own file index
-    (which the driver holds in any case) and the sizes are joined to them.
+    No content is read, and the names stay in the tasks that list them: one for each folder
+    ``depth`` levels below ``path``.
     """
-    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    # One lists "file:///x", the other "file:/x".
-    uri = F.regexp_replace("path", "^([a-z0-9]+:)/+", "$1/").alias("path")
-    names = spark.createDataFrame([(f,) for f in scan.inputFiles()], "path string").select(uri)
-    sizes = scan.select(uri, "length")
     name = F.element_at(F.split("path", "/"), -1)
-    n_bytes = F.coalesce("length", F.lit(0))
-    return names.join(sizes, "path", "left").select(
+    return folder_listing(spark, path, depth).select(
         name.alias("file_name"),
-        n_bytes.alias("n_bytes"),
-        (n_bytes == 0).alias("is_empty"),
+        "n_bytes",
+        (F.col("n_bytes") == 0).alias("is_empty"),
         (name.rlike(name_pattern) if name_pattern else F.lit(True)).alias("name_ok"),
     )
+
+
+def folder_report(spark: SparkSession, path: str, depth: int = 1) -> DataFrame:
+    """Files, empty files and bytes of every folder under ``path`` that holds a file."""
+    folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
+    return folder_listing(spark, path, depth).groupBy(folder).agg(
+        F.count(F.lit(1)).alias("n_files"),
+        F.count_if(F.col("n_bytes") == 0).alias("n_empty"),
+        F.sum("n_bytes").alias("n_bytes"),
+    )

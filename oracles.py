@@ -309,3 +309,23 @@ UNION ALL SELECT 'x' || txn_id, 'malformed' FROM decided WHERE txn_id % 97 = 0""
 ORACLES["video_popular_channels_sketched"] = f"""WITH {PLAYS}
 SELECT channel_id, max(minutes_played) AS max_video_played, true AS video_close, true AS likers_close
 FROM plays GROUP BY channel_id"""
+
+ORACLES["dq_empty_files"] = """SELECT o_orderstatus AS status, false AS all_empty,
+  sum(length(o_orderkey || ',' || o_orderpriority) + 1)::BIGINT AS n_bytes FROM orders GROUP BY 1
+UNION ALL SELECT 'none', true, 0"""
+INGESTED = """SELECT event_id, CASE WHEN event_id % 97 <> 0 THEN user_id END AS user_id,
+  CASE WHEN event_id % 97 <> 0 THEN floor(value * 100)::BIGINT END AS cents,
+  CASE WHEN event_id % 97 <> 0 THEN date_trunc('second', ts) END AS at,
+  CASE WHEN event_id % 97 = 0 THEN 'malformed' END AS reject_reason FROM events"""
+ORACLES["ingest_csv_glob"] = ORACLES["ingest_xml"] = INGESTED
+ORACLES["ingest_csv_inferred"] = """SELECT event_id, floor(value * 100)::BIGINT AS cents,
+  CASE WHEN event_id % 97 = 0 THEN 'n/a' ELSE user_id::VARCHAR END AS user_id, event_type AS kind,
+  'long,string,long,string' AS types FROM events"""
+ORACLES["ingest_tsv"] = "SELECT c_custkey, 'Grüße, ' || c_name AS name, c_mktsegment FROM customer"
+ORACLES["ingest_stops"] = ORACLES["transit_top_stops"]
+ORACLES["ingest_words"] = ORACLES["rare_words"]
+ORACLES["ingest_employees"] = """SELECT emp, max_salary, dept, NULL AS record FROM (
+  SELECT c_nationkey AS emp, floor(c_acctbal)::INTEGER AS max_salary, c_custkey::INTEGER AS dept,
+    row_number() OVER (PARTITION BY c_nationkey ORDER BY floor(c_acctbal) DESC, c_custkey DESC) AS rn
+  FROM customer WHERE c_custkey % 50 <> 0) WHERE rn = 1
+UNION ALL SELECT NULL, NULL, NULL, 'short,' || c_custkey FROM customer WHERE c_custkey % 50 = 0"""

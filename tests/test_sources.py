@@ -5,6 +5,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 from lakejobs import schemas
 from lakejobs.operators import quality
 from lakejobs.sources import files, jdbc, topics
+from lakejobs.sources.listing import folder_listing
 
 PLAYS = StructType(
     [
@@ -84,6 +85,16 @@ def test_xml_rows(spark, tmp_path):
     assert "many" in rejected.first().record
 
 
+def test_a_malformed_xml_record_is_reported_alone(spark, tmp_path):
+    record = "<record><id>{}</id><minutes>{}</minutes></record>"
+    text = "".join(record.format(i, "ten" if i % 4 == 0 else i) for i in range(1, 9))
+    (tmp_path / "p.xml").write_text(f"<records>{text}</records>")
+    good, rejected = files.read_xml_checked(spark, str(tmp_path), "record", PLAYS)
+    assert [r[0] for r in rows(good, "id")] == [1, 2, 3, 5, 6, 7]
+    told = [r[0].replace("\n", "").replace(" ", "") for r in rows(rejected, "record")]
+    assert told == [record.format(4, "ten"), record.format(8, "ten")]
+
+
 def test_xml_inferred(spark, tmp_path):
     (tmp_path / "p.xml").write_text(XML.replace("many", "7"))
     good, rejected = files.read_xml_checked(spark, str(tmp_path))
@@ -122,6 +133,30 @@ def test_file_list_names_empty_and_misnamed_files(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("depth", [0, 1, 2, 5])
+def test_every_file_is_listed_once_at_any_depth(spark, tmp_path, depth):
+    for name in ("a.csv", "d=1/b.csv", "d=1/e=2/c c.csv", "d=3/e=2/%41.csv", "_tmp/x.csv", "d=1/.x.crc", "_k=1/z"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("xy")
+    (tmp_path / "nothing").mkdir()
+    listed = rows(folder_listing(spark, str(tmp_path), depth), "path")
+    names = ("_k=1/z", "a.csv", "d=1/b.csv", "d=1/e=2/c c.csv", "d=3/e=2/%41.csv")
+    assert listed == [(f"{tmp_path}/{name}", 2) for name in names]
+
+
+def test_folders_are_reported_with_their_empty_files(spark, tmp_path):
+    for name, text in (("k=1/a", "xyz"), ("k=1/b", ""), ("k=2/c", ""), ("top", "x")):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    (tmp_path / "k=3").mkdir()
+    report = rows(files.folder_report(spark, str(tmp_path)), "folder")
+    assert report == [(str(tmp_path), 1, 0, 1), (f"{tmp_path}/k=1", 2, 1, 3), (f"{tmp_path}/k=2", 1, 1, 0)]
+
+
+def test_an_empty_folder_has_no_files(spark, tmp_path):
+    assert files.list_files(spark, str(tmp_path)).count() == 0
+
+
 def test_file_report_counts_rows(spark, csv_dir):
     raw = spark.read.schema(PLAYS).option("header", True).csv(csv_dir)
     report = quality.file_report(raw, r"^a").drop("file_path")
