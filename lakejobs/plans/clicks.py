@@ -14,6 +14,8 @@ REQUEST_LIMIT = 100
 FAILURE_LIMIT = 500
 CATEGORY = "digital-cameras"
 OK_STATUS = 200
+# Counters of a window, in place of one for every client.
+BUCKETS = 65_536
 
 
 def parse_log(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -69,6 +71,51 @@ def request_rate(
     return _start(counts)
 
 
+def _bucket(client: str, buckets: int):
+    return F.pmod(F.xxhash64(client), F.lit(buckets)).alias("bucket")
+
+
+def crowded_buckets(
+    parsed: DataFrame,
+    limit: int = REQUEST_LIMIT,
+    window: str = "1 second",
+    client: str = "ip",
+    buckets: int = BUCKETS,
+    watermark: str | None = None,
+) -> DataFrame:
+    """Windows and buckets of clients, by hash, that passed ``limit`` together.
+
+    A client over the limit is in one of them, so that a window needs ``buckets`` counters
+    however many clients it has.
+    """
+    numbered = parsed.withColumn("bucket", _bucket(client, buckets))
+    return request_rate(numbered, window, ("bucket",), watermark).where(F.col("n_requests") > limit)
+
+
+def heavy_clients(
+    parsed: DataFrame,
+    limit: int = REQUEST_LIMIT,
+    window: str = "1 second",
+    client: str = "ip",
+    buckets: int = BUCKETS,
+    crowded: DataFrame | None = None,
+) -> DataFrame:
+    """Clients with more than ``limit`` requests in a window, counted exactly.
+
+    Only requests in ``crowded_buckets`` are counted by client; ``crowded`` may hold those
+    that a stream has found, some of them several times. The more buckets, the fewer clients
+    share one with a heavy client or pass the limit together.
+    """
+    if crowded is None:
+        crowded = crowded_buckets(parsed, limit, window, client, buckets)
+    marked = parsed.where("ts is not null").select(
+        F.window("ts", window).start.alias("window_start"), client, _bucket(client, buckets)
+    )
+    asked = marked.join(crowded.select("window_start", "bucket"), ["window_start", "bucket"], "left_semi")
+    counts = asked.groupBy("window_start", client).agg(F.count(F.lit(1)).alias("n_requests"))
+    return counts.where(F.col("n_requests") > limit)
+
+
 def windowed_status(
     parsed: DataFrame, window: str = "5 minutes", watermark: str | None = None
 ) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakejobs.functions.geo import distance_km, speed
-from lakejobs.operators import ordered
+from lakejobs.operators import membership, ordered
 from lakejobs.operators.skew import DEFAULT, Hot, Skew, join_lookup, search
 from lakejobs.schemas import REALTIME
 
@@ -315,10 +315,15 @@ def lost_cards(decided: DataFrame, strikes: int = STRIKES) -> DataFrame:
     )
 
 
-def blacklist_hits(txns: DataFrame, blacklist: DataFrame, on: str) -> DataFrame:
+def blacklist_hits(
+    txns: DataFrame, blacklist: DataFrame, on: str, prefilter: bool = False
+) -> DataFrame:
     """Transactions whose card (or merchant) is blacklisted.
 
     No hint: Catalyst broadcasts a list below its size threshold and AQE splits hot
-    keys of a larger one.
+    keys of a larger one. With ``prefilter``, for lists of millions, most other
+    transactions go before the shuffle, see ``operators.membership``.
     """
+    if prefilter:
+        return membership.semi_join(txns, blacklist, on)
     return txns.join(blacklist.select(on), on, "left_semi")

@@ -36,6 +36,7 @@ QUERIES: dict[str, Query] = {}
 # Alert limits that fit how thinly the test events are spread over time.
 FEW_REQUESTS = 1
 FEW_FAILURES = 3
+FEW_OF_A_CLIENT = 3
 
 
 def query(job: Query) -> Query:
@@ -508,6 +509,14 @@ def fraud_blacklist_merchants(spark, d):
     return hits.select("txn_id", "merchant_id", "amount")
 
 
+@query
+def fraud_blacklist_prefiltered(spark, d):
+    """Hits by card behind a bit filter, as for a list too large to broadcast."""
+    blacklist = frames.card_blacklist(spark, d)
+    hits = fraud.blacklist_hits(frames.transactions(spark, d), blacklist, "card_id", prefilter=True)
+    return hits.select("txn_id", "card_id", "amount")
+
+
 # --- clicks ----------------------------------------------------------------------------
 
 
@@ -552,6 +561,12 @@ def click_alerts(spark, d):
     return _naive(found, "window_start").drop("n_requests")
 
 
+@query
+def click_heavy_clients(spark, d):
+    heavy = clicks.heavy_clients(_parsed(spark, d)[0], FEW_OF_A_CLIENT, "1 day")
+    return _naive(heavy, "window_start")
+
+
 @query
 def click_failure_alerts(spark, d):
     counts = clicks.windowed_status(_parsed(spark, d)[0])
@@ -606,6 +621,21 @@ def stream_rate_alerts(spark, d):
     return _naive(current, "window_start").drop("n_requests")
 
 
+@query
+def stream_heavy_clients(spark, d):
+    """Buckets of clients from one stream, counted exactly over the lines another landed."""
+    out = work_dir(spark, "heavy_clients")
+    lines = frames.weblog_of(_events_stream(spark, d))
+    jobs.land_raw(lines, f"{out}/landed", f"{out}/landing").awaitTermination()
+    click_streams.crowded_buckets(
+        lines, f"{out}/crowded", f"{out}/checkpoint", FEW_OF_A_CLIENT, "1 day"
+    ).awaitTermination()
+    parsed, _ = clicks.parse_log(spark.read.text(f"{out}/landed/*"))
+    crowded = spark.read.parquet(f"{out}/crowded")
+    heavy = clicks.heavy_clients(parsed, FEW_OF_A_CLIENT, "1 day", crowded=crowded)
+    return _naive(heavy, "window_start")
+
+
 def _pos_stream(spark, d, order: str = "ts"):
     """Transactions as records, by time or (``turn``) in four turns that mix times."""
     txns = frames.transactions(spark, d).withColumn("turn", F.pmod("txn_id", F.lit(BATCHES)))

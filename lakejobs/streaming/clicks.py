@@ -65,6 +65,27 @@ def rate_alerts(
     return jobs.start(found, jobs.into_batches(path), checkpoint, interval, "update")
 
 
+def crowded_buckets(
+    lines: DataFrame,
+    path: str,
+    checkpoint: str,
+    limit: int = clicks.REQUEST_LIMIT,
+    window: str = "1 second",
+    client: str = "ip",
+    buckets: int = clicks.BUCKETS,
+    lateness: str = LATENESS,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Windows and buckets of clients that may hold one with more than ``limit`` requests.
+
+    The state of a window is bounded by ``buckets``. With the lines that ``jobs.land_raw``
+    has landed, ``plans.clicks.heavy_clients`` counts the clients of these buckets exactly.
+    """
+    parsed, _ = clicks.parse_log(lines)
+    found = clicks.crowded_buckets(parsed, limit, window, client, buckets, lateness)
+    return jobs.start(found, jobs.into_batches(path), checkpoint, interval, "update")
+
+
 def rejects(
     lines: DataFrame, path: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:

@@ -329,3 +329,8 @@ ORACLES["ingest_employees"] = """SELECT emp, max_salary, dept, NULL AS record FR
     row_number() OVER (PARTITION BY c_nationkey ORDER BY floor(c_acctbal) DESC, c_custkey DESC) AS rn
   FROM customer WHERE c_custkey % 50 <> 0) WHERE rn = 1
 UNION ALL SELECT NULL, NULL, NULL, 'short,' || c_custkey FROM customer WHERE c_custkey % 50 = 0"""
+
+ORACLES["fraud_blacklist_prefiltered"] = ORACLES["fraud_blacklist_cards"]
+ORACLES["click_heavy_clients"] = ORACLES["stream_heavy_clients"] = f"""WITH {PARSED}
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, ip, count(*) AS n_requests
+FROM parsed GROUP BY 1, 2 HAVING count(*) > 3"""

@@ -108,3 +108,24 @@ def test_status_windows_and_category(spark):
     assert rows(clicks.windowed_status(df), "window_start") == [(start, 2, 1, 2), (later, 0, 1, 0)]
     assert rows(clicks.category_counts(df)) == [(start, 2)]
     assert clicks.category_counts(df, "Books").first().category_hits == 1
+
+
+@pytest.mark.parametrize("buckets", [1, 2, 65_536])
+@pytest.mark.parametrize("limit", [0, 2, 99])
+def test_heavy_clients_are_counted_exactly_whoever_shares_their_bucket(spark, buckets, limit):
+    line = '{} - - [05/Mar/2024:10:0{}:{:02} +0000] "GET /a HTTP/1.1" 200 1 - x'
+    asked = [(f"10.0.0.{c}", m, s) for c in range(6) for m in range(3) for s in range((c * m) % 5)]
+    parsed, _ = parse(spark, *[line.format(*a) for a in asked])
+    want = {}
+    for client, minute, _ in asked:
+        want[client, minute] = want.get((client, minute), 0) + 1
+    heavy = clicks.heavy_clients(parsed, limit, "1 minute", buckets=buckets)
+    got = {(r["ip"], r["window_start"].minute): r["n_requests"] for r in heavy.collect()}
+    assert got == {k: n for k, n in want.items() if n > limit}
+
+
+def test_buckets_found_several_times_do_not_count_twice(spark):
+    parsed, _ = parse(spark, LINE, LINE)
+    crowded = clicks.crowded_buckets(parsed, 1)
+    heavy = clicks.heavy_clients(parsed, 1, crowded=crowded.union(crowded))
+    assert [r["n_requests"] for r in heavy.collect()] == [2]

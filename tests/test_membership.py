@@ -1,0 +1,76 @@
+"""The semi-join behind a bit filter gives what the plain one gives."""
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from lakejobs.operators import membership
+
+
+def table(spark, n, step=1, kind="long"):
+    return spark.range(n).select((F.col("id") * step).cast(kind).alias("k"), (F.col("id") % 7).alias("v"))
+
+
+def same(spark, left, right, **options):
+    got = membership.semi_join(left, right, "k", **options)
+    assert got.columns == left.columns
+    assert rows(got, *left.columns) == rows(left.join(right.select("k"), "k", "left_semi").select(*left.columns), *left.columns)
+
+
+@pytest.mark.parametrize("kind", ["long", "int", "string", "date"])
+@pytest.mark.parametrize("n_keys", [0, 1, 700, 9000])
+def test_any_list(spark, n_keys, kind):
+    def made(n, step):
+        if kind == "date":
+            return table(spark, n, step, "int").withColumn("k", F.date_add(F.lit("2000-01-01"), "k"))
+        return table(spark, n, step, kind)
+
+    same(spark, made(5000, 1), made(n_keys, 3))
+
+
+def test_no_rows(spark):
+    same(spark, table(spark, 0), table(spark, 10))
+
+
+def test_nulls_and_repeated_keys_on_both_sides(spark):
+    left = spark.createDataFrame([(None, 1), (1, 1), (1, 1), (2, 3), (4, None)], "k long, v long")
+    right = spark.createDataFrame([(None,), (1,), (1,), (4,)], "k long")
+    same(spark, left, right)
+    same(spark, left, right.where("k is null"))
+
+
+def test_rows_with_columns_named_like_the_filter(spark):
+    left = table(spark, 100).withColumns({"_place": F.lit(1), "_word": F.lit(2), "_bits": F.lit(3)})
+    same(spark, left, table(spark, 10, 3))
+
+
+def test_a_filter_too_small_for_its_list_lets_more_through_but_no_row_is_wrong(spark):
+    left, right = table(spark, 20_000), table(spark, 15_000, 2)
+    same(spark, left, right, max_bytes=1)
+    few = membership.passing(left, right, "k", max_bytes=1).count()
+    assert membership.passing(left, right, "k").count() < few <= 20_000
+
+
+def test_few_others_pass(spark):
+    """Of keys that are not in the list, under one in a hundred."""
+    listed, others = table(spark, 60_000, 2), spark.range(60_000).select((F.col("id") * 2 + 1).alias("k"))
+    assert membership.passing(listed, listed, "k").count() == 60_000
+    assert membership.passing(others, listed, "k").count() < 600
+
+
+def test_the_size_is_bounded(spark):
+    assert membership.blocks_for(0) == membership.blocks_for(1) == 1
+    assert membership.blocks_for(10**12) * membership.BLOCK_BITS // 8 == membership.MAX_BYTES
+    held = membership.key_filter(table(spark, 50, kind="string"), "k", 5)
+    assert rows(held.select("_block", F.size("_words")), "_block") == [(i, membership.WORDS) for i in range(5)]
+
+
+def test_rows_go_before_the_shuffle(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = membership.semi_join(table(spark, 1000), table(spark, 10), "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin") and "Python" not in plan
+
+
+def test_types_must_agree(spark):
+    with pytest.raises(TypeError, match="k is bigint in the rows, int in the list"):
+        membership.semi_join(table(spark, 1), table(spark, 1, kind="int"), "k")
