@@ -26,13 +26,18 @@ def file_stream(
     return reader.load(path)
 
 
+# Row groups of the files a stream is made of: a reader splits a file only between them, so a
+# micro-batch of one large file is read by many tasks and not one.
+ROW_GROUP_BYTES = 1 << 20
+
+
 def in_files(df: DataFrame, path: str, order: str, n: int) -> None:
     """Write ``df`` as ``n`` files (fewer for few values) by ranges of ``order``, which a file
     stream takes in that order.
 
     A stream takes the oldest file first, so their times are set a second apart.
     """
-    df.repartitionByRange(n, order).write.parquet(path)
+    df.repartitionByRange(n, order).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     spark = df.sparkSession
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -14,7 +14,7 @@ from lakejobs.sinks.batches import latest
 from lakejobs.streaming import clicks as click_streams
 from lakejobs.streaming import fraud as fraud_streams
 from lakejobs.streaming import jobs
-from lakejobs.streaming.sources import file_stream, stream_source
+from lakejobs.streaming.sources import file_stream, in_files, stream_source
 
 
 def write_lines(folder, name, lines):
@@ -82,6 +82,22 @@ def test_one_parquet_file_is_a_stream(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 25
 
 
+def test_a_large_stream_file_is_read_by_many_tasks(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    lines = spark.range(300_000).select(F.sha2(F.col("id").cast("string"), 256).alias("value"), "id")
+    in_files(lines, path, "id", 1)
+    seen = []
+
+    def look(batch, batch_id):
+        # Rows in each task that reads the file: a task can get a range of it without rows.
+        seen.append(batch.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+
+    stream = file_stream(spark, path, lines.schema, maxFilesPerTrigger="1")
+    run(jobs.start(stream, look, str(tmp_path / "checkpoint")))
+    assert [sum(tasks) for tasks in seen] == [300_000]
+    assert len([n for n in seen[0] if n]) > 1
+
+
 @pytest.mark.parametrize("pieces", [1, 4])
 def test_status_windows_equal_the_batch(spark, tmp_path, log_lines, pieces):
     for i, part in enumerate(parts(log_lines, pieces)):
