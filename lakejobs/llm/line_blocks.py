@@ -155,6 +155,38 @@ def hub_pairs(met: DataFrame, distinct: DataFrame, settings: Settings) -> DataFr
     return both.where(may_link(settings)).select("a", "b")
 
 
+def central_pairs(met: DataFrame, distinct: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs ``a``, ``b`` of a line and the central line of one of its blocks: that whose
+    SimHash is nearest to the bitwise majority of the block's (ties: the smallest).
+
+    Of a group of copies of one line with edits here and there, that line, or one like it,
+    is central; compared with it, the copies are connected without meeting in pairs. Bits are
+    counted two at a time, 32 binary places apart.
+    """
+    ones = 0x0000000100000001
+    lanes = [f"a{i}" for i in range(LANES)]
+    rows = met.join(distinct.select("n", *lanes), "n")
+    sums = [
+        F.sum(F.shiftrightunsigned(lane, k).bitwiseAND(F.lit(ones))).alias(f"s{lane}_{k}")
+        for lane in lanes for k in range(32)
+    ]
+    counted = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), *sums)
+    # Adding this to a count sets bit 30 of it if it is more than half of m (below 2 ** 30).
+    lift = (F.lit(0x3FFFFFFF).cast("long") - F.expr("m div 2")) * F.lit(ones)
+    top = lambda s: F.shiftrightunsigned(F.col(s) + lift, 30).bitwiseAND(F.lit(ones))
+    major = [
+        reduce(Column.bitwiseOR, [F.shiftleft(top(f"s{lane}_{k}"), k) for k in range(32)]).alias(f"m_{lane}")
+        for lane in lanes
+    ]
+    majority = counted.select("key", *major)
+    off = reduce(Column.__add__, [F.bit_count(F.col(lane).bitwiseXOR(F.col(f"m_{lane}"))) for lane in lanes])
+    nearest = rows.join(majority, "key").groupBy("key").agg(F.min(F.struct(off.alias("off"), "n")).alias("c"))
+    found = met.join(nearest.select("key", F.col("c.n").alias("b")), "key").where("n != b")
+    pairs = found.select(F.col("n").alias("a"), "b").distinct()
+    both = pairs.join(ends(distinct, "a"), "a").join(ends(distinct, "b"), "b")
+    return both.where(may_link(settings)).select("a", "b")
+
+
 def open_pairs(met: DataFrame, classes: DataFrame, distinct: DataFrame, settings: Settings) -> DataFrame:
     """Pairs ``a``, ``b`` of lines of a block that may be linked, in different classes so far.
 
@@ -206,8 +238,13 @@ def line_classes(
     check = lambda pairs: verified(pairs, docs, distinct, settings, id_col, text_col)
     met = kept(meetings(distinct, settings), "line-meetings")
     pairs = kept(hub_pairs(met, distinct, settings), "hub-pairs")
-    # One hub per line first: with most lines connected by that, few pairs are left.
-    links = check(pairs.groupBy("a").agg(F.min("b").alias("b")))
+    central = kept(central_pairs(met, distinct, settings), "central-pairs")
+    # One hub per line and the central lines first: with most lines connected by those, few
+    # pairs are left.
+    first = pairs.groupBy("a").agg(F.min("b").alias("b")).union(central).distinct()
+    first = kept(first, "first-pairs")
+    links = check(first)
+    forget(central, first)
     classes = kept(components(links), "line-classes")
     of = lambda s: classes.select(F.col("id").alias(s), F.col("component").alias(f"c_{s}"))
     # Pairs with other hubs, and of lines that are not both similar to their hub.

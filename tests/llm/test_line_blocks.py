@@ -183,3 +183,16 @@ def test_share_of_similar_lines_that_share_a_block(share, of, n, least):
         words = [rng.choice(stock) for _ in range(n)]
         hits += bool(keys(simhash(words)) & keys(simhash(edited(rng, words, share, of, stock))))
     assert hits >= least * 60
+
+
+def test_copies_meet_the_central_line_of_their_block(spark):
+    # Line 0 is the hub, but unlike the others; 1 to 6 are copies of line 9, each with its
+    # own bits changed. Each copy is compared with 9 alone, not with all the others.
+    sims = {0: -1, 9: 0, **{i: 0b111 << (3 * i) for i in range(1, 7)}}
+    distinct = spark.createDataFrame(
+        [(n, 100, s, -1 if n == 0 else 0, 0, 0) for n, s in sims.items()],
+        "n long, size int, a0 long, a1 long, a2 long, a3 long",
+    )
+    met = spark.createDataFrame([(7, n, 0) for n in sims], "key long, n long, hub long")
+    pairs = {tuple(r) for r in lb.central_pairs(met, distinct, lb.Settings()).collect()}
+    assert pairs == {(n, 9) for n in range(1, 7)}
