@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -31,16 +32,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Shuffle files go with the job that made them, not when the driver next collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _cleaned_up(spark: SparkSession):
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared work folder and read back.
 
     What is read more than once is computed once, its lineage ends at files that outlive
     executors, and joins on it start from a plain shuffle, which adaptive execution can
-    split when a key is hot.
+    split when a key is hot. Its shuffle files are deleted once it is written.
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.parquet(path)
+    with _cleaned_up(spark):
+        df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.kept_in = path
     return back
