@@ -1,8 +1,9 @@
 """Fuzzy line deduplication by SimHash blocks. DataFrame functions only.
 
 Lines are normalised to lower-cased words; lines of equal words are one. Every distinct line
-gets a SimHash of 256 bits, which is cut into blocks. Lines that share a block meet: all with
-the smallest line of the block, and among themselves only those that are not connected yet.
+gets a SimHash of 256 bits, which is cut into blocks. Lines that share a block meet: in a block of
+many all with its smallest and its central line, and among themselves only those that are not
+connected yet.
 SimHashes far apart part the unrelated, edit similarity decides about the others, and of
 every connected group of lines one occurrence stays.
 """
@@ -30,6 +31,10 @@ FEW_WORDS = 10
 LONGER, LONGEST = 4, 9
 # Tokens whose bits are counted together: each counts up to three times, in 14 bits.
 PIECE = ((1 << 14) - 1) // 3
+# Up to so many lines of a block all meet at once.
+CROWD = 32
+# Blocks of a line that are shuffled at a time.
+AT_ONCE = 3
 ONES = 0x0001000100010001
 
 
@@ -128,11 +133,16 @@ def distinct_lines(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
     return found, distinct
 
 
-def meetings(distinct: DataFrame, settings: Settings) -> DataFrame:
-    """``key``, ``n`` and ``hub``, the smallest line, of all lines in blocks of several."""
-    keys = distinct.select("n", F.explode(F.array(*blocks(settings.turns))).alias("key")).repartition("key")
-    hubs = keys.groupBy("key").agg(F.min("n").alias("hub"), F.max("n").alias("last")).where("hub != last")
-    return keys.join(hubs.select("key", "hub").hint("shuffle_hash"), "key")
+def meetings(distinct: DataFrame, keys: list[Column]) -> DataFrame:
+    """``key``, ``n``, ``size``, SimHash, and ``hub`` (the smallest line) and ``m`` (how many
+    there are) of all lines in blocks of several, of those blocks that ``keys`` name.
+
+    Rows are shuffled by ``key`` only.
+    """
+    named = ["n", "size", *[f"a{i}" for i in range(LANES)]]
+    rows = distinct.select(*named, F.explode(F.array(*keys)).alias("key")).repartition("key")
+    hubs = rows.groupBy("key").agg(F.min("n").alias("hub"), F.max("n").alias("last"), F.count(F.lit(1)).alias("m"))
+    return rows.join(hubs.where("hub != last").select("key", "hub", "m").hint("shuffle_hash"), "key")
 
 
 def ends(distinct: DataFrame, side: str) -> DataFrame:
@@ -148,11 +158,31 @@ def may_link(settings: Settings) -> Column:
     return fits & (reduce(Column.__add__, bits) <= settings.distance)
 
 
-def hub_pairs(met: DataFrame, distinct: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs ``a``, ``b`` of a line and the hub of one of its blocks."""
-    pairs = met.where("n != hub").select(F.col("n").alias("a"), F.col("hub").alias("b")).distinct()
-    both = pairs.join(ends(distinct, "a"), "a").join(ends(distinct, "b"), "b")
-    return both.where(may_link(settings)).select("a", "b")
+def block_pairs(met: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs ``a``, ``b`` of a line and a smaller one of its block that may be linked.
+
+    In a block of up to CROWD lines those are all the smaller ones, in a larger one only the
+    hub: the lines of such a block meet in ``central_pairs`` and ``open_pairs``. Lines that
+    came into a block by chance are parted here, where they are, and shuffled no further.
+    """
+    lanes = [f"a{i}" for i in range(LANES)]
+    of = lambda s: [F.col(c).alias(s if c == "n" else f"{c}_{s}") for c in ("n", "size", *lanes)]
+    own = met.where("n != hub").select("key", *of("a"))
+    other = met.where((F.col("m") <= CROWD) | (F.col("n") == F.col("hub"))).select("key", *of("b"))
+    return own.join(other, "key").where("b < a").where(may_link(settings)).select("a", "b").distinct()
+
+
+def meet(distinct: DataFrame, settings: Settings) -> tuple[list[DataFrame], list[DataFrame]]:
+    """The tables of ``block_pairs``, and ``key`` and ``n`` of the lines in blocks of more than
+    CROWD. A few blocks of every line are shuffled at a time, which bounds the disk."""
+    keys = blocks(settings.turns)
+    pairs, crowds = [], []
+    for first in range(0, len(keys), AT_ONCE):
+        met = kept(meetings(distinct, keys[first : first + AT_ONCE]), "line-meetings")
+        pairs.append(kept(block_pairs(met, settings), "block-pairs"))
+        crowds.append(kept(met.where(F.col("m") > CROWD).select("key", "n"), "crowded-lines"))
+        forget(met)
+    return pairs, crowds
 
 
 def central_pairs(met: DataFrame, distinct: DataFrame, settings: Settings) -> DataFrame:
@@ -236,10 +266,10 @@ def line_classes(
 ) -> DataFrame:
     """``id`` and ``component`` of the distinct lines that are linked with others."""
     check = lambda pairs: verified(pairs, docs, distinct, settings, id_col, text_col)
-    met = kept(meetings(distinct, settings), "line-meetings")
-    pairs = kept(hub_pairs(met, distinct, settings), "hub-pairs")
+    pair_tables, crowds = meet(distinct, settings)
+    pairs, met = reduce(DataFrame.union, pair_tables), reduce(DataFrame.union, crowds)
     central = kept(central_pairs(met, distinct, settings), "central-pairs")
-    # One hub per line and the central lines first: with most lines connected by those, few
+    # One pair per line and the central lines first: with most lines connected by those, few
     # pairs are left.
     first = pairs.groupBy("a").agg(F.min("b").alias("b")).union(central).distinct()
     first = kept(first, "first-pairs")
@@ -247,12 +277,12 @@ def line_classes(
     forget(central, first)
     classes = kept(components(links), "line-classes")
     of = lambda s: classes.select(F.col("id").alias(s), F.col("component").alias(f"c_{s}"))
-    # Pairs with other hubs, and of lines that are not both similar to their hub.
+    # Other pairs of the blocks, and of lines of crowded ones that are not both similar to their hub.
     apart = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
     apart = apart.where("c_a is null or c_b is null or c_a != c_b").select("a", "b")
     rest = open_pairs(met, classes, distinct, settings)
     more = check(kept(apart.union(rest).distinct(), "open-pairs"))
-    forget(met, pairs, rest, classes)
+    forget(*pair_tables, *crowds, rest, classes)
     classes = kept(components(links.union(more)), "line-classes")
     forget(links, more)
     return classes

@@ -196,3 +196,28 @@ def test_copies_meet_the_central_line_of_their_block(spark):
     met = spark.createDataFrame([(7, n, 0) for n in sims], "key long, n long, hub long")
     pairs = {tuple(r) for r in lb.central_pairs(met, distinct, lb.Settings()).collect()}
     assert pairs == {(n, 9) for n in range(1, 7)}
+
+
+def test_a_block_pairs_only_lines_that_may_be_linked(spark):
+    # Block 1: lines 0, 1 and 2 are alike, 3 is there by chance, 4 is alike but far longer.
+    # Block 2 is crowded: its lines meet the hub alone.
+    sims = {0: 0, 1: 0b1, 2: 0b11, 3: -1, 4: 0}
+    met = [(1, n, 200 if n == 4 else 100, s, s, s, s, 0, 5) for n, s in sims.items()]
+    met += [(2, n, 100, 0, 0, 0, 0, 10, lb.CROWD + 1) for n in range(10, 11 + lb.CROWD)]
+    names = "key long, n long, size int, a0 long, a1 long, a2 long, a3 long, hub long, m long"
+    pairs = {tuple(r) for r in lb.block_pairs(spark.createDataFrame(met, names), lb.Settings()).collect()}
+    assert pairs == {(1, 0), (2, 0), (2, 1)} | {(n, 10) for n in range(11, 11 + lb.CROWD)}
+
+
+def test_groups_are_the_same_however_blocks_are_met(spark, monkeypatch):
+    rng = random.Random(8)
+    stock = vocabulary(rng, 300)
+    base = [[rng.choice(stock) for _ in range(n)] for n in (4, 9, 20, 40)]
+    lines = [edited(rng, rng.choice(base), 0.04, rng.choice(("words", "letters")), stock) for _ in range(120)]
+    docs = spark.createDataFrame([(i, " ".join(words)) for i, words in enumerate(lines)], "doc_id long, text string")
+    got = []
+    for crowd, at_once in ((1000, 27), (2, 14)):
+        monkeypatch.setattr(lb, "CROWD", crowd)
+        monkeypatch.setattr(lb, "AT_ONCE", at_once)
+        got.append(sorted(map(tuple, lb.line_groups(docs).collect())))
+    assert got[0] and got[0] == got[1]
