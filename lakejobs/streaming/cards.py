@@ -1,4 +1,5 @@
-"""State per card, in the state store: its last records, and its first strikes.
+"""State per card, in the state store: its last records (cards by the bucket), and its first
+strikes.
 
 Rows meet their state already reduced by every task to the few that can matter, so a card
 with a third of all records sends a few rows and not its records.
@@ -6,6 +7,7 @@ with a third of all records sends a few rows and not its records.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,7 +22,8 @@ MEMORY = ("card_id", *fraud.ORDER, "latitude", "longitude", "amount")
 # Times in the state are microseconds.
 FIELDS = ("at", *MEMORY[2:])
 RECORD = "at long, txn_id string, latitude double, longitude double, amount double"
-STRUCT = RECORD.replace(" ", ":").replace(",:", ", ")
+# Keys of the state, each with the records of the cards that are hashed to it.
+BUCKETS = 1 << 12
 STRIKE = "at long, txn_id string"
 
 
@@ -41,9 +44,11 @@ def few_per_card(rows: DataFrame, n: int, newest: bool) -> DataFrame:
 
 
 class LastRecords(StatefulProcessor):
-    """Keeps the last ``n`` records of a card, and gives those of the time before.
+    """Keeps the last ``n`` records of the cards of a bucket, and for the cards that have new
+    ones gives those of the time before.
 
     Of the new records only those after the last one known count; see ``fraud.split_late``.
+    The records of a bucket are one value of the state, so a card costs no call of the state.
     """
 
     def __init__(self, n: int, keep_ms: int | None):
@@ -51,37 +56,65 @@ class LastRecords(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # One value and not a list: read and written at one stroke.
-        self.last = handle.getValueState("last", f"records array<struct<{STRUCT}>>")
+        # Records by card, in order of time.
+        self.last = handle.getValueState("last", "cards binary")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def _known(self) -> dict[str, list[tuple]]:
         value = self.last.get()
-        before = [tuple(r) for r in value[0]] if value else []
-        latest = before[-1][:2] if before else None
-        new = [tuple(r[c] for c in FIELDS) for r in rows]
-        new = [r for r in new if latest is None or r[:2] > latest]
-        if new:
-            self.last.update((sorted([*before, *new], key=lambda r: r[:2])[-self.n :],))
-            if self.keep_ms is not None:
-                for timer in list(self.handle.listTimers()):
-                    self.handle.deleteTimer(timer)
-                self.handle.registerTimer(max(new)[0] // 1000 + self.keep_ms)
-        for record in before:
-            yield Row(card_id=key[0], **dict(zip(FIELDS, record)))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.last.clear()
+        return pickle.loads(bytes(value[0])) if value else {}
+
+    def _expiry(self, records: list[tuple]) -> int:
+        """When a card is to be forgotten."""
+        return records[-1][0] // 1000 + self.keep_ms
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new: dict[str, list[tuple]] = {}
+        for frame in rows:
+            for card, *record in zip(*(frame[c].tolist() for c in ("card_id", *FIELDS))):
+                new.setdefault(card, []).append(tuple(record))
+        known, told, changed = self._known(), [], False
+        for card, records in new.items():
+            before = known.get(card, [])
+            told += [(card, *r) for r in before]
+            latest = before[-1][:2] if before else None
+            fresh = [r for r in records if latest is None or r[:2] > latest]
+            if fresh:
+                known[card] = sorted([*before, *fresh], key=lambda r: r[:2])[-self.n :]
+                changed = True
+        if changed:
+            self._keep(known)
+        if told:
+            yield pd.DataFrame(told, columns=["card_id", *FIELDS])
+
+    def _keep(self, known: dict[str, list[tuple]]) -> None:
+        self.last.update((pickle.dumps(known, protocol=5),))
+        if self.keep_ms is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(min(self._expiry(records) for records in known.values()))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        past = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)
+        left = {card: records for card, records in self._known().items() if self._expiry(records) > past}
+        if left:
+            self._keep(left)
+        else:
+            self.last.clear()
         yield from ()
 
     def close(self) -> None:
         pass
 
 
-def recalled(records: DataFrame, n: int = fraud.RECENT, forget_after_days: float | None = None) -> DataFrame:
+def recalled(
+    records: DataFrame, n: int = fraud.RECENT, forget_after_days: float | None = None, buckets: int = BUCKETS
+) -> DataFrame:
     """For the cards of each micro-batch, the last ``n`` records of the micro-batches before.
 
     ``forget_after_days`` bounds the state: a card is forgotten when the newest record of
-    the stream is so much later than its own.
+    the stream is so much later than its own. Cards are hashed to ``buckets``, each one
+    key of the state; the number cannot change later on. A micro-batch reads and writes the
+    buckets of its cards, so with more cards than some thousand to a bucket give it more.
     """
     keep = None if forget_after_days is None else int(forget_after_days * 86_400_000)
     own = records.select(*MEMORY).where(F.col("card_id").isNotNull())
@@ -89,8 +122,9 @@ def recalled(records: DataFrame, n: int = fraud.RECENT, forget_after_days: float
         own = own.withWatermark("ts", "0 seconds")
     found = (
         few_per_card(own, n, newest=True)
-        .groupBy("card_id")
-        .transformWithState(
+        .withColumn("bucket", F.pmod(F.xxhash64("card_id"), F.lit(buckets)))
+        .groupBy("bucket")
+        .transformWithStateInPandas(
             LastRecords(n, keep), f"card_id string, {RECORD}", "Append", "None" if keep is None else "EventTime"
         )
     )

@@ -209,15 +209,21 @@ def test_a_block_pairs_only_lines_that_may_be_linked(spark):
     assert pairs == {(1, 0), (2, 0), (2, 1)} | {(n, 10) for n in range(11, 11 + lb.CROWD)}
 
 
-def test_groups_are_the_same_however_blocks_are_met(spark, monkeypatch):
+def test_pairs_are_the_same_however_many_blocks_are_met_at_once(spark, monkeypatch):
     rng = random.Random(8)
-    stock = vocabulary(rng, 300)
-    base = [[rng.choice(stock) for _ in range(n)] for n in (4, 9, 20, 40)]
-    lines = [edited(rng, rng.choice(base), 0.04, rng.choice(("words", "letters")), stock) for _ in range(120)]
-    docs = spark.createDataFrame([(i, " ".join(words)) for i, words in enumerate(lines)], "doc_id long, text string")
-    got = []
-    for crowd, at_once in ((1000, 27), (2, 14)):
-        monkeypatch.setattr(lb, "CROWD", crowd)
+    sims = {}
+    for n in range(60):
+        flips = [sum(1 << b for b in rng.sample(range(64), rng.choice((0, 1, 3)))) for _ in range(lb.LANES)]
+        base = [rng.getrandbits(64) for _ in range(lb.LANES)] if n % 6 == 0 else sims[n - 1]
+        sims[n] = tuple(x ^ y for x, y in zip(base, flips))
+    distinct = spark.createDataFrame(
+        [(n, 100, *map(signed, sim)) for n, sim in sims.items()], "n long, size int, a0 long, a1 long, a2 long, a3 long"
+    )
+    far = lambda a, b: sum((x ^ y).bit_count() for x, y in zip(sims[a], sims[b]))
+    want = {(b, a) for a, b in combinations(sims, 2) if keys(sims[a]) & keys(sims[b]) and far(a, b) <= 64}
+    assert len(want) > 60
+    for at_once in (27, 14):
         monkeypatch.setattr(lb, "AT_ONCE", at_once)
-        got.append(sorted(map(tuple, lb.line_groups(docs).collect())))
-    assert got[0] and got[0] == got[1]
+        pairs, crowds = lb.meet(distinct, lb.Settings())
+        assert {tuple(r) for table in pairs for r in table.collect()} == want
+        assert all(table.isEmpty() for table in crowds)

@@ -80,6 +80,44 @@ def test_a_card_is_forgotten_by_the_time_of_the_stream(spark, tmp_path):
     assert sorted(map(tuple, got.collect()), key=str) == [("t1", None), ("t2", None), ("t3", "t2"), ("t4", None)]
 
 
+def test_the_cards_of_a_bucket_are_one_value_of_the_state():
+    import pandas as pd
+
+    from lakejobs.streaming import cards
+
+    class Value:
+        held, calls = None, 0
+
+        def get(self):
+            self.calls += 1
+            return self.held
+
+        def update(self, value):
+            self.calls += 1
+            self.held = value
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return value
+
+    value = Value()
+    last = cards.LastRecords(2, None)
+    last.init(Handle())
+
+    def batch(*records):
+        frame = pd.DataFrame([(*r, 1.0, 2.0, 5.0) for r in records], columns=["card_id", *cards.FIELDS])
+        told = list(last.handleInputRows((0,), iter([frame[:1], frame[1:]]), None))
+        return [tuple(r)[:3] for frame in told for r in frame.itertuples(index=False)]
+
+    names = [f"c{i}" for i in range(500)]
+    assert batch(*[(c, at, f"{c}-{at}") for at in (3, 1, 2) for c in names]) == []
+    assert value.calls == 2
+    # A late record of c0, a new one of c1; the other cards are not told.
+    assert batch(("c0", 2, "x"), ("c1", 4, "y")) == [(c, at, f"{c}-{at}") for c in ("c0", "c1") for at in (2, 3)]
+    assert batch(("c1", 5, "z"), ("d", 1, "n")) == [("c1", 3, "c1-3"), ("c1", 4, "y")]
+    assert value.calls == 6
+
+
 def numbers(spark, *values):
     return spark.createDataFrame([(v,) for v in values], "n long")
 
