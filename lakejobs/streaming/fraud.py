@@ -131,8 +131,8 @@ def decide_keyed(
 ) -> StreamingQuery:
     """As ``decide_stream``, with the last ``n`` records of each card in the state store.
 
-    Only the cards of a micro-batch touch their state, whatever the number of cards. The
-    state gives the records from before the micro-batch, which is then decided with the
+    Only the buckets of a micro-batch's cards are touched, see ``cards.recalled``. The state
+    gives the records from before the micro-batch, which is then decided with the
     batch job's windows, hot cards cut over tasks; they are searched for once. ``decided``,
     ``late`` and ``rejected`` are committed together: read them with
     ``commits.read_committed``. ``forget_after_days`` bounds the state, see ``cards.recalled``.
